@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import share
-from millrace.functions.record_rules import record_key, with_members, with_verdict
+from millrace.functions.record_rules import record_key, with_record, with_verdict
 from millrace.operators.keyed_tables import first_per_key
 
 RECORD_FIELDS = ["record_id", "timestamp", "sensor_id", "temperature", "humidity"]
@@ -93,7 +93,7 @@ def not_in_ledger(first: DataFrame, ledger: DataFrame) -> DataFrame:
 
 def drop_seen(feed: DataFrame, ledger: DataFrame) -> DataFrame:
     """The feed without redelivered records; the first arrival of an id wins, valid or not."""
-    keyed = with_members(feed).withColumn("record_key", record_key(F.col("members"))).drop("members")
+    keyed = with_record(feed).withColumn("record_key", record_key()).drop("record")
     fresh = not_in_ledger(first_per_key(keyed, "record_key", "arrival_seq"), ledger)
     return fresh.select("record_key", *feed.columns)
 
