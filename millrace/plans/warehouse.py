@@ -2,6 +2,8 @@
 
 The joins carry no hints: dimensions are stored tables, so Catalyst knows their size and
 broadcasts them while they are small, and falls back to a shuffled join when they are not.
+Chains are joined to the facts one table at a time. Joining the dimensions to each other first
+would multiply their estimated sizes, and the facts would be shuffled for it.
 """
 
 from __future__ import annotations
@@ -37,26 +39,23 @@ def _category(layout: Tables) -> DataFrame:
     return layout["star_dim_category" if _is_star(layout) else "snow_dim_category"]
 
 
-def _category_group(layout: Tables) -> DataFrame:
-    """(category_id, group_name)"""
+def _with_group(facts: DataFrame, layout: Tables) -> DataFrame:
+    """Adds group_name."""
+    joined = facts.join(_category(layout), "category_id")
     if _is_star(layout):
-        return _category(layout).select("category_id", F.col("category_group").alias("group_name"))
-    return _category(layout).join(layout["snow_dim_category_group"], "group_id").select(
-        "category_id", "group_name"
-    )
+        return joined.withColumnRenamed("category_group", "group_name")
+    return joined.join(layout["snow_dim_category_group"], "group_id")
 
 
-def _calendar(layout: Tables) -> DataFrame:
-    """(date_id, year, month, day)"""
+def _with_calendar(facts: DataFrame, layout: Tables) -> DataFrame:
+    """Adds year, month, day."""
     if _is_star(layout):
-        return layout["star_dim_date"].select("date_id", "year", "month", "day")
+        return facts.join(layout["star_dim_date"], "date_id")
     return (
-        layout["snow_dim_date"]
+        facts.join(layout["snow_dim_date"], "date_id")
         .join(layout["snow_dim_month"], "month_id")
         .join(layout["snow_dim_year"], "year_id")
-        .select(
-            "date_id", F.col("year_val").alias("year"), F.col("month_val").alias("month"), "day"
-        )
+        .withColumnsRenamed({"year_val": "year", "month_val": "month"})
     )
 
 
@@ -74,11 +73,9 @@ def revenue_by_category_status(layout: Tables) -> DataFrame:
 
 def revenue_by_group_year(layout: Tables) -> DataFrame:
     keys = ["group_name", "year"]
+    facts = _with_calendar(_with_group(_fact(layout), layout), layout)
     return (
-        _fact(layout)
-        .join(_category_group(layout), "category_id")
-        .join(_calendar(layout), "date_id")
-        .groupBy(*keys)
+        facts.groupBy(*keys)
         .agg(exact_sum("amount").alias("total_amount"))
         .orderBy(*keys)
     )
@@ -87,11 +84,9 @@ def revenue_by_group_year(layout: Tables) -> DataFrame:
 def daily_revenue_by_group(layout: Tables, status: str = "COMPLETED") -> DataFrame:
     keys = ["group_name", "year", "month", "day"]
     wanted = _status(layout).filter(F.col("status_name") == status)
+    facts = _with_group(_fact(layout).join(wanted, "status_id"), layout)
     return (
-        _fact(layout)
-        .join(wanted, "status_id")
-        .join(_category_group(layout), "category_id")
-        .join(_calendar(layout), "date_id")
+        _with_calendar(facts, layout)
         .groupBy(*keys)
         .agg(F.count("*").alias("total_txns"), exact_sum("amount").alias("total_amount"))
         .orderBy(*keys)
