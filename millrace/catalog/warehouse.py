@@ -21,7 +21,7 @@ from millrace.plans.warehouse import (
 from millrace.session import fresh_path
 from millrace.sources import files
 
-_loaded: dict[tuple[str, str, str], str] = {}
+_loaded: dict[tuple[str, str, str], dict[str, DataFrame]] = {}
 
 
 def layout(spark, sf_dir: str, kind: str) -> dict[str, DataFrame]:
@@ -32,8 +32,8 @@ def layout(spark, sf_dir: str, kind: str) -> dict[str, DataFrame]:
         root = fresh_path(spark, kind)
         build = build_star if kind == "star" else build_snowflake
         store(build(tx(spark, sf_dir), GROUPS), root)
-        _loaded[key] = root
-    return stored(spark, _loaded[key], names)
+        _loaded[key] = stored(spark, root, names)
+    return _loaded[key]
 
 
 # -- files --------------------------------------------------------------------------------

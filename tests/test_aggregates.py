@@ -1,9 +1,11 @@
 """Sums, means and the reports over timings."""
 
 import statistics
+from decimal import Decimal
 
 from pyspark.sql import functions as F
 
+from millrace.functions.columns import exact_sum
 from millrace.operators import aggregates
 
 
@@ -82,3 +84,17 @@ def test_scaling_table(spark):
     assert round(four["efficiency"], 9) == 0.75 and round(four["karp_flatt"], 9) == round(1 / 9, 9)
     assert table[("job", 1)]["karp_flatt"] is None
     assert table[("alone", 2)]["speedup_measured"] is None
+
+
+def test_exact_sum(spark):
+    values = [0.1, 0.2, 0.3, -0.01, 499978.59, -499978.58, 9_000_000_000_000.01, 0.1, None]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    exact = sum(Decimal(str(v)) for v in values if v is not None)
+    assert df.select(exact_sum("v")).first()[0] == float(exact)
+    negative = spark.createDataFrame([(-0.01,), (-5.55,)], "v double")
+    assert negative.select(exact_sum("v")).first()[0] == -5.56
+    many = spark.range(1_000_000).select(F.lit(499_999.99).alias("v"))
+    assert many.select(exact_sum("v")).first()[0] == 499_999_990_000.0
+    assert df.filter("v is null").select(exact_sum("v")).first()[0] is None
+    whole = spark.createDataFrame([(3,), (4,)], "v long")
+    assert whole.select(exact_sum("v")).first()[0] == 7.0
