@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import epoch_millis
+from millrace.session import written
 
 GROUPS = {
     "1-URGENT": "Expedited",
@@ -126,7 +127,18 @@ hot_logs AS (
 # -- sensor feed --------------------------------------------------------------------------
 
 
+_feeds: dict[tuple[str, str], DataFrame] = {}
+
+
 def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed of `sf_dir`, written once per application and then read like a source table."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _feeds:
+        _feeds[key] = written(derived_feed(spark, sf_dir), "feed")
+    return _feeds[key]
+
+
+def derived_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as JSON sensor records: every kind of fault, and one of five delivered twice.
 
     The first half of the month is batch 0. Of the second deliveries half come in the batch of

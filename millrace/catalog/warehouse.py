@@ -11,7 +11,8 @@ from millrace.catalog.inputs import GROUPS, TX, money, table, tx
 from millrace.operators import checks
 from millrace.operators.aggregates import filtered_stats, sum_by, table_counts
 from millrace.operators.dimensional import (
-    build_snowflake, build_star, date_dim, dimension_values, load_fact, store, stored, with_hour,
+    build_snowflake, build_star, date_dim, dimension_values, hour_values, load_fact, store,
+    stored,
 )
 from millrace.operators.ordering import dense_keys
 from millrace.plans.warehouse import (
@@ -104,9 +105,7 @@ def _snow(name):
 
 
 def dim_date_hour(spark, sf_dir):
-    events = table(spark, sf_dir, "events").select("ts")
-    hours = dense_keys(with_hour(events, "ts"), ["hour_start"], "date_id")
-    return date_dim(hours)
+    return date_dim(hour_values(table(spark, sf_dir, "events"), "ts"))
 
 
 def part_supplier_keys(spark, sf_dir):
@@ -427,7 +426,7 @@ WHERE NOT has_category GROUP BY category
 UNION ALL
 SELECT 'status', status, count(*) FROM flagged WHERE NOT has_status GROUP BY status
 UNION ALL
-SELECT 'hour', strftime(h, '%Y-%m-%d %H:%M:%S'), count(*) FROM flagged WHERE NOT has_hour GROUP BY h""",
+SELECT 'hour', strftime(h, '%Y-%m-%d %H:00'), count(*) FROM flagged WHERE NOT has_hour GROUP BY h""",
     "load_guard": f"""{_EARLIER}
 SELECT count(*) AS source_rows, count(*) AS loaded_rows, true AS ok, 'whole' AS load FROM flagged
 UNION ALL

@@ -25,12 +25,28 @@ def floor_hour(ts: str | Column) -> Column:
     )
 
 
+def hour_number(ts: str | Column) -> Column:
+    """Hours since 1970 as INT: names the hour like floor_hour, but is a cheaper join key."""
+    return F.unix_date(F.to_date(col(ts))) * 24 + F.hour(col(ts))
+
+
+def hour_number_date(number: str | Column) -> Column:
+    return F.date_from_unix_date(F.floor(col(number) / 24).cast("int"))
+
+
+def hour_number_text(number: str | Column) -> Column:
+    """The hour as yyyy-MM-dd HH:00."""
+    hour = F.lpad(F.pmod(col(number), F.lit(24)).cast("string"), 2, "0")
+    return F.concat(hour_number_date(number).cast("string"), F.lit(" "), hour, F.lit(":00"))
+
+
 def second_text(ts: str | Column) -> Column:
-    return F.date_format(col(ts), "yyyy-MM-dd HH:mm:ss")
+    """TIMESTAMP_NTZ as yyyy-MM-dd HH:mm:ss. date_format would go through the session's zone."""
+    return F.substring(col(ts).cast("string"), 1, 19)
 
 
 def hour_text(ts: str | Column) -> Column:
-    return F.date_format(col(ts), "yyyy-MM-dd HH:00")
+    return F.concat(F.substring(col(ts).cast("string"), 1, 13), F.lit(":00"))
 
 
 def epoch_millis(ts: str | Column) -> Column:

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.functions.columns import hour_number_text
 from millrace.operators.dimensional import Tables, with_hour
 from millrace.operators.ordering import numbered_within
 
@@ -22,15 +23,16 @@ def unmatched_rows(tx: DataFrame, values: Tables) -> DataFrame:
     pairs = [
         ("category", "category", "category_name"),
         ("status", "status", "status_name"),
-        ("hour", "hour_start", "hour_start"),
+        ("hour", "hour_number", "hour_number"),
     ]
     found = []
     for dimension, column, dim_column in pairs:
         counts = source.groupBy(F.col(column).alias("v")).agg(F.count("*").alias("rows"))
         known = values[dimension].select(F.col(dim_column).alias("v"))
+        shown = hour_number_text("v") if dimension == "hour" else F.col("v")
         found.append(
             counts.join(known, "v", "left_anti").select(
-                F.lit(dimension).alias("dimension"), F.col("v").cast("string").alias("value"), "rows"
+                F.lit(dimension).alias("dimension"), shown.alias("value"), "rows"
             )
         )
     return reduce(DataFrame.unionByName, found)

@@ -8,7 +8,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.functions.columns import floor_hour, hour_text, second_text, with_group
+from millrace.functions.columns import (
+    hour_number, hour_number_date, hour_number_text, second_text, with_group,
+)
 from millrace.operators.ordering import dense_keys
 
 # The category hierarchy.
@@ -28,7 +30,12 @@ Tables = dict[str, DataFrame]
 
 
 def with_hour(tx: DataFrame, ts: str = "timestamp") -> DataFrame:
-    return tx.withColumn("hour_start", floor_hour(ts))
+    return tx.withColumn("hour_number", hour_number(ts))
+
+
+def hour_values(tx: DataFrame, ts: str = "timestamp") -> DataFrame:
+    """(date_id, hour_number) of the hours that occur."""
+    return dense_keys(with_hour(tx, ts), ["hour_number"], "date_id")
 
 
 def dimension_values(tx: DataFrame) -> Tables:
@@ -38,20 +45,20 @@ def dimension_values(tx: DataFrame) -> Tables:
     return {
         "category": dense_keys(category, ["category_name"], "category_id"),
         "status": dense_keys(status, ["status_name"], "status_id"),
-        "hour": dense_keys(with_hour(tx).select("hour_start"), ["hour_start"], "date_id"),
+        "hour": hour_values(tx),
     }
 
 
 def date_dim(hours: DataFrame) -> DataFrame:
-    """Hour-grain dates from (date_id, hour_start): only the hours that occur."""
-    hour = F.col("hour_start")
+    """Hour-grain dates from (date_id, hour_number): only the hours that occur."""
+    date = hour_number_date("hour_number")
     return hours.select(
         "date_id",
-        hour_text(hour).alias("date_hour"),
-        F.year(hour).alias("year"),
-        F.month(hour).alias("month"),
-        F.dayofmonth(hour).alias("day"),
-        F.hour(hour).alias("hour"),
+        hour_number_text("hour_number").alias("date_hour"),
+        F.year(date).alias("year"),
+        F.month(date).alias("month"),
+        F.dayofmonth(date).alias("day"),
+        F.pmod("hour_number", F.lit(24)).alias("hour"),
     )
 
 
@@ -61,7 +68,7 @@ def load_fact(tx: DataFrame, values: Tables) -> DataFrame:
         with_hour(tx)
         .join(values["category"], F.col("category") == F.col("category_name"))
         .join(values["status"], F.col("status") == F.col("status_name"))
-        .join(values["hour"], "hour_start")
+        .join(values["hour"], "hour_number")
         .withColumn("transaction_ts", second_text("timestamp"))
         .select(*FACT_COLUMNS)
     )

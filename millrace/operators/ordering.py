@@ -47,11 +47,8 @@ def running_total(
     inside = F.sum(weight).over(
         Window.partitionBy("slice").orderBy(*order_by).rowsBetween(*up_to_here)
     )
-    return (
-        sliced.join(F.broadcast(before), "slice")
-        .withColumn(out, F.col("before") + inside)
-        .drop("slice", "before")
-    )
+    totalled = sliced.join(F.broadcast(before), "slice").withColumn(out, F.col("before") + inside)
+    return written(totalled.drop("slice", "before"), "totalled")
 
 
 def dense_keys(
@@ -74,7 +71,7 @@ def numbered_within(
     tied = df.withColumn("tie", F.monotonically_increasing_id()).withColumn(
         "one", F.lit(1).cast("long")
     )
-    ranked = written(running_total(tied, [*keys, *order_by, "tie"], "one", "position", **sizes), "ranked")
+    ranked = running_total(tied, [*keys, *order_by, "tie"], "one", "position", **sizes)
     starts = ranked.groupBy(*keys).agg(F.min("position").alias("start"))
     same_key = [F.col(f"r.{k}").eqNullSafe(F.col(f"s.{k}")) for k in keys]
     return (
