@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import epoch_millis
-from millrace.session import written
+from millrace.session import on_all_cores, written
 
 GROUPS = {
     "1-URGENT": "Expedited",
@@ -134,7 +134,7 @@ def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feed of `sf_dir`, written once per application and then read like a source table."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _feeds:
-        _feeds[key] = written(derived_feed(spark, sf_dir), "feed")
+        _feeds[key] = written(on_all_cores(derived_feed(spark, sf_dir)), "feed")
     return _feeds[key]
 
 

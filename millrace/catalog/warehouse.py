@@ -22,17 +22,22 @@ from millrace.plans.warehouse import (
 from millrace.session import fresh_path
 from millrace.sources import files
 
+_values: dict[tuple[str, str], dict[str, DataFrame]] = {}
 _loaded: dict[tuple[str, str, str], dict[str, DataFrame]] = {}
 
 
 def layout(spark, sf_dir: str, kind: str) -> dict[str, DataFrame]:
     """The star or snowflake tables of `sf_dir`, loaded once per application and then read."""
     names = STAR_TABLES if kind == "star" else SNOWFLAKE_TABLES
-    key = (spark.sparkContext.applicationId, sf_dir, kind)
+    app = spark.sparkContext.applicationId
+    key = (app, sf_dir, kind)
     if key not in _loaded:
+        source = tx(spark, sf_dir)
+        if (app, sf_dir) not in _values:
+            _values[app, sf_dir] = dimension_values(source)
         root = fresh_path(spark, kind)
         build = build_star if kind == "star" else build_snowflake
-        store(build(tx(spark, sf_dir), GROUPS), root)
+        store(build(source, GROUPS, _values[app, sf_dir]), root)
         _loaded[key] = stored(spark, root, names)
     return _loaded[key]
 
@@ -112,7 +117,7 @@ def part_supplier_keys(spark, sf_dir):
     """Dense keys for a large domain: the ranged way, forced by small limits."""
     pairs = table(spark, sf_dir, "lineitem")
     return dense_keys(
-        pairs, ["l_partkey", "l_suppkey"], "pair_id", "long", single_task_rows=1000, slice_rows=5000
+        pairs, ["l_partkey", "l_suppkey"], "pair_id", "long", single_task_rows=1000, slice_rows=50_000
     )
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.columns import share
 from millrace.functions.record_rules import record_key, with_record, with_verdict
-from millrace.operators.keyed_tables import first_per_key
+from millrace.operators.keyed_tables import first_per_key, not_known
 
 RECORD_FIELDS = ["record_id", "timestamp", "sensor_id", "temperature", "humidity"]
 
@@ -80,15 +80,8 @@ def first_deliveries(feed: DataFrame) -> DataFrame:
 
 
 def not_in_ledger(first: DataFrame, ledger: DataFrame) -> DataFrame:
-    """Rows of `first` whose id the ledger does not hold.
-
-    The ledger grows without end while a batch stays small, so the ledger is first cut down
-    to the batch's ids: a broadcast of the ids while they are few, and no ledger shuffle.
-    """
-    ids = first.filter(F.col("record_key").isNotNull()).select("record_key")
-    hits = ledger.select("record_key").join(ids, "record_key", "left_semi")
-    hits = hits.distinct().withColumn("own_row", F.lit(-1).cast("long"))
-    return first.join(hits, ["record_key", "own_row"], "left_anti")
+    """Rows of `first` whose id the ledger does not hold."""
+    return not_known(first, ledger, "record_key")
 
 
 def drop_seen(feed: DataFrame, ledger: DataFrame) -> DataFrame:
@@ -134,8 +127,12 @@ def ingest_batch(feed: DataFrame, batch_id: int, root: str) -> None:
         clean, dead = split(handled)
         _replace(clean, root, "clean", batch_id)
         _replace(dead, root, "dead_letter", batch_id)
-        counters = (received, n_clean, n_dlq, received - n_clean - n_dlq)
-        _replace(spark.createDataFrame([counters], SINK_SCHEMAS["metrics"]), root, "metrics", batch_id)
+        counters = {
+            "received": received, "clean": n_clean, "dlq": n_dlq,
+            "duplicates": received - n_clean - n_dlq,
+        }
+        row = spark.range(1).select(*[F.lit(n).cast("long").alias(c) for c, n in counters.items()])
+        _replace(row.coalesce(1), root, "metrics", batch_id)
         ids = handled.filter(F.col("record_key").isNotNull()).select("record_key")
         _replace(ids, root, "ledger", batch_id)
     finally:

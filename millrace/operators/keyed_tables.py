@@ -29,6 +29,20 @@ def first_per_key(df: DataFrame, key: str, order_by: str, copies: str = "deliver
     return folded.select(key, "own_row", "first.*", copies)
 
 
+def not_known(first: DataFrame, known: DataFrame, key: str) -> DataFrame:
+    """Rows of `first` (from first_per_key) whose key `known` does not hold; null keys all stay.
+
+    `known` may be far larger than `first`, so it is cut down to the keys of `first` before
+    the rows are compared: while those keys are few they are broadcast, and `known` is read
+    (its key column only) but never shuffled.
+    """
+    wanted = first.filter(F.col(key).isNotNull()).select(key)
+    hits = known.select(key).join(wanted, key, "left_semi").distinct()
+    return first.join(
+        hits.withColumn("own_row", F.lit(-1).cast("long")), [key, "own_row"], "left_anti"
+    )
+
+
 def refuse_if_broken(df: DataFrame, rules: list[Rule]) -> None:
     """Raises when any row breaks a rule: a load is taken as a whole or not at all."""
     broken = [r for r in check_rules(df, rules).collect() if r["rows"]]
@@ -39,9 +53,7 @@ def refuse_if_broken(df: DataFrame, rules: list[Rule]) -> None:
 
 def new_rows(target: DataFrame, incoming: DataFrame, key: str, order_by: str) -> DataFrame:
     """What insert-ignore would add: the first arrival per key, unless the target has the key."""
-    first = first_per_key(incoming, key, order_by)
-    known = target.select(F.col(key), F.lit(-1).cast("long").alias("own_row"))
-    return first.join(known, [key, "own_row"], "left_anti").select(*incoming.columns)
+    return not_known(first_per_key(incoming, key, order_by), target, key).select(*incoming.columns)
 
 
 def with_defaults(

@@ -32,7 +32,8 @@ HOT_SHARE = 0.9
 _MIX_RANGE = 2_147_483_647
 
 
-def id_range(spark: SparkSession, n: int) -> DataFrame:
+def id_range(spark: SparkSession, n: int = TRANSACTIONS) -> DataFrame:
+    """Ids 0 to n - 1; TRANSACTIONS and SESSIONS are the usual sizes."""
     return spark.range(n)
 
 
