@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import salt, share, with_salt
+from millrace.session import written
 
 KEYS = ["user_id", "session_id"]
 LAYOUTS = ("default", "round_robin", "by_key", "by_user", "salted")
@@ -26,13 +27,15 @@ def hot_groups(df: DataFrame, keys: list[str], parts: int) -> DataFrame:
     return counts.filter(F.col("rows") * parts > total).select(*keys)
 
 
-def with_spread(df: DataFrame, keys: list[str], by: str, parts: int, out: str) -> DataFrame:
+def with_spread(
+    df: DataFrame, hot: DataFrame, keys: list[str], by: str, parts: int, out: str
+) -> DataFrame:
     """Adds `out`: 0, but for rows of a hot key a bucket of `by` in [0, parts).
 
     Partitioning by the keys and `out` keeps ordinary keys in one place and spreads hot ones.
-    The broadcast side holds fewer than `parts` rows.
+    `hot` comes from hot_groups, so fewer than `parts` rows are broadcast.
     """
-    hot = F.broadcast(hot_groups(df, keys, parts).withColumn("is_hot", F.lit(True))).alias("h")
+    hot = F.broadcast(hot.withColumn("is_hot", F.lit(True))).alias("h")
     same = [F.col(f"d.{k}").eqNullSafe(F.col(f"h.{k}")) for k in keys]
     bucket = F.when(F.col("h.is_hot"), salt(F.col(f"d.{by}"), parts)).otherwise(F.lit(0))
     return df.alias("d").join(hot, same, "left").select("d.*", bucket.alias(out))
@@ -51,11 +54,13 @@ def laid_out(
         return df, []
     if layout == "round_robin":
         return df.repartition(partitions), []
-    df = with_spread(df, KEYS, "event_timestamp", partitions, "session_spread")
+    hot_sessions = hot_groups(df, KEYS, partitions)
+    hot_users = hot_groups(df, ["user_id"], partitions)
+    df = with_spread(df, hot_sessions, KEYS, "event_timestamp", partitions, "session_spread")
     if layout == "by_key":
         return df.repartition(partitions, *KEYS, "session_spread"), ["session_spread"]
     if layout == "by_user":
-        df = with_spread(df, ["user_id"], "session_id", partitions, "user_spread")
+        df = with_spread(df, hot_users, ["user_id"], "session_id", partitions, "user_spread")
         place = ["user_spread", "session_spread"]
     else:
         df = with_salt(df, "session_id", buckets, "salt")
@@ -98,7 +103,10 @@ def units_per_key(df: DataFrame, key: str = "user_id", unit: str = "session_id")
 
 def hot_keys(df: DataFrame, key: str = "user_id", unit: str = "session_id", k: int = 3) -> DataFrame:
     """The k keys with most units, and their share of all units. Ties go to the smaller key."""
-    units = units_per_key(df, key, unit)
+    return _hottest(units_per_key(df, key, unit), key, k)
+
+
+def _hottest(units: DataFrame, key: str, k: int) -> DataFrame:
     total = units.agg(F.sum("units")).scalar()
     top = units.orderBy(F.desc("units"), key).limit(k)
     return top.select(key, "units", share(F.col("units"), total).alias("share"))
@@ -146,11 +154,14 @@ def two_stage_user_metrics(df: DataFrame, buckets: int = SALT_BUCKETS) -> DataFr
 def isolate_hot_keys(df: DataFrame, k: int = 3, buckets: int = SALT_BUCKETS) -> DataFrame:
     """The same metrics with only the k hottest users salted; all others go in one step.
 
-    The hot set (k rows) is broadcast onto the sessions, so hot and cold users share a scan.
+    Events are folded to sessions once and written, because the hot set and the metrics both
+    need them. The hot set (k rows) is broadcast, so hot and cold users share one pass.
     """
-    hot = F.broadcast(hot_keys(df, k=k).select("user_id", F.lit(True).alias("is_hot"))).alias("h")
-    sessions = _sessions(df).alias("s").join(
-        hot, F.col("s.user_id").eqNullSafe(F.col("h.user_id")), "left"
+    sessions = written(_sessions(df), "sessions")
+    units = sessions.groupBy("user_id").agg(F.count("*").alias("units"))
+    hot = _hottest(units, "user_id", k).select("user_id", F.lit(True).alias("is_hot"))
+    joined = sessions.alias("s").join(
+        F.broadcast(hot).alias("h"), F.col("s.user_id").eqNullSafe(F.col("h.user_id")), "left"
     )
     bucket = F.when(F.col("h.is_hot"), salt(F.col("s.session_id"), buckets)).otherwise(F.lit(0))
-    return _salted_user_metrics(sessions.select("s.*", bucket.alias("salt")))
+    return _salted_user_metrics(joined.select("s.*", bucket.alias("salt")))

@@ -15,6 +15,7 @@ def spark():
         "local[8]",
         **{
             "spark.sql.shuffle.partitions": "8",
+            "spark.python.sql.dataFrameDebugging.enabled": "false",
             "spark.driver.memory": "4g",
             "spark.ui.showConsoleProgress": "false",
         },
