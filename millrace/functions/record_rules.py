@@ -36,10 +36,22 @@ def with_record(df: DataFrame, raw: str = "raw") -> DataFrame:
     return df.withColumn("record", F.try_variant_get(F.try_parse_json(F.col(raw)), "$", _RECORD))
 
 
-def record_key() -> Column:
-    """The id as JSON text, which keeps "5" and 5 apart; NULL for a null, absent or nested id."""
-    kind = F.schema_of_variant("record.record_id")
-    return F.when(~kind.rlike("^(VOID|ARRAY|OBJECT)"), F.to_json("record.record_id"))
+def record_key(record_id: Column, kind: Column) -> Column:
+    """The id as text, a string in quotes so that "5" and 5 stay apart.
+
+    NULL for a null, absent or nested id.
+    """
+    text = F.try_variant_get(record_id, "$", "string")
+    return F.when(kind == "STRING", F.concat(F.lit('"'), text, F.lit('"'))).when(
+        ~kind.rlike("^(VOID|ARRAY|OBJECT)"), text
+    )
+
+
+def with_record_key(df: DataFrame) -> DataFrame:
+    """Adds record_key and nothing else."""
+    record_id = F.col("record.record_id")
+    keyed = with_record(df).withColumn("record_key", record_key(record_id, F.schema_of_variant(record_id)))
+    return keyed.drop("record")
 
 
 def is_iso_timestamp(text: Column) -> Column:
@@ -112,7 +124,7 @@ def with_verdict(df: DataFrame) -> DataFrame:
     judged = typed.select("*", F.explode(F.array(_reason())).alias("reason_code"))
     return judged.select(
         *df.columns,
-        record_key().alias("record_key"),
+        record_key(F.col("record.record_id"), F.col("record_id_type")).alias("record_key"),
         "reason_code",
         _reason_value().alias("reason_value"),
         *REQUIRED_KEYS,

@@ -16,8 +16,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import share
-from millrace.functions.record_rules import record_key, with_record, with_verdict
-from millrace.operators.keyed_tables import first_per_key, not_known
+from millrace.functions.record_rules import with_record_key, with_verdict
+from millrace.operators.keyed_tables import first_per_key, known_keys, without_keys
 
 RECORD_FIELDS = ["record_id", "timestamp", "sensor_id", "temperature", "humidity"]
 
@@ -79,15 +79,10 @@ def first_deliveries(feed: DataFrame) -> DataFrame:
     return first_per_key(judged, "record_key", "arrival_seq")
 
 
-def not_in_ledger(first: DataFrame, ledger: DataFrame) -> DataFrame:
-    """Rows of `first` whose id the ledger does not hold."""
-    return not_known(first, ledger, "record_key")
-
-
 def drop_seen(feed: DataFrame, ledger: DataFrame) -> DataFrame:
     """The feed without redelivered records; the first arrival of an id wins, valid or not."""
-    keyed = with_record(feed).withColumn("record_key", record_key()).drop("record")
-    fresh = not_in_ledger(first_per_key(keyed, "record_key", "arrival_seq"), ledger)
+    first = first_per_key(with_record_key(feed), "record_key", "arrival_seq")
+    fresh = without_keys(first, known_keys(first, ledger, "record_key"), "record_key")
     return fresh.select("record_key", *feed.columns)
 
 
@@ -116,29 +111,39 @@ def ingest_batch(feed: DataFrame, batch_id: int, root: str) -> None:
     """Handles one batch; running it again with the same batch_id changes nothing."""
     spark = feed.sparkSession
     first = first_deliveries(feed).persist()
-    handled = None
+    seen = None
     try:
         # The count also fills the cache, which tells Catalyst how small the batch is.
         received = first.agg(F.coalesce(F.sum("deliveries"), F.lit(0))).first()[0]
-        handled = not_in_ledger(first, read_ledger(spark, root, batch_id)).persist()
-        n_clean, n_dlq = handled.agg(
-            F.count_if(F.col("reason_code").isNull()), F.count_if(F.col("reason_code").isNotNull())
-        ).first()
+        seen = known_keys(first, read_ledger(spark, root, batch_id), "record_key").persist()
+        seen.count()
+        handled = without_keys(first, seen, "record_key")
         clean, dead = split(handled)
         _replace(clean, root, "clean", batch_id)
         _replace(dead, root, "dead_letter", batch_id)
-        counters = {
-            "received": received, "clean": n_clean, "dlq": n_dlq,
-            "duplicates": received - n_clean - n_dlq,
-        }
-        row = spark.range(1).select(*[F.lit(n).cast("long").alias(c) for c, n in counters.items()])
-        _replace(row.coalesce(1), root, "metrics", batch_id)
+        counters = _stored_counters(spark, root, batch_id, received)
+        _replace(counters, root, "metrics", batch_id)
         ids = handled.filter(F.col("record_key").isNotNull()).select("record_key")
         _replace(ids, root, "ledger", batch_id)
     finally:
         first.unpersist()
-        if handled is not None:
-            handled.unpersist()
+        if seen is not None:
+            seen.unpersist()
+
+
+def _stored_counters(spark: SparkSession, root: str, batch_id: int, received: int) -> DataFrame:
+    """One metrics row. Counting what was just written reads no more than file footers."""
+
+    def stored_rows(sink: str) -> Column:
+        rows = read_sink(spark, root, sink).filter(F.col("batch_id") == batch_id)
+        return rows.agg(F.count("*")).scalar()
+
+    counted = spark.range(0, 1, 1, 1).select(
+        F.lit(received).cast("long").alias("received"),
+        stored_rows("clean").alias("clean"),
+        stored_rows("dead_letter").alias("dlq"),
+    )
+    return counted.withColumn("duplicates", F.col("received") - F.col("clean") - F.col("dlq"))
 
 
 # -- accounting ---------------------------------------------------------------------------

@@ -29,18 +29,20 @@ def first_per_key(df: DataFrame, key: str, order_by: str, copies: str = "deliver
     return folded.select(key, "own_row", "first.*", copies)
 
 
-def not_known(first: DataFrame, known: DataFrame, key: str) -> DataFrame:
-    """Rows of `first` (from first_per_key) whose key `known` does not hold; null keys all stay.
+def known_keys(first: DataFrame, known: DataFrame, key: str) -> DataFrame:
+    """The keys of `first` (from first_per_key) that `known` holds already.
 
-    `known` may be far larger than `first`, so it is cut down to the keys of `first` before
-    the rows are compared: while those keys are few they are broadcast, and `known` is read
-    (its key column only) but never shuffled.
+    `known` may be far larger than `first`: while the keys of `first` are few they are
+    broadcast, and `known` is read (its key column only) but never shuffled.
     """
     wanted = first.filter(F.col(key).isNotNull()).select(key)
-    hits = known.select(key).join(wanted, key, "left_semi").distinct()
-    return first.join(
-        hits.withColumn("own_row", F.lit(-1).cast("long")), [key, "own_row"], "left_anti"
-    )
+    return known.select(key).join(wanted, key, "left_semi").distinct()
+
+
+def without_keys(first: DataFrame, known: DataFrame, key: str) -> DataFrame:
+    """Rows of `first` (from first_per_key) whose key is not in `known`; null keys all stay."""
+    marked = known.withColumn("own_row", F.lit(-1).cast("long"))
+    return first.join(marked, [key, "own_row"], "left_anti")
 
 
 def refuse_if_broken(df: DataFrame, rules: list[Rule]) -> None:
@@ -53,7 +55,8 @@ def refuse_if_broken(df: DataFrame, rules: list[Rule]) -> None:
 
 def new_rows(target: DataFrame, incoming: DataFrame, key: str, order_by: str) -> DataFrame:
     """What insert-ignore would add: the first arrival per key, unless the target has the key."""
-    return not_known(first_per_key(incoming, key, order_by), target, key).select(*incoming.columns)
+    first = first_per_key(incoming, key, order_by)
+    return without_keys(first, known_keys(first, target, key), key).select(*incoming.columns)
 
 
 def with_defaults(

@@ -5,6 +5,7 @@ import json
 import pytest
 
 from millrace.operators import ingest
+from millrace.operators.keyed_tables import known_keys, without_keys
 from millrace.streaming.ingest_stream import feed_stream, run_ingest_stream
 
 
@@ -204,9 +205,10 @@ def test_ledger_is_not_shuffled_for_a_small_batch(spark, root):
     ingest.ingest_batch(feed(spark, [rec(f"r{i}") for i in range(50)]), 0, root)
     first = ingest.first_deliveries(feed(spark, [rec("r1"), rec("x")])).persist()
     first.count()
-    fresh = ingest.not_in_ledger(first, ingest.read_ledger(spark, root, 1))
-    text = plan_text(fresh)
+    seen = known_keys(first, ingest.read_ledger(spark, root, 1), "record_key")
+    text = plan_text(seen)
     ledger_join = text.index("LeftSemi")
     assert "BroadcastHashJoin" in text[ledger_join - 80 : ledger_join]
+    fresh = without_keys(first, seen, "record_key")
     assert [r["record_key"] for r in fresh.collect()] == ['"x"']
     first.unpersist()
