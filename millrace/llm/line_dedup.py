@@ -21,6 +21,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from millrace.llm.shingles import let
 from millrace.session import written
 
 
@@ -102,7 +103,7 @@ def without_repeats(docs: DataFrame, window: int = 2, long_line_words: int = 50)
     gone = repeated_lines(docs, window, long_line_words).select(F.col("doc_id").alias("__d"), F.col("gone").alias("__gone"))
     rows = docs.join(gone, docs["doc_id"].eqNullSafe(gone["__d"]), "left")
     lines = F.split("text", "\n")
-    kept = F.transform(F.array_except(F.sequence(F.lit(1), F.size(lines)), F.col("__gone")), lambda i: F.element_at(lines, i))
+    kept = let(lines, lambda all: F.transform(F.array_except(F.sequence(F.lit(1), F.size(all)), F.col("__gone")), lambda i: F.element_at(all, i)))
     full = F.size(F.filter(lines, lambda x: F.trim(x) != ""))
     return (
         rows.withColumn("n_lines", F.when(F.col("text").isNull(), 0).otherwise(full))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import language_id, line_dedup
+from millrace.llm import decontaminate, language_id, line_dedup
 from millrace.llm.batches import importable
 
 
@@ -22,9 +22,15 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.fold_predictions(table(spark, sf_dir, "documents"))
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of a benchmark item and a document that holds at least 0.8 of its shingles."""
+    return decontaminate.find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op3_language_id": op3_language_id,
+    "op7_decontaminate": op7_decontaminate,
 }
 
 ORACLES = {
@@ -54,4 +60,24 @@ ORACLES = {
                CAST(coalesce(n_removed, 0) AS INTEGER) AS n_removed, t.text AS text
         FROM documents d LEFT JOIN texts t USING (doc_id)
     """,
+    "op7_decontaminate": """
+        WITH texts AS (
+            SELECT 0 AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 1, item_id, text FROM benchmark),
+        split_words AS (
+            SELECT kind, id, list_filter(string_split_regex(lower(text), '[^\\p{L}\\p{N}]+'), lambda x: x <> '') AS w
+            FROM texts WHERE text IS NOT NULL),
+        words AS (SELECT kind, id, len(w) AS n, unnest(w) AS w, generate_subscripts(w, 1) AS nr FROM split_words),
+        shingles AS (
+            SELECT kind, id, w || coalesce(' ' || lead(w, 1) OVER o, '') || coalesce(' ' || lead(w, 2) OVER o, '')
+                   || coalesce(' ' || lead(w, 3) OVER o, '') || coalesce(' ' || lead(w, 4) OVER o, '') AS s, nr, n
+            FROM words WINDOW o AS (PARTITION BY kind, id ORDER BY nr)),
+        sets AS (SELECT DISTINCT kind, id, s FROM shingles WHERE nr <= greatest(n - 4, 1)),
+        sizes AS (SELECT id, count(*) AS n FROM sets WHERE kind = 1 GROUP BY id),
+        shared AS (
+            SELECT i.id AS item_id, d.id AS doc_id, count(*) AS k
+            FROM sets i JOIN sets d ON i.s = d.s AND i.kind = 1 AND d.kind = 0 GROUP BY i.id, d.id)
+        SELECT item_id, doc_id, CAST(n AS INTEGER) AS n_shingles, CAST(k AS INTEGER) AS n_shared,
+               CAST(k AS DOUBLE) / n AS containment
+        FROM shared JOIN sizes ON item_id = id WHERE k >= n * 0.8
+    """,
 }
