@@ -53,7 +53,7 @@ def find_items(docs: DataFrame, items: DataFrame, least: float = 0.8, least_shin
     most counts; items that share an item_id are one item each, and the best of them counts.
     """
     parts = written(item_shingles(items, least, least_shingles), "items")
-    hashed = docs.select(F.col("doc_id").alias("d"), shingles_of(F.col("text")).alias("s")).where(F.size("s") > 0)
+    hashed = docs.select(F.col("doc_id").alias("d"), shingles_of(F.col("text")).alias("s"))  # a filter here would hash twice
     signed = hashed.select("d", _bits(F.size("s")).alias("bits"), F.explode(_minima(F.col("s"), _bits(F.size("s")))).alias("h"))
     long_items = parts.where(~F.col("short")).select("item", "h", "from_bits")
     pairs = signed.join(long_items, "h").where("bits >= from_bits").select("d", "item")

@@ -38,7 +38,6 @@ def with_lines(docs: DataFrame, long_line_words: int) -> DataFrame:
     )
     return (
         docs.select(F.col("doc_id").alias("d"), lines.alias("lines"))
-        .where(F.size("lines") > 0)
         .select(
             "d",
             F.transform("lines", lambda x: _hash(x["line"])).alias("h"),
@@ -55,7 +54,7 @@ def repeated_lines(docs: DataFrame, window: int = 2, long_line_words: int = 50)
     """
     if window < 2:
         raise ValueError("a run needs at least two lines")
-    lines = written(with_lines(docs, long_line_words), "lines")
+    lines = written(with_lines(docs, long_line_words), "lines").where(F.size("h") > 0)
     n, w = F.size("h"), F.lit(window)
 
     # Fingerprints: the smallest hash of each window (its first place), and long lines.

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import decontaminate, language_id, line_dedup
+from millrace.llm import decontaminate, language_id, line_dedup, near_dedup
 from millrace.llm.batches import importable
 
 
@@ -22,6 +22,11 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.fold_predictions(table(spark, sf_dir, "documents"))
 
 
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's class of near duplicates, named by its smallest doc_id."""
+    return near_dedup.classes(table(spark, sf_dir, "documents"))
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of a benchmark item and a document that holds at least 0.8 of its shingles."""
     return decontaminate.find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -30,6 +35,7 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op3_language_id": op3_language_id,
+    "op4_near_dedup": op4_near_dedup,
     "op7_decontaminate": op7_decontaminate,
 }
 
@@ -80,4 +86,28 @@ ORACLES = {
                CAST(k AS DOUBLE) / n AS containment
         FROM shared JOIN sizes ON item_id = id WHERE k >= n * 0.8
     """,
+    "op4_near_dedup": """
+        WITH RECURSIVE split_words AS (
+            SELECT doc_id, list_filter(string_split_regex(lower(text), '[^\\p{L}\\p{N}]+'), lambda x: x <> '') AS w
+            FROM documents WHERE text IS NOT NULL),
+        words AS (SELECT doc_id, len(w) AS n, unnest(w) AS w, generate_subscripts(w, 1) AS nr FROM split_words),
+        shingles AS (
+            SELECT doc_id, w || coalesce(' ' || lead(w, 1) OVER o, '') || coalesce(' ' || lead(w, 2) OVER o, '')
+                   || coalesce(' ' || lead(w, 3) OVER o, '') || coalesce(' ' || lead(w, 4) OVER o, '') AS s, nr, n
+            FROM words WINDOW o AS (PARTITION BY doc_id ORDER BY nr)),
+        bags AS (SELECT doc_id, s, count(*) AS k FROM shingles WHERE nr <= greatest(n - 4, 1) GROUP BY ALL),
+        sizes AS (SELECT doc_id, sum(k) AS n FROM bags GROUP BY doc_id),
+        shared AS (
+            SELECT x.doc_id AS a, y.doc_id AS b, sum(least(x.k, y.k)) AS k
+            FROM bags x JOIN bags y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY ALL),
+        links AS (
+            SELECT a, b FROM shared JOIN sizes x ON a = x.doc_id JOIN sizes y ON b = y.doc_id
+            WHERE k >= (x.n + y.n - k) * 0.8
+            UNION SELECT x.doc_id, y.doc_id FROM documents x JOIN documents y ON x.text = y.text AND x.doc_id <> y.doc_id),
+        reach AS (
+            SELECT a, b FROM links
+            UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
+        SELECT doc_id, coalesce(least(min(b), doc_id), doc_id) AS class_id
+        FROM documents LEFT JOIN reach ON doc_id = a GROUP BY doc_id
+    """,
 }
