@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import decontaminate, language_id, line_dedup, near_dedup
+from millrace.llm import decontaminate, language_id, line_dedup, near_dedup, packing, rans
 from millrace.llm.batches import importable
 
 
@@ -32,11 +32,22 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as read back from the token files that were written of all texts."""
+    return rans.read(rans.write(table(spark, sf_dir, "documents")))
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op3_language_id": op3_language_id,
     "op4_near_dedup": op4_near_dedup,
     "op7_decontaminate": op7_decontaminate,
+    "op9_packing": op9_packing,
+    "op10_token_files": op10_token_files,
 }
 
 ORACLES = {
