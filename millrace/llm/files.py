@@ -33,7 +33,7 @@ def open_new(uri: str):
     """An output stream; the folder is made if need be."""
     system, path = _system(uri)
     system.create_dir(path.rsplit("/", 1)[0], recursive=True)
-    return system.open_output_stream(path)
+    return system.open_output_stream(path, compression=None)
 
 
 def open_at(uri: str):

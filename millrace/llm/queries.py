@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import decontaminate, language_id, line_dedup, near_dedup, packing, rans
+from millrace.llm import decontaminate, html_text, language_id, line_dedup, near_dedup, packing, rans, warc
 from millrace.llm.batches import importable
 
 
@@ -18,6 +18,10 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.without_repeats(table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_removed", "text")
 
 
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.fold_predictions(table(spark, sf_dir, "documents"))
 
@@ -27,6 +31,11 @@ def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.classes(table(spark, sf_dir, "documents"))
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as read back from the archives that were written of all pages."""
+    return warc.archived(table(spark, sf_dir, "pages"))
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of a benchmark item and a document that holds at least 0.8 of its shingles."""
     return decontaminate.find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -43,8 +52,10 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_html_text": op2_html_text,
     "op3_language_id": op3_language_id,
     "op4_near_dedup": op4_near_dedup,
+    "op6_warc": op6_warc,
     "op7_decontaminate": op7_decontaminate,
     "op9_packing": op9_packing,
     "op10_token_files": op10_token_files,
