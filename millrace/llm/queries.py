@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import decontaminate, html_text, language_id, line_dedup, near_dedup, packing, rans, warc
+from millrace.llm import decontaminate, html_text, language_id, line_dedup, near_dedup, neighbours, packing, rans, warc
 from millrace.llm.batches import importable
 
 
@@ -41,6 +41,11 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 nearest rows of every row whose vec_id is divisible by 100."""
+    return neighbours.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -57,6 +62,7 @@ QUERIES = {
     "op4_near_dedup": op4_near_dedup,
     "op6_warc": op6_warc,
     "op7_decontaminate": op7_decontaminate,
+    "op8_neighbours": op8_neighbours,
     "op9_packing": op9_packing,
     "op10_token_files": op10_token_files,
 }
