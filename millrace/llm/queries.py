@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+import corpus_pipeline
 from millrace.llm import decontaminate, html_text, language_id, line_dedup, near_dedup, neighbours, packing, rans, warc
 from millrace.llm.batches import importable
 
@@ -65,6 +66,7 @@ QUERIES = {
     "op8_neighbours": op8_neighbours,
     "op9_packing": op9_packing,
     "op10_token_files": op10_token_files,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLES = {
