@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from millrace.llm import decontaminate, html_text, language_id, line_dedup, near_dedup, neighbours, packing, rans, warc
+from millrace.llm import decontaminate, html_text, language_id, line_dedup, near_dedup, neighbours, packing, rans, suffix_dedup, warc
 from millrace.llm.batches import importable
 
 
@@ -32,6 +32,11 @@ def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.classes(table(spark, sf_dir, "documents"))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without bytes under 100-byte strings that start earlier."""
+    return suffix_dedup.without_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages as read back from the archives that were written of all pages."""
     return warc.archived(table(spark, sf_dir, "pages"))
@@ -61,6 +66,7 @@ QUERIES = {
     "op2_html_text": op2_html_text,
     "op3_language_id": op3_language_id,
     "op4_near_dedup": op4_near_dedup,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_warc": op6_warc,
     "op7_decontaminate": op7_decontaminate,
     "op8_neighbours": op8_neighbours,
