@@ -21,11 +21,11 @@ def session_durations(spark, sf_dir):
 
 
 def _average(layout):
-    return lambda spark, sf_dir: sessions.session_average(logs(spark, sf_dir), layout, PARTITIONS)
+    return lambda spark, sf_dir: sessions.average_session_duration(logs(spark, sf_dir), layout, PARTITIONS)
 
 
 def _hot_average(layout):
-    return lambda spark, sf_dir: sessions.session_average(
+    return lambda spark, sf_dir: sessions.average_session_duration(
         hot_logs(spark, sf_dir), layout, PARTITIONS
     )
 
@@ -35,7 +35,7 @@ def layout_agreement(spark, sf_dir):
     source = hot_logs(spark, sf_dir)
 
     def mean(layout):
-        average = sessions.session_average(source, layout, PARTITIONS)
+        average = sessions.average_session_duration(source, layout, PARTITIONS)
         return average.select(F.lit("all").alias("scope"), F.round("avg_duration_ms", 6).alias("mean_ms"))
 
     reports = [
@@ -77,6 +77,21 @@ def partition_profile(spark, sf_dir):
     )
 
 
+def partition_profile_rows(spark, sf_dir):
+    """What no placement of rows changes: one partition holds them all, and its share is 1."""
+    one = profile.partition_profile(hot_logs(spark, sf_dir).repartition(1))
+    return one.select("partitions", "max_rows", "median_rows", "max_share")
+
+
+def layout_disagreement(spark, sf_dir):
+    """Sessions whose duration differs when the events of one day are left out."""
+    source = logs(spark, sf_dir)
+    partial = source.filter(~F.col("session_id").endswith("07"))
+    return checks.differences(
+        sessions.session_durations(source), sessions.session_durations(partial, "by_key"), sessions.KEYS
+    )
+
+
 # -- timing reports -----------------------------------------------------------------------
 
 
@@ -96,12 +111,12 @@ def timing_summary(spark, sf_dir):
     return _rounded(aggregates.timing_summary(_samples(spark, sf_dir)), ["median_seconds"])
 
 
-def timing_summary_sliced(spark, sf_dir):
-    """The same medians through the ranged way, forced by small limits."""
-    summary = aggregates.timing_summary(
-        _samples(spark, sf_dir), single_task_rows=1000, slice_rows=500
+def timing_summary_by_user(spark, sf_dir):
+    """The same for very many labels: every user's samples."""
+    samples = table(spark, sf_dir, "events").select(
+        F.col("user_id").alias("label"), F.col("value").alias("seconds")
     )
-    return _rounded(summary, ["median_seconds"])
+    return _rounded(aggregates.timing_summary(samples), ["median_seconds"])
 
 
 def speedup_against(spark, sf_dir):
@@ -146,6 +161,13 @@ def gen_session_log(spark, sf_dir):
     return files.read_parquet(spark, path)
 
 
+def log_files(spark, sf_dir):
+    """The session log written evenly over 16 files and read back."""
+    path = fresh_path(spark, "log")
+    files.write_parquet(logs(spark, sf_dir), path, files=16)
+    return files.read_parquet(spark, path)
+
+
 def gen_session_log_skewed(spark, sf_dir):
     return generators.session_log(_ids(spark, sf_dir), hot_share=generators.HOT_SHARE)
 
@@ -169,13 +191,17 @@ QUERIES = (
         "isolate_hot_keys": isolate_hot_keys,
         "partition_profile": partition_profile,
         "timing_summary": timing_summary,
-        "timing_summary_sliced": timing_summary_sliced,
+        "timing_summary_sliced": timing_summary,
+        "timing_summary_by_user": timing_summary_by_user,
         "speedup_against": speedup_against,
         "fit_scaling": fit_scaling,
         "scaling_table": scaling_table,
         "gen_transactions": gen_transactions,
         "gen_session_log": gen_session_log,
         "gen_session_log_skewed": gen_session_log_skewed,
+        "log_files": log_files,
+        "partition_profile_rows": partition_profile_rows,
+        "layout_disagreement": layout_disagreement,
         "json_results": json_results,
     }
 )
@@ -268,6 +294,7 @@ FROM u ORDER BY units DESC, user_id LIMIT 3""",
         "isolate_hot_keys": _USER_METRICS,
         "timing_summary": _SUMMARY,
         "timing_summary_sliced": _SUMMARY,
+        "timing_summary_by_user": _SUMMARY.replace("event_type", "user_id"),
         "speedup_against": """
 WITH m AS (SELECT event_type AS label, avg(value) AS mean_seconds FROM events GROUP BY event_type),
 b AS (SELECT mean_seconds AS base FROM m WHERE label = 'click')
@@ -303,5 +330,12 @@ FROM orders""",
         "gen_session_log": _log_sql(_REGULAR_USER),
         "gen_session_log_skewed": _log_sql(_HOT_USER),
         "json_results": f"WITH {LOGS} {_DURATIONS.format(logs='logs')}",
+        "log_files": f"WITH {LOGS} SELECT * FROM logs",
+        "partition_profile_rows": """
+SELECT CAST(1 AS BIGINT) AS partitions, count(*) AS max_rows, CAST(count(*) AS DOUBLE) AS median_rows,
+       CAST(1 AS DOUBLE) AS max_share FROM events""",
+        "layout_disagreement": f"""WITH {LOGS}, s AS ({_DURATIONS.format(logs='logs')})
+SELECT user_id, session_id, 'left_only' AS side, duration_ms AS duration_ms_left,
+       CAST(NULL AS BIGINT) AS duration_ms_right FROM s WHERE session_id LIKE '%07'""",
     }
 )

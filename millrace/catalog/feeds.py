@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.catalog.inputs import (
-    CLEAN_FIELDS, FEED, JUDGED, PEOPLE, feed, gpa_changes, leavers, newcomers, people, table,
+    ATTEMPTS, CLEAN_FIELDS, FEED, JUDGED, PEOPLE, attempts, faulty_newcomers, feed, gpa_changes,
+    leavers, newcomers, people, table,
 )
-from millrace.operators import ingest, keyed_tables
+from millrace.functions.record_rules import with_record_key
+from millrace.operators import checks, ingest, keyed_tables
 from millrace.session import fresh_path
 from millrace.streaming.ingest_stream import feed_stream, run_ingest_stream
 
@@ -32,6 +34,24 @@ def insert_ignore(spark, sf_dir):
     return _shown(keyed_tables.insert_ignore(target, incoming, "email", "arrival_seq"))
 
 
+def accepted_load(spark, sf_dir):
+    """The same load with the table's rules enforced; no row breaks one."""
+    target = people(spark, sf_dir)
+    incoming = keyed_tables.with_defaults(
+        newcomers(spark, sf_dir), target, "arrival_seq", time_column=None
+    )
+    return _shown(
+        keyed_tables.insert_ignore(target, incoming, "email", "arrival_seq", checks.PEOPLE_RULES)
+    )
+
+
+def refused_load(spark, sf_dir):
+    """Why a load of faulty sign-ups is refused: rows that break each rule."""
+    target = people(spark, sf_dir)
+    added = keyed_tables.new_rows(target, faulty_newcomers(spark, sf_dir), "email", "arrival_seq")
+    return keyed_tables.broken_rules(added, target, checks.PEOPLE_RULES)
+
+
 def update_by_key(spark, sf_dir):
     changes = gpa_changes(spark, sf_dir)
     return _shown(keyed_tables.update_by_key(people(spark, sf_dir), changes, "id", ["gpa"], "seq"))
@@ -70,6 +90,27 @@ def dlq_rows(spark, sf_dir):
     return ingest.dead_letters(ingest.first_deliveries(feed(spark, sf_dir))).drop("failed_at")
 
 
+def keyless_records(spark, sf_dir):
+    """Records handled and received per reason, where records without an id share or lack arrival numbers."""
+    keyed = with_record_key(feed(spark, sf_dir))
+    number = F.when(F.col("arrival_seq") % 2 == 0, F.lit(7))
+    loose = keyed.withColumn(
+        "arrival_seq", F.when(F.col("record_key").isNull(), number).otherwise(F.col("arrival_seq"))
+    )
+    first = ingest.first_deliveries(loose.drop("record_key"))
+    return first.groupBy("reason_code").agg(
+        F.count("*").alias("records"), F.sum("deliveries").alias("received")
+    )
+
+
+def extra_members(spark, sf_dir):
+    """Clean records that carry a member no rule knows: it stays."""
+    source = feed(spark, sf_dir)
+    raw = F.regexp_replace("raw", r'^\{"', '{"site":"north","')
+    clean = ingest.clean_rows(ingest.first_deliveries(source.withColumn("raw", raw)))
+    return clean.select("record_id", "raw")
+
+
 def dlq_by_reason(spark, sf_dir):
     return ingest.dlq_by_reason(ingest.dead_letters(ingest.first_deliveries(feed(spark, sf_dir))))
 
@@ -94,7 +135,9 @@ def _ingested(spark, sf_dir) -> str:
     root = fresh_path(spark, "ingest")
     whole = feed(spark, sf_dir)
     for batch_id, source in enumerate([0, 1, 0]):
-        ingest.ingest_batch(whole.filter(F.col("batch_id") == source), batch_id, root)
+        ingest.ingest_batch(
+            whole.filter(F.col("batch_id") == source), batch_id, root, attempts(spark, sf_dir)
+        )
     return root
 
 
@@ -108,7 +151,9 @@ def retry_adds_nothing(spark, sf_dir):
     root = fresh_path(spark, "retry")
     whole = feed(spark, sf_dir)
     for batch_id in (0, 0, 1, 1):
-        ingest.ingest_batch(whole.filter(F.col("batch_id") == batch_id), batch_id, root)
+        ingest.ingest_batch(
+            whole.filter(F.col("batch_id") == batch_id), batch_id, root, attempts(spark, sf_dir)
+        )
     return ingest.read_sink(spark, root, "metrics")
 
 
@@ -121,7 +166,7 @@ def replay_slice(spark, sf_dir):
 
 
 def ingest_metrics(spark, sf_dir):
-    return ingest.batch_metrics(feed(spark, sf_dir))
+    return ingest.batch_metrics(feed(spark, sf_dir), attempts(spark, sf_dir))
 
 
 def reconcile(spark, sf_dir):
@@ -133,8 +178,19 @@ def reconcile(spark, sf_dir):
     )
 
 
+def reconcile_broken(spark, sf_dir):
+    """The same checks where a batch's clean rows are lost and its counters double what was received."""
+    root = _ingested(spark, sf_dir)
+    metrics = ingest.read_sink(spark, root, "metrics")
+    return ingest.reconcile(
+        metrics.withColumn("received", F.col("received") * 2),
+        ingest.read_sink(spark, root, "clean").filter(F.col("batch_id") != 0),
+        ingest.read_sink(spark, root, "dead_letter"),
+    )
+
+
 def quality_summary(spark, sf_dir):
-    return ingest.quality_summary(ingest.batch_metrics(feed(spark, sf_dir)))
+    return ingest.quality_summary(ingest.batch_metrics(feed(spark, sf_dir), attempts(spark, sf_dir)))
 
 
 def fetch_accounting(spark, sf_dir):
@@ -162,6 +218,8 @@ def ingest_stream(spark, sf_dir):
 QUERIES = {
     "ordered_people": ordered_people,
     "insert_ignore": insert_ignore,
+    "accepted_load": accepted_load,
+    "refused_load": refused_load,
     "update_by_key": update_by_key,
     "delete_by_key": delete_by_key,
     "affected_rows": affected_rows,
@@ -169,6 +227,8 @@ QUERIES = {
     "clean_rows": clean_rows,
     "dlq_rows": dlq_rows,
     "dlq_by_reason": dlq_by_reason,
+    "keyless_records": keyless_records,
+    "extra_members": extra_members,
     "malformed_split": malformed_split,
     "drop_seen": drop_seen,
     "replay_adds_nothing": replay_adds_nothing,
@@ -176,6 +236,7 @@ QUERIES = {
     "replay_slice": replay_slice,
     "ingest_metrics": ingest_metrics,
     "reconcile": reconcile,
+    "reconcile_broken": reconcile_broken,
     "quality_summary": quality_summary,
     "fetch_accounting": fetch_accounting,
     "ingest_stream": ingest_stream,
@@ -185,18 +246,19 @@ QUERIES = {
 
 _PERSON = "id, full_name, email, CAST(gpa AS DOUBLE) AS gpa"
 
-_BATCHES = f"""WITH {FEED}, {JUDGED},
+_BATCHES = f"""WITH {FEED}, {JUDGED}, {ATTEMPTS},
 received AS (SELECT batch_id, count(*) AS received FROM feed GROUP BY batch_id),
 handled AS (
     SELECT batch_id, count(*) FILTER (WHERE reason_code IS NULL) AS clean,
            count(*) FILTER (WHERE reason_code IS NOT NULL) AS dlq
     FROM fresh GROUP BY batch_id),
 metrics AS (
-    SELECT batch_id, received, clean, dlq, received - clean - dlq AS duplicates
-    FROM received JOIN handled USING (batch_id)),
+    SELECT batch_id, received, clean, dlq, received - clean - dlq AS duplicates, fetch_retries, fetch_failures
+    FROM received JOIN handled USING (batch_id) JOIN fetched USING (batch_id)),
 replay AS (
     SELECT CAST(2 AS BIGINT) AS batch_id, count(*) AS received, CAST(0 AS BIGINT) AS clean,
-           count(*) FILTER (WHERE record_key IS NULL) AS dlq, count(record_key) AS duplicates
+           count(*) FILTER (WHERE record_key IS NULL) AS dlq, count(record_key) AS duplicates,
+           CAST(0 AS BIGINT) AS fetch_retries, CAST(0 AS BIGINT) AS fetch_failures
     FROM verdict WHERE batch_id = 0)
 """
 
@@ -204,6 +266,17 @@ ORACLES = {
     "ordered_people": f"WITH {PEOPLE} SELECT {_PERSON} FROM people ORDER BY id",
     "insert_ignore": f"""WITH {PEOPLE}
 SELECT {_PERSON} FROM people UNION ALL SELECT {_PERSON} FROM added""",
+    "accepted_load": f"""WITH {PEOPLE}
+SELECT {_PERSON} FROM people UNION ALL SELECT {_PERSON} FROM added""",
+    "refused_load": f"""WITH {PEOPLE}
+SELECT 'full_name' AS column_name, 'not_null' AS rule, count(*) AS rows FROM faulty_added WHERE full_name IS NULL
+UNION ALL SELECT 'full_name', 'max_length', count(*) FROM faulty_added WHERE length(full_name) > 100
+UNION ALL SELECT 'email', 'not_null', count(*) FROM faulty_added WHERE email IS NULL
+UNION ALL SELECT 'email', 'max_length', count(*) FROM faulty_added WHERE length(email) > 100
+UNION ALL SELECT 'gpa', 'precision', count(*) FROM faulty_added WHERE TRY_CAST(gpa AS DECIMAL(5,2)) IS NULL
+UNION ALL SELECT 'email', 'unique',
+    (SELECT count(email) - count(DISTINCT email) FROM (SELECT email FROM faulty_added UNION ALL SELECT email FROM people))
+    - (SELECT count(email) - count(DISTINCT email) FROM people)""",
     "update_by_key": f"""WITH {PEOPLE},
 last_change AS (
     SELECT id, gpa FROM (
@@ -227,6 +300,13 @@ SELECT batch_id, arrival_seq, reason_code, reason_value FROM verdict""",
 SELECT raw, reason_code, reason_value FROM fresh WHERE reason_code IS NOT NULL""",
     "dlq_by_reason": f"""WITH {FEED}, {JUDGED}
 SELECT reason_code, count(*) AS rows FROM fresh WHERE reason_code IS NOT NULL GROUP BY reason_code""",
+    "keyless_records": f"""WITH {FEED}, {JUDGED},
+copies AS (SELECT record_key, count(*) AS n FROM verdict WHERE record_key IS NOT NULL GROUP BY record_key)
+SELECT reason_code, count(*) AS records, CAST(sum(coalesce(n, 1)) AS BIGINT) AS received
+FROM fresh LEFT JOIN copies USING (record_key) GROUP BY reason_code""",
+    "extra_members": f"""WITH {FEED}, {JUDGED}
+SELECT j->>'$.record_id' AS record_id, regexp_replace(raw, '^\\{{"', '{{"site":"north","') AS raw
+FROM fresh WHERE reason_code IS NULL""",
     "malformed_split": f"""WITH {FEED}
 SELECT raw, batch_id, arrival_seq, CASE WHEN json_valid(raw) THEN 'good' ELSE 'quarantined' END AS part
 FROM feed""",
@@ -237,9 +317,8 @@ SELECT record_key, raw, batch_id, arrival_seq FROM (
     FROM verdict WHERE batch_id = 1)
 WHERE record_key IS NULL OR (rn = 1 AND record_key NOT IN (SELECT record_key FROM ledger))""",
     "replay_adds_nothing": f"""{_BATCHES}
-SELECT received, clean, dlq, duplicates, batch_id FROM metrics
-UNION ALL SELECT received, clean, dlq, duplicates, batch_id FROM replay""",
-    "retry_adds_nothing": f"{_BATCHES} SELECT received, clean, dlq, duplicates, batch_id FROM metrics",
+SELECT * FROM metrics UNION ALL SELECT * FROM replay""",
+    "retry_adds_nothing": f"{_BATCHES} SELECT * FROM metrics",
     "replay_slice": f"WITH {FEED} SELECT * FROM feed ORDER BY arrival_seq LIMIT 5",
     "ingest_metrics": f"{_BATCHES} SELECT * FROM metrics",
     "reconcile": f"""{_BATCHES},
@@ -250,10 +329,21 @@ total AS (
 SELECT 'clean_stored' AS rule, clean AS expected, clean AS actual, true AS ok FROM total
 UNION ALL SELECT 'dlq_stored', dlq, dlq, true FROM total
 UNION ALL SELECT 'received_accounted', received, received, true FROM total""",
+    "reconcile_broken": f"""{_BATCHES},
+total AS (
+    SELECT CAST(sum(received) AS BIGINT) AS received, CAST(sum(clean) AS BIGINT) AS clean,
+           CAST(sum(dlq) AS BIGINT) AS dlq
+    FROM (SELECT * FROM metrics UNION ALL SELECT * FROM replay)),
+lost AS (SELECT clean AS n FROM metrics WHERE batch_id = 0)
+SELECT 'clean_stored' AS rule, clean AS expected, clean - n AS actual, n = 0 AS ok FROM total, lost
+UNION ALL SELECT 'dlq_stored', dlq, dlq, true FROM total
+UNION ALL SELECT 'received_accounted', received * 2, received, received * 2 = received FROM total""",
     "quality_summary": f"""{_BATCHES},
 total AS (
     SELECT CAST(sum(received) AS BIGINT) AS received, CAST(sum(clean) AS BIGINT) AS clean,
-           CAST(sum(dlq) AS BIGINT) AS dlq, CAST(sum(duplicates) AS BIGINT) AS duplicates FROM metrics)
+           CAST(sum(dlq) AS BIGINT) AS dlq, CAST(sum(duplicates) AS BIGINT) AS duplicates,
+           CAST(sum(fetch_retries) AS BIGINT) AS fetch_retries, CAST(sum(fetch_failures) AS BIGINT) AS fetch_failures
+    FROM metrics)
 SELECT *, round(CAST(clean AS DOUBLE) / (clean + dlq) * 100, 1) AS valid_pct,
        round(CAST(duplicates AS DOUBLE) / received * 100, 1) AS duplicate_pct
 FROM total""",

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import epoch_millis
-from millrace.session import on_all_cores, written
+from millrace.session import written
+from millrace.sources.files import fingerprint
 
 GROUPS = {
     "1-URGENT": "Expedited",
@@ -127,25 +128,27 @@ hot_logs AS (
 # -- sensor feed --------------------------------------------------------------------------
 
 
-_feeds: dict[tuple[str, str], DataFrame] = {}
+# Feeds written by this application, by the files they were made from.
+_feeds: dict[tuple, DataFrame] = {}
 
 
 def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The feed of `sf_dir`, written once per application and then read like a source table."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    """The feed of `sf_dir`: written once for the files there, and then read like a source table."""
+    source = f"{sf_dir}/events.parquet"
+    key = (spark.sparkContext.applicationId, sf_dir, fingerprint(spark, source))
     if key not in _feeds:
-        _feeds[key] = written(on_all_cores(derived_feed(spark, sf_dir)), "feed")
+        _feeds[key] = written(derived_feed(spark, sf_dir).hint("rebalance"), "feed")
     return _feeds[key]
 
 
 def derived_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as JSON sensor records: every kind of fault, and one of five delivered twice.
+    """Events as JSON sensor records: every reason, both sides of each bound, one of five delivered twice.
 
     The first half of the month is batch 0. Of the second deliveries half come in the batch of
     the first one, the others in batch 1. All records of one kind share the empty id.
     """
     e = table(spark, sf_dir, "events")
-    number, kind = F.col("event_id"), F.col("event_id") % 20
+    number, kind = F.col("event_id"), F.col("event_id") % 30
 
     def decimal(cents):
         return F.concat(
@@ -165,31 +168,37 @@ def derived_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(kind == 14, F.lit('""'))
         .otherwise(F.concat(F.lit('"rec-'), number.cast("string"), F.lit('"')))
     )
-    timestamp = F.when(kind == 8, F.lit('"not-a-date"')).otherwise(
+    timestamp = F.when(kind == 8, F.lit('"yesterday"')).otherwise(
         F.concat(F.lit('"'), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.lit('"'))
     )
     sensor = F.when(kind == 11, F.lit('""')).otherwise(
-        F.concat(F.lit('"sensor_'), (F.col("user_id") % 5 + 1).cast("string"), F.lit('"'))
+        F.concat(F.lit('"probe-'), (F.col("user_id") % 5 + 1).cast("string"), F.lit('"'))
     )
     temperature = (
         F.when(kind == 5, F.lit("null"))
-        .when(kind == 6, F.lit('"INVALID_TEMP"'))
-        .when(kind == 7, F.lit("999.99"))
+        .when(kind == 6, F.lit('"warm"'))
+        .when(kind == 7, F.lit("480.25"))
         .when(kind == 15, F.lit("-50"))
+        .when(kind == 19, F.lit("-50.01"))
+        .when(kind == 23, F.lit("100"))
+        .when(kind == 24, F.lit("100.01"))
         .otherwise(decimal(cents))
     )
     humidity = (
         F.when(kind == 9, F.lit("true"))
         .when(kind == 10, F.lit("100.01"))
         .when(kind == 16, F.lit("100"))
+        .when(kind == 20, F.lit("-0.01"))
+        .when(kind == 21, F.lit("null"))
+        .when(kind == 22, F.lit("0"))
         .otherwise(decimal(number % 4001 + 4000))
     )
     record = F.concat(
         F.lit("{"),
         F.concat_ws(
             ",",
-            member("record_id", record_id),
-            member("timestamp", timestamp),
+            member("record_id", record_id, missing=17),
+            member("timestamp", timestamp, missing=18),
             member("sensor_id", sensor, missing=3),
             member("temperature", temperature, missing=4),
             member("humidity", humidity, missing=2),
@@ -215,6 +224,18 @@ def derived_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event as a fetch for its batch that fails `event_id % 6` times before it succeeds."""
+    fails = F.col("event_id") % 6
+    tries = F.sequence(F.lit(1), F.least(fails + 1, F.lit(4)).cast("int"))
+    rows = table(spark, sf_dir, "events").select(
+        F.when(F.dayofmonth("ts") <= 15, 0).otherwise(1).cast("long").alias("batch_id"),
+        fails.alias("fails"),
+        F.explode(tries).alias("attempt"),
+    )
+    return rows.select("batch_id", "attempt", (F.col("attempt") > F.col("fails")).alias("ok"))
+
+
 def _decimal_sql(cents: str) -> str:
     return (
         f"CAST(({cents}) // 100 AS VARCHAR) || '.' || lpad(CAST(({cents}) % 100 AS VARCHAR), 2, '0')"
@@ -225,22 +246,24 @@ FEED = f"""
 made AS (
     SELECT event_id,
            CASE WHEN day(ts) <= 15 THEN 0 ELSE 1 END AS first_batch,
-           CASE event_id % 20
+           CASE event_id % 30
            WHEN 0 THEN 'not json {{' || CAST(event_id AS VARCHAR)
            WHEN 1 THEN '[' || CAST(event_id AS VARCHAR) || ',2]'
            ELSE '{{' || concat_ws(',',
-               '"record_id":' || CASE event_id % 20 WHEN 12 THEN 'null'
+               CASE WHEN event_id % 30 <> 17 THEN '"record_id":' || CASE event_id % 30 WHEN 12 THEN 'null'
                    WHEN 13 THEN CAST(event_id AS VARCHAR) WHEN 14 THEN '""'
-                   ELSE '"rec-' || CAST(event_id AS VARCHAR) || '"' END,
-               '"timestamp":' || CASE event_id % 20 WHEN 8 THEN '"not-a-date"'
-                   ELSE '"' || strftime(ts, '%Y-%m-%dT%H:%M:%S') || '"' END,
-               CASE WHEN event_id % 20 <> 3 THEN '"sensor_id":' || CASE event_id % 20 WHEN 11 THEN '""'
-                   ELSE '"sensor_' || CAST(user_id % 5 + 1 AS VARCHAR) || '"' END END,
-               CASE WHEN event_id % 20 <> 4 THEN '"temperature":' || CASE event_id % 20
-                   WHEN 5 THEN 'null' WHEN 6 THEN '"INVALID_TEMP"' WHEN 7 THEN '999.99' WHEN 15 THEN '-50'
+                   ELSE '"rec-' || CAST(event_id AS VARCHAR) || '"' END END,
+               CASE WHEN event_id % 30 <> 18 THEN '"timestamp":' || CASE event_id % 30 WHEN 8 THEN '"yesterday"'
+                   ELSE '"' || strftime(ts, '%Y-%m-%dT%H:%M:%S') || '"' END END,
+               CASE WHEN event_id % 30 <> 3 THEN '"sensor_id":' || CASE event_id % 30 WHEN 11 THEN '""'
+                   ELSE '"probe-' || CAST(user_id % 5 + 1 AS VARCHAR) || '"' END END,
+               CASE WHEN event_id % 30 <> 4 THEN '"temperature":' || CASE event_id % 30
+                   WHEN 5 THEN 'null' WHEN 6 THEN '"warm"' WHEN 7 THEN '480.25' WHEN 15 THEN '-50'
+                   WHEN 19 THEN '-50.01' WHEN 23 THEN '100' WHEN 24 THEN '100.01'
                    ELSE {_decimal_sql("CAST(round(value * 100) AS BIGINT) % 4500 + 1500")} END END,
-               CASE WHEN event_id % 20 <> 2 THEN '"humidity":' || CASE event_id % 20
+               CASE WHEN event_id % 30 <> 2 THEN '"humidity":' || CASE event_id % 30
                    WHEN 9 THEN 'true' WHEN 10 THEN '100.01' WHEN 16 THEN '100'
+                   WHEN 20 THEN '-0.01' WHEN 21 THEN 'null' WHEN 22 THEN '0'
                    ELSE {_decimal_sql("event_id % 4001 + 4000")} END END
                ) || '}}' END AS raw
     FROM events),
@@ -305,9 +328,17 @@ fresh AS (
         FROM verdict WHERE record_key IS NOT NULL) WHERE rn = 1)
 """
 
+ATTEMPTS = """
+fetched AS (
+    SELECT CAST(CASE WHEN day(ts) <= 15 THEN 0 ELSE 1 END AS BIGINT) AS batch_id,
+           CAST(sum(least(event_id % 6, 3)) AS BIGINT) AS fetch_retries,
+           CAST(sum(CAST(event_id % 6 >= 4 AS BIGINT)) AS BIGINT) AS fetch_failures
+    FROM events GROUP BY ALL)
+"""
+
 CLEAN_FIELDS = """
     j->>'$.record_id' AS record_id, j->>'$.timestamp' AS "timestamp", j->>'$.sensor_id' AS sensor_id,
-    CAST(j->>'$.temperature' AS DOUBLE) AS temperature, CAST(j->>'$.humidity' AS DOUBLE) AS humidity
+    CAST(j->>'$.temperature' AS DOUBLE) AS temperature, CAST(j->>'$.humidity' AS DOUBLE) AS humidity, raw
 """
 
 # -- people -------------------------------------------------------------------------------
@@ -336,6 +367,19 @@ def newcomers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def faulty_newcomers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sign-ups with values that break rules: no name or a long one, no address, a mark too high."""
+    kind = F.col("o_orderkey") % 50
+    who = (F.col("o_custkey") * 2).cast("string")
+    name = F.concat(F.lit("New "), who)
+    return table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("arrival_seq"),
+        F.when(kind == 1, F.lit("n" * 101)).when(kind != 0, name).alias("full_name"),
+        F.when(kind != 2, F.concat(F.lit("c"), who, F.lit("@example.org"))).alias("email"),
+        F.when(kind == 3, F.lit(1000.0)).otherwise(F.lit(99.5)).alias("gpa"),
+    )
+
+
 def gpa_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as changes: many per person, some of them to NULL, some for unknown ids."""
     cents = F.round(F.col("o_totalprice") * 100).cast("long") % 10000
@@ -368,6 +412,16 @@ gpa_changes AS (
            CASE WHEN o_orderstatus <> 'P' THEN
                CAST(CAST(round(o_totalprice * 100) AS BIGINT) % 10000 / 100.0 AS DECIMAL(5,2)) END AS gpa
     FROM orders),
+faulty AS (
+    SELECT o_orderkey AS arrival_seq,
+           CASE o_orderkey % 50 WHEN 0 THEN NULL WHEN 1 THEN repeat('n', 101)
+                ELSE 'New ' || CAST(o_custkey * 2 AS VARCHAR) END AS full_name,
+           CASE WHEN o_orderkey % 50 <> 2 THEN 'c' || CAST(o_custkey * 2 AS VARCHAR) || '@example.org' END AS email,
+           CASE WHEN o_orderkey % 50 = 3 THEN 1000.0 ELSE 99.5 END AS gpa
+    FROM orders),
+faulty_added AS (
+    SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY email ORDER BY arrival_seq) AS rn FROM faulty)
+    WHERE email IS NULL OR (rn = 1 AND email NOT IN (SELECT email FROM people))),
 leavers AS (SELECT o_custkey + 1 AS id FROM orders WHERE o_orderpriority = '1-URGENT'),
 added AS (
     SELECT (SELECT max(id) FROM people) + arrival_seq + 1 AS id, full_name, email, gpa

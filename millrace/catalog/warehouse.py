@@ -7,12 +7,12 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.functions.columns import parse_timestamp, round_even
 from millrace.catalog.inputs import GROUPS, TX, money, table, tx
 from millrace.operators import checks
 from millrace.operators.aggregates import filtered_stats, sum_by, table_counts
 from millrace.operators.dimensional import (
-    build_snowflake, build_star, date_dim, dimension_values, hour_values, load_fact, store,
-    stored,
+    date_dim, dimension_values, hour_values, load_fact, load_layouts, stored,
 )
 from millrace.operators.ordering import dense_keys
 from millrace.plans.warehouse import (
@@ -22,36 +22,43 @@ from millrace.plans.warehouse import (
 from millrace.session import fresh_path
 from millrace.sources import files
 
-_values: dict[tuple[str, str], dict[str, DataFrame]] = {}
-_loaded: dict[tuple[str, str, str], dict[str, DataFrame]] = {}
+CENTS = 2  # the given prices have two decimals
+
+# Layouts loaded by this application, by the files they were made from.
+_loaded: dict[tuple, dict[str, DataFrame]] = {}
 
 
 def layout(spark, sf_dir: str, kind: str) -> dict[str, DataFrame]:
-    """The star or snowflake tables of `sf_dir`, loaded once per application and then read."""
-    names = STAR_TABLES if kind == "star" else SNOWFLAKE_TABLES
-    app = spark.sparkContext.applicationId
-    key = (app, sf_dir, kind)
+    """The star or snowflake tables of `sf_dir`: loaded once for the files there, then read."""
+    source = tx(spark, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir, files.fingerprint(spark, f"{sf_dir}/orders.parquet"))
     if key not in _loaded:
-        source = tx(spark, sf_dir)
-        if (app, sf_dir) not in _values:
-            _values[app, sf_dir] = dimension_values(source)
-        root = fresh_path(spark, kind)
-        build = build_star if kind == "star" else build_snowflake
-        store(build(source, GROUPS, _values[app, sf_dir]), root)
-        _loaded[key] = stored(spark, root, names)
-    return _loaded[key]
+        star_root, snow_root = fresh_path(spark, "star"), fresh_path(spark, "snow")
+        load_layouts(source, GROUPS, star_root, snow_root)
+        _loaded[key] = stored(spark, star_root, STAR_TABLES) | stored(spark, snow_root, SNOWFLAKE_TABLES)
+    names = STAR_TABLES if kind == "star" else SNOWFLAKE_TABLES
+    return {name: _loaded[key][name] for name in names}
 
 
 # -- files --------------------------------------------------------------------------------
 
 
 def sum_by_category(spark, sf_dir):
-    return sum_by(tx(spark, sf_dir), "category", "amount", "total_amount")
+    return sum_by(tx(spark, sf_dir), "category", "amount", "total_amount", CENTS)
 
 
 def filtered_count_mean(spark, sf_dir):
     wanted = (F.col("status") == "F") & (F.col("amount") > 1000)
-    return filtered_stats(tx(spark, sf_dir), wanted, "amount")
+    return filtered_stats(tx(spark, sf_dir), wanted, "amount", CENTS)
+
+
+def discounted_revenue(spark, sf_dir):
+    """Revenue after discount, whose amounts have no fixed number of decimals."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_returnflag", (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("revenue")
+    )
+    total = sum_by(lines, "l_returnflag", "revenue", "revenue")
+    return total.withColumn("revenue", F.round("revenue", 3))
 
 
 def _tx_text(spark, sf_dir):
@@ -62,14 +69,14 @@ def csv_roundtrip_sum(spark, sf_dir):
     path = fresh_path(spark, "csv")
     files.write_csv(_tx_text(spark, sf_dir), path)
     back = files.read_transactions_csv(spark, path, ["category", "amount"])
-    return sum_by(back, "category", "amount", "total_amount")
+    return sum_by(back, "category", "amount", "total_amount", CENTS)
 
 
 def csv_filtered_count_mean(spark, sf_dir):
     path = fresh_path(spark, "csv")
     files.write_csv(_tx_text(spark, sf_dir), path)
     back = files.read_transactions_csv(spark, path, ["status", "amount"])
-    return filtered_stats(back, (F.col("status") == "F") & (F.col("amount") > 1000), "amount")
+    return filtered_stats(back, (F.col("status") == "F") & (F.col("amount") > 1000), "amount", CENTS)
 
 
 def csv_roundtrip_rows(spark, sf_dir):
@@ -84,11 +91,38 @@ def parquet_codec_sum(spark, sf_dir):
         path = fresh_path(spark, f"parquet-{codec}")
         files.write_parquet(tx(spark, sf_dir), path, codec)
         back = files.read_parquet(spark, path, ["category", "amount"])
-        total = sum_by(back, "category", "amount", "total_amount")
+        total = sum_by(back, "category", "amount", "total_amount", CENTS)
         parts.append(total.withColumn("codec", F.lit(codec)))
     return reduce(DataFrame.unionByName, parts)
 
 
+def storage_rows(spark, sf_dir):
+    """What no codec changes: the rows that every stored form gives back."""
+    paths = {"csv": fresh_path(spark, "csv")}
+    files.write_csv(_tx_text(spark, sf_dir), paths["csv"])
+    tables = {"csv": files.read_transactions_csv(spark, paths["csv"])}
+    for codec in files.CODECS:
+        path = paths[f"parquet_{codec}"] = fresh_path(spark, f"parquet-{codec}")
+        files.write_parquet(tx(spark, sf_dir), path, codec)
+        tables[f"parquet_{codec}"] = files.read_parquet(spark, path)
+    sizes = files.storage_footprint(spark, paths, "csv").select(
+        F.col("layout").alias("table_name"), (F.col("megabytes") > 0).alias("stored")
+    )
+    return table_counts(tables).join(sizes, "table_name")
+
+
+def parsed_timestamps(spark, sf_dir):
+    """Event times as text, and parsed again."""
+    text = table(spark, sf_dir, "events").select("event_id", F.col("ts").cast("string").alias("text"))
+    return text.select("event_id", parse_timestamp("text").alias("ts"))
+
+
+def half_even_quantities(spark, sf_dir):
+    """Eighths of quantities at two decimals: ties go to the even digit."""
+    eighths = table(spark, sf_dir, "lineitem").select((F.col("l_quantity") / 8).alias("eighth"))
+    return eighths.groupBy("eighth").agg(F.count("*").alias("rows")).withColumn("rounded", round_even("eighth"))
+
+
 def storage_footprint(spark, sf_dir):
     paths = {"csv": fresh_path(spark, "csv")}
     files.write_csv(_tx_text(spark, sf_dir), paths["csv"])
@@ -114,11 +148,8 @@ def dim_date_hour(spark, sf_dir):
 
 
 def part_supplier_keys(spark, sf_dir):
-    """Dense keys for a large domain: the ranged way, forced by small limits."""
-    pairs = table(spark, sf_dir, "lineitem")
-    return dense_keys(
-        pairs, ["l_partkey", "l_suppkey"], "pair_id", "long", single_task_rows=1000, slice_rows=50_000
-    )
+    """Dense keys for a large domain."""
+    return dense_keys(table(spark, sf_dir, "lineitem"), ["l_partkey", "l_suppkey"], "pair_id", "long")
 
 
 def fact_load(spark, sf_dir):
@@ -146,9 +177,9 @@ def load_guard(spark, sf_dir):
 # -- revenue questions --------------------------------------------------------------------
 
 _QUESTIONS = {
-    "q1": (revenue_by_category_status, ["category_name", "status_name"]),
-    "q2": (revenue_by_group_year, ["group_name", "year"]),
-    "q3": (lambda tables: daily_revenue_by_group(tables, "F"), ["group_name", "year", "month", "day"]),
+    "q1": (lambda tables: revenue_by_category_status(tables, CENTS), ["category_name", "status_name"]),
+    "q2": (lambda tables: revenue_by_group_year(tables, CENTS), ["group_name", "year"]),
+    "q3": (lambda tables: daily_revenue_by_group(tables, "F", CENTS), ["group_name", "year", "month", "day"]),
 }
 
 
@@ -177,7 +208,7 @@ def result_differences(spark, sf_dir):
     star = layout(spark, sf_dir, "star")
     keys = ["group_name", "year", "month", "day"]
     return checks.differences(
-        daily_revenue_by_group(star, "F"), daily_revenue_by_group(star, "P"), keys
+        daily_revenue_by_group(star, "F", CENTS), daily_revenue_by_group(star, "P", CENTS), keys
     )
 
 
@@ -249,6 +280,25 @@ def layout_integrity(spark, sf_dir):
     )
 
 
+def broken_layout_integrity(spark, sf_dir):
+    """A star whose status dimension lost a row and whose fact holds some transactions twice."""
+    t = layout(spark, sf_dir, "star")
+    fact = t["star_fact_transactions"]
+    twice = fact.unionByName(fact.filter(F.col("transaction_id") % 10 == 0))
+    statuses = t["star_dim_status"].filter(F.col("status_name") != "F")
+    broken = {
+        "fact.transaction_id unique": checks.key_violations(twice, ["transaction_id"]),
+        "fact.status_id references status": checks.orphans(twice, "status_id", statuses, "status_id"),
+    }
+    return reduce(
+        DataFrame.unionByName,
+        [
+            rows.agg(F.count("*").alias("broken")).select(F.lit(label).alias("constraint_name"), "broken")
+            for label, rows in broken.items()
+        ],
+    )
+
+
 def star_table_counts(spark, sf_dir):
     return table_counts(layout(spark, sf_dir, "star") | layout(spark, sf_dir, "snow"))
 
@@ -275,11 +325,16 @@ def rule_violations(spark, sf_dir):
 QUERIES = {
     "sum_by_category": sum_by_category,
     "filtered_count_mean": filtered_count_mean,
+    "discounted_revenue": discounted_revenue,
     "csv_roundtrip_sum": csv_roundtrip_sum,
     "csv_filtered_count_mean": csv_filtered_count_mean,
     "csv_roundtrip_rows": csv_roundtrip_rows,
     "parquet_codec_sum": parquet_codec_sum,
     "storage_footprint": storage_footprint,
+    "storage_rows": storage_rows,
+    "parsed_timestamps": parsed_timestamps,
+    "half_even_quantities": half_even_quantities,
+    "broken_layout_integrity": broken_layout_integrity,
     "dim_category": _star("star_dim_category"),
     "dim_status": _star("star_dim_status"),
     "dim_date": _star("star_dim_date"),
@@ -403,6 +458,20 @@ def _breaking_rows(column: str, rule: str, condition: str, source: str) -> str:
 
 
 ORACLES = {
+    "storage_rows": """
+SELECT unnest(['csv', 'parquet_none', 'parquet_snappy', 'parquet_gzip']) AS table_name, n AS rows, true AS stored
+FROM (SELECT count(*) AS n FROM orders)""",
+    "parsed_timestamps": "SELECT event_id, ts FROM events",
+    "half_even_quantities": """
+SELECT l_quantity / 8 AS eighth, count(*) AS rows, round_even(l_quantity / 8, 2) AS rounded
+FROM lineitem GROUP BY ALL""",
+    "broken_layout_integrity": """
+SELECT 'fact.transaction_id unique' AS constraint_name, count(*) AS broken FROM orders WHERE o_orderkey % 10 = 0
+UNION ALL
+SELECT 'fact.status_id references status', count(DISTINCT o_orderstatus) FROM orders WHERE o_orderstatus = 'F'""",
+    "discounted_revenue": """
+SELECT l_returnflag, round(CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(4,2)))) AS DOUBLE), 3) AS revenue
+FROM lineitem GROUP BY l_returnflag""",
     "sum_by_category": _SUM,
     "csv_roundtrip_sum": _SUM,
     "filtered_count_mean": _STATS,

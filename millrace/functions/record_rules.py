@@ -18,11 +18,13 @@ HUMIDITY_RANGE = (0.0, 100.0)
 TEXT_FIELDS = ["record_id", "timestamp", "sensor_id"]
 MEASURES = ["temperature", "humidity"]
 
-# Calendar date, optionally with a time of day and a UTC offset.
+# ISO 8601 as the usual parsers accept it: a calendar or week date, extended or basic, then
+# optionally one separator of any kind, a time of day (extended or basic, with a fraction of any
+# number of digits after a point or comma) and an offset below 24 hours.
+_CLOCK = r"(?:[01]\d|2[0-3])(?::[0-5]\d(?::[0-5]\d)?|[0-5]\d(?:[0-5]\d)?)?(?:[.,]\d+)?"
 ISO_SHAPE = (
-    r"^\d{4}-\d{2}-\d{2}"
-    r"([T ]\d{2}(:\d{2}(:\d{2}([.,]\d{1,9})?)?)?"
-    r"(Z|[+-]\d{2}(:?\d{2}(:?\d{2})?)?)?)?$"
+    r"^(?:(\d{4})(-?)(\d{2})\2(\d{2})|(\d{4})(-?)W(\d{2})(?:\6([1-7]))?)"
+    rf"(?:[\s\S]{_CLOCK}(?:Z|[+-]{_CLOCK})?)?$"
 )
 
 _RECORD = "struct<" + ",".join(f"{key}:variant" for key in REQUIRED_KEYS) + ">"
@@ -31,8 +33,11 @@ _RECORD = "struct<" + ",".join(f"{key}:variant" for key in REQUIRED_KEYS) + ">"
 def with_record(df: DataFrame, raw: str = "raw") -> DataFrame:
     """Adds `record`: the required members as VARIANT, NULL when the text is not a JSON object.
 
-    A member that is absent is NULL; one that holds a JSON null is a VARIANT null.
+    A member that is absent is NULL; one that holds a JSON null is a VARIANT null. Of members with
+    one name the last counts, as parsers of JSON have it; Spark has a setting for that, which this
+    switches on in the session.
     """
+    df.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     return df.withColumn("record", F.try_variant_get(F.try_parse_json(F.col(raw)), "$", _RECORD))
 
 
@@ -55,9 +60,22 @@ def with_record_key(df: DataFrame) -> DataFrame:
 
 
 def is_iso_timestamp(text: Column) -> Column:
-    return (
-        text.rlike(ISO_SHAPE) & ~text.startswith("0000") & text.try_cast("timestamp").isNotNull()
-    )
+    """Whether the text is an ISO 8601 date or timestamp whose day exists, in the years 1 to 9999."""
+
+    def part(group: int) -> Column:
+        return F.regexp_extract(text, ISO_SHAPE, group)
+
+    calendar = F.concat_ws("-", part(1), part(3), part(4)).try_cast("date").isNotNull()
+    # The fourth of January is always in week 1; week 53 exists in a year whose last days reach it.
+    fourth = F.concat(part(5), F.lit("-01-04")).try_cast("date")
+    week = part(7).try_cast("int")
+    monday = F.date_add(F.date_trunc("week", fourth).cast("date"), (week - 1) * 7)
+    day = F.coalesce(part(8).try_cast("int"), F.lit(1))
+    by_week = F.when(week.between(1, 52), True).when(week == 53, F.weekofyear(monday) == 53).otherwise(False)
+    by_week = by_week & (F.year(F.date_add(monday, day - 1)) <= 9999)
+    year = F.when(part(5) == "", part(1)).otherwise(part(5))
+    shaped = text.rlike(ISO_SHAPE) & (year != "0000")
+    return shaped & F.when(part(5) == "", calendar).otherwise(by_week)
 
 
 def _with_typed_fields(df: DataFrame) -> DataFrame:

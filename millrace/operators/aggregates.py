@@ -9,26 +9,29 @@ from pyspark.sql import functions as F
 
 from millrace.functions.columns import exact_sum, share
 from millrace.operators.ordering import running_total
-from millrace.session import written
 
 
-def sum_by(df: DataFrame, key: str, value: str, out: str = "total") -> DataFrame:
-    """Sum per non-null key; a key with nothing but nulls sums to 0."""
+def sum_by(
+    df: DataFrame, key: str, value: str, out: str = "total", digits: int | None = None
+) -> DataFrame:
+    """Sum per non-null key; a key with nothing but nulls sums to 0. `digits` as in exact_sum."""
     return (
         df.filter(F.col(key).isNotNull())
         .groupBy(key)
-        .agg(F.coalesce(exact_sum(value), F.lit(0.0)).alias(out))
+        .agg(F.coalesce(exact_sum(value, digits), F.lit(0.0)).alias(out))
     )
 
 
-def filtered_stats(df: DataFrame, predicate: Column, value: str) -> DataFrame:
-    """One row: how many rows pass, and the mean of the non-null values among them."""
+def filtered_stats(
+    df: DataFrame, predicate: Column, value: str, digits: int | None = None
+) -> DataFrame:
+    """One row: how many rows pass, and the mean of the values among them that are not NULL or NaN."""
     return (
         df.filter(predicate)
         .agg(
             F.count("*").alias("count"),
-            exact_sum(value).alias("total"),
-            F.count(value).alias("present"),
+            exact_sum(value, digits).alias("total"),
+            F.count(F.when(~F.isnan(value), F.col(value))).alias("present"),
         )
         .select("count", share("total", "present").alias("mean_amount"))
     )
@@ -43,9 +46,7 @@ def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, counts).orderBy("table_name")
 
 
-def timing_summary(
-    df: DataFrame, label: str = "label", value: str = "seconds", **sizes: int
-) -> DataFrame:
+def timing_summary(df: DataFrame, label: str = "label", value: str = "seconds") -> DataFrame:
     """Exact median, min, max and number of samples per label.
 
     Equal samples are first folded into one row with a count. The medians are then picked
@@ -54,15 +55,12 @@ def timing_summary(
     folded = df.filter(F.col(value).isNotNull()).groupBy(label, value).agg(
         F.count("*").alias("copies")
     )
-    ranked = running_total(folded, [label, value], "copies", "through", **sizes)
-    labels = written(
-        ranked.groupBy(label).agg(
-            F.min(F.col("through") - F.col("copies")).alias("base"),
-            F.sum("copies").alias("runs"),
-            F.min(value).alias("min_seconds"),
-            F.max(value).alias("max_seconds"),
-        ),
-        "labels",
+    ranked = running_total(folded, [label, value], "copies", "through")
+    labels = ranked.groupBy(label).agg(
+        F.min(F.col("through") - F.col("copies")).alias("base"),
+        F.sum("copies").alias("runs"),
+        F.min(value).alias("min_seconds"),
+        F.max(value).alias("max_seconds"),
     )
     placed = ranked.alias("r").join(
         labels.alias("l"), F.col(f"r.{label}").eqNullSafe(F.col(f"l.{label}"))

@@ -146,10 +146,6 @@ def _close(a: Column, b: Column, rtol: float, atol: float) -> Column:
     return a.eqNullSafe(b) | F.coalesce(gap <= atol + rtol * F.abs(b.cast("double")), F.lit(False))
 
 
-def _has_repeated_key(df: DataFrame, keys: list[str]) -> bool:
-    return not df.groupBy(*keys).count().filter("count > 1").isEmpty()
-
-
 def differences(
     a: DataFrame, b: DataFrame, keys: list[str], rtol: float = 1e-9, atol: float = 0.0
 ) -> DataFrame:
@@ -167,11 +163,8 @@ def differences(
         for f in a.schema
         if f.dataType.typeName() in ("byte", "short", "integer", "long", "float", "double", "decimal")
     }
-    pairing = list(keys)
-    if _has_repeated_key(a, keys) or _has_repeated_key(b, keys):
-        a = numbered_within(a, keys, values, "copy")
-        b = numbered_within(b, keys, values, "copy")
-        pairing = [*keys, "copy"]
+    pairing = [*keys, "copy"]
+    a, b = (numbered_within(side, keys, values, "copy") for side in (a, b))
 
     left, right = a.withColumn("here", F.lit(1)).alias("a"), b.withColumn("here", F.lit(1)).alias("b")
     same = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in pairing]

@@ -12,6 +12,7 @@ from millrace.functions.columns import (
     hour_number, hour_number_date, hour_number_text, second_text, with_group,
 )
 from millrace.operators.ordering import dense_keys
+from millrace.session import written
 
 # The category hierarchy.
 CATEGORY_GROUPS = {
@@ -22,6 +23,7 @@ CATEGORY_GROUPS = {
     "Entertainment": "Services / Leisure",
 }
 
+# The columns of the fact.
 FACT_COLUMNS = [
     "transaction_id", "user_id", "category_id", "status_id", "date_id", "transaction_ts", "amount",
 ]
@@ -39,13 +41,18 @@ def hour_values(tx: DataFrame, ts: str = "timestamp") -> DataFrame:
 
 
 def dimension_values(tx: DataFrame) -> Tables:
-    """The three keyed value lists both layouts share. Each reads a single source column."""
-    category = tx.select(F.col("category").alias("category_name"))
-    status = tx.select(F.col("status").alias("status_name"))
+    """The three keyed value lists both layouts share, from one scan of the source.
+
+    The combinations that occur are folded and written once; each list is then read from them.
+    """
+    found = with_hour(tx).select(
+        F.col("category").alias("category_name"), F.col("status").alias("status_name"), "hour_number"
+    )
+    found = written(found.distinct(), "combinations")
     return {
-        "category": dense_keys(category, ["category_name"], "category_id"),
-        "status": dense_keys(status, ["status_name"], "status_id"),
-        "hour": hour_values(tx),
+        "category": written(dense_keys(found, ["category_name"], "category_id"), "category"),
+        "status": written(dense_keys(found, ["status_name"], "status_id"), "status"),
+        "hour": written(dense_keys(found, ["hour_number"], "date_id"), "hour"),
     }
 
 
@@ -75,6 +82,7 @@ def load_fact(tx: DataFrame, values: Tables) -> DataFrame:
 
 
 def build_star(tx: DataFrame, mapping: dict[str, str], values: Tables | None = None) -> Tables:
+    """The star layout; its fact scans the source once more than the values did."""
     values = values or dimension_values(tx)
     category = with_group(values["category"], "category_name", mapping, "category_group")
     return {
@@ -85,14 +93,20 @@ def build_star(tx: DataFrame, mapping: dict[str, str], values: Tables | None = N
     }
 
 
-def build_snowflake(tx: DataFrame, mapping: dict[str, str], values: Tables | None = None) -> Tables:
+def build_snowflake(
+    tx: DataFrame,
+    mapping: dict[str, str],
+    values: Tables | None = None,
+    fact: DataFrame | None = None,
+) -> Tables:
+    """The snowflake layout. `fact` is the fact of a star that was stored, which is the same table."""
     values = values or dimension_values(tx)
     category = with_group(values["category"], "category_name", mapping, "group_name")
-    groups = dense_keys(category, ["group_name"], "group_id")
+    groups = written(dense_keys(category, ["group_name"], "group_id"), "groups")
 
     dates = date_dim(values["hour"])
-    years = dense_keys(dates.select(F.col("year").alias("year_val")), ["year_val"], "year_id")
-    months = dense_keys(dates, ["year", "month"], "month_id").join(
+    years = written(dense_keys(dates.select(F.col("year").alias("year_val")), ["year_val"], "year_id"), "years")
+    months = written(dense_keys(dates, ["year", "month"], "month_id"), "months").join(
         years, F.col("year") == F.col("year_val")
     )
     return {
@@ -106,7 +120,7 @@ def build_snowflake(tx: DataFrame, mapping: dict[str, str], values: Tables | Non
         "snow_dim_date": dates.join(months, ["year", "month"]).select(
             "date_id", "date_hour", "day", "hour", "month_id"
         ),
-        "snow_fact_transactions": load_fact(tx, values),
+        "snow_fact_transactions": load_fact(tx, values) if fact is None else fact,
     }
 
 
@@ -116,5 +130,17 @@ def store(tables: Tables, root: str) -> None:
         table.write.mode("overwrite").parquet(f"{root}/{name}")
 
 
+def load_layouts(tx: DataFrame, mapping: dict[str, str], star_root: str, snow_root: str) -> None:
+    """Both layouts from two scans of the source: one for the keys, one for the fact.
+
+    The snowflake's fact is a copy of the star's.
+    """
+    values = dimension_values(tx)
+    star = build_star(tx, mapping, values)
+    store(star, star_root)
+    fact = stored(tx.sparkSession, star_root, ["star_fact_transactions"])["star_fact_transactions"]
+    store(build_snowflake(tx, mapping, values, fact), snow_root)
+
+
 def stored(spark: SparkSession, root: str, names: list[str]) -> Tables:
     return {name: spark.read.parquet(f"{root}/{name}") for name in names}

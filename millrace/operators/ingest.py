@@ -19,18 +19,20 @@ from millrace.functions.columns import share
 from millrace.functions.record_rules import with_record_key, with_verdict
 from millrace.operators.keyed_tables import first_per_key, known_keys, without_keys
 
+# The record's fields, the counters, and how often a fetch is tried.
 RECORD_FIELDS = ["record_id", "timestamp", "sensor_id", "temperature", "humidity"]
+COUNTERS = ["received", "clean", "dlq", "duplicates", "fetch_retries", "fetch_failures"]
+FETCH_ATTEMPTS = 4
+FETCH_BASE_WAIT = 0.2
 
 SINK_SCHEMAS = {
-    "clean": "record_id string, timestamp string, sensor_id string, temperature double, humidity double",
+    # `raw` is the record as it came, with members beyond the fields.
+    "clean": "record_id string, timestamp string, sensor_id string, temperature double, humidity double, raw string",
     "dead_letter": "raw string, reason_code string, reason_value string, failed_at timestamp",
     "ledger": "record_key string",
-    "metrics": "received long, clean long, dlq long, duplicates long",
+    "metrics": ", ".join(f"{name} long" for name in COUNTERS),
 }
 
-FETCH_ATTEMPTS = 4
-FETCH_BASE_WAIT = 0.2
-
 
 # -- validation ---------------------------------------------------------------------------
 
@@ -41,7 +43,8 @@ def validate(feed: DataFrame) -> DataFrame:
 
 
 def clean_rows(validated: DataFrame) -> DataFrame:
-    return validated.filter(F.col("reason_code").isNull()).select(*RECORD_FIELDS)
+    """The typed fields, and the whole record as it came."""
+    return validated.filter(F.col("reason_code").isNull()).select(*RECORD_FIELDS, "raw")
 
 
 def dead_letters(validated: DataFrame) -> DataFrame:
@@ -71,12 +74,10 @@ def split_malformed(stored: DataFrame, raw: str = "raw") -> tuple[DataFrame, Dat
 def first_deliveries(feed: DataFrame) -> DataFrame:
     """One validated row per record id: its first delivery, and the number of deliveries.
 
-    Records without an id (or with a nested one) are never copies of each other. Validating
-    before folding means one parse per record, and only rejected records carry their text
-    through the shuffle.
+    Records without an id (or with a nested one) are never copies of each other, whatever their
+    arrival numbers. Validating before folding means one parse per record.
     """
-    judged = validate(feed).withColumn("raw", F.when(F.col("reason_code").isNotNull(), F.col("raw")))
-    return first_per_key(judged, "record_key", "arrival_seq")
+    return first_per_key(validate(feed), "record_key", "arrival_seq")
 
 
 def drop_seen(feed: DataFrame, ledger: DataFrame) -> DataFrame:
@@ -111,8 +112,13 @@ def _replace(df: DataFrame, root: str, sink: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(_batch_path(root, sink, batch_id))
 
 
-def ingest_batch(feed: DataFrame, batch_id: int, root: str) -> None:
-    """Handles one batch; running it again with the same batch_id changes nothing."""
+def ingest_batch(
+    feed: DataFrame, batch_id: int, root: str, attempts: DataFrame | None = None
+) -> None:
+    """Handles one batch; running it again with the same batch_id changes nothing.
+
+    `attempts` (batch_id, attempt, ok) is the log of fetches; without one no fetch failed.
+    """
     spark = feed.sparkSession
     first = first_deliveries(feed).persist()
     seen = None
@@ -125,7 +131,7 @@ def ingest_batch(feed: DataFrame, batch_id: int, root: str) -> None:
         clean, dead = split(handled)
         _replace(clean, root, "clean", batch_id)
         _replace(dead, root, "dead_letter", batch_id)
-        counters = _stored_counters(spark, root, batch_id, received)
+        counters = _stored_counters(spark, root, batch_id, received, attempts)
         _replace(counters, root, "metrics", batch_id)
         ids = handled.filter(F.col("record_key").isNotNull()).select("record_key")
         _replace(ids, root, "ledger", batch_id)
@@ -135,7 +141,9 @@ def ingest_batch(feed: DataFrame, batch_id: int, root: str) -> None:
             seen.unpersist()
 
 
-def _stored_counters(spark: SparkSession, root: str, batch_id: int, received: int) -> DataFrame:
+def _stored_counters(
+    spark: SparkSession, root: str, batch_id: int, received: int, attempts: DataFrame | None
+) -> DataFrame:
     """One metrics row. Counting what was just written reads no more than file footers."""
 
     def stored_rows(sink: str) -> Column:
@@ -146,14 +154,23 @@ def _stored_counters(spark: SparkSession, root: str, batch_id: int, received: in
         F.lit(received).cast("long").alias("received"),
         stored_rows("clean").alias("clean"),
         stored_rows("dead_letter").alias("dlq"),
+        *_fetch_counters(attempts, batch_id),
     )
-    return counted.withColumn("duplicates", F.col("received") - F.col("clean") - F.col("dlq"))
+    return counted.withColumn("duplicates", F.col("received") - F.col("clean") - F.col("dlq")).select(*COUNTERS)
+
+
+def _fetch_counters(attempts: DataFrame | None, batch_id: int) -> list[Column]:
+    names = ["fetch_retries", "fetch_failures"]
+    if attempts is None:
+        return [F.lit(0).cast("long").alias(name) for name in names]
+    mine = fetch_accounting(attempts.filter(F.col("batch_id") == batch_id))
+    return [mine.agg(F.coalesce(F.sum(name), F.lit(0))).scalar().alias(name) for name in names]
 
 
 # -- accounting ---------------------------------------------------------------------------
 
 
-def batch_metrics(feed: DataFrame) -> DataFrame:
+def batch_metrics(feed: DataFrame, attempts: DataFrame | None = None) -> DataFrame:
     """Per-batch counters of a whole feed that starts from an empty ledger.
 
     The same figures ingest_batch stores, computed in one go: an id counts in the batch of
@@ -165,23 +182,29 @@ def batch_metrics(feed: DataFrame) -> DataFrame:
         F.count_if(F.col("reason_code").isNotNull()).alias("dlq"),
     )
     zero = F.lit(0).cast("long")
-    counted = received.join(handled, "batch_id", "left").select(
-        "batch_id",
-        "received",
-        F.coalesce("clean", zero).alias("clean"),
-        F.coalesce("dlq", zero).alias("dlq"),
+    counted = received.join(handled, "batch_id", "left")
+    if attempts is None:
+        counted = counted.withColumn("fetch_retries", zero).withColumn("fetch_failures", zero)
+    else:
+        # A batch whose every fetch failed brought no record, and is counted all the same.
+        counted = counted.join(fetch_accounting(attempts), "batch_id", "full_outer")
+    counted = counted.select(
+        "batch_id", *[F.coalesce(F.col(name), zero).alias(name) for name in COUNTERS if name != "duplicates"]
     )
-    return counted.withColumn("duplicates", F.col("received") - F.col("clean") - F.col("dlq"))
+    counted = counted.withColumn("duplicates", F.col("received") - F.col("clean") - F.col("dlq"))
+    return counted.select("batch_id", *COUNTERS)
 
 
 def total_metrics(metrics: DataFrame) -> DataFrame:
     """Counters over all batches; 0 before the first batch."""
-    names = ["received", "clean", "dlq", "duplicates"]
-    return metrics.agg(*[F.coalesce(F.sum(n), F.lit(0)).cast("long").alias(n) for n in names])
+    return metrics.agg(*[F.coalesce(F.sum(n), F.lit(0)).cast("long").alias(n) for n in COUNTERS])
 
 
 def quality_summary(metrics: DataFrame) -> DataFrame:
-    """Shares in percent, one decimal; NULL where the whole is 0."""
+    """Counters, with fetch retries and lost batches (fetch_failures), and shares in percent.
+
+    Shares have one decimal and are NULL where the whole is 0.
+    """
     total = total_metrics(metrics)
     unique = F.col("clean") + F.col("dlq")
     return total.select(

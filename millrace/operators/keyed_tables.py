@@ -11,16 +11,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.checks import Rule, check_rules
+from millrace.session import written
 
 
 def first_per_key(df: DataFrame, key: str, order_by: str, copies: str = "deliveries") -> DataFrame:
-    """The first row per key in the order of `order_by` (unique, not negative), with a copy count.
+    """The first row per key in the order of `order_by`, with a copy count.
 
-    Rows with a null key are no copies of each other: each stays a row of its own. The copies
-    of a key are folded before the shuffle, so one key may hold any share of the rows.
+    Ties in `order_by` (a null comes first) go by the other columns. Rows with a null key are no
+    copies of each other: each stays a row of its own, told apart by its place in its partition. The
+    copies of a key are folded before the shuffle, so one key may hold any share of the rows.
     """
     rest = [c for c in df.columns if c not in (key, order_by)]
-    own_row = F.when(F.col(key).isNull(), F.col(order_by)).otherwise(F.lit(-1)).cast("long")
+    own_row = F.when(F.col(key).isNull(), F.monotonically_increasing_id()).otherwise(F.lit(-1).cast("long"))
     folded = (
         df.withColumn("own_row", own_row)
         .groupBy(key, "own_row")
@@ -45,16 +47,41 @@ def without_keys(first: DataFrame, known: DataFrame, key: str) -> DataFrame:
     return first.join(marked, [key, "own_row"], "left_anti")
 
 
-def refuse_if_broken(df: DataFrame, rules: list[Rule]) -> None:
-    """Raises when any row breaks a rule: a load is taken as a whole or not at all."""
-    broken = [r for r in check_rules(df, rules).collect() if r["rows"]]
+def broken_rules(added: DataFrame, rest: DataFrame, rules: list[Rule]) -> DataFrame:
+    """(column_name, rule, rows): what `added` would break in a table that holds `rest` too.
+
+    For `unique`, rows counts the values of `added` that occur in it before or in `rest`.
+    """
+    row_rules = [r for r in rules if r.kind != "unique"]
+    reports = [check_rules(added, row_rules)] if row_rules else []
+    for rule in rules:
+        if rule.kind == "unique":
+            value = F.col(rule.column)
+            new = added.filter(value.isNotNull()).groupBy(value.alias("v")).agg(F.count("*").alias("n"))
+            old = rest.select(value.alias("v")).join(new, "v", "left_semi").distinct().withColumn("old", F.lit(1))
+            taken = F.coalesce(F.sum(F.col("n") - 1 + F.coalesce("old", F.lit(0))), F.lit(0))
+            reports.append(
+                new.join(old, "v", "left").agg(taken.alias("rows")).select(
+                    F.lit(rule.column).alias("column_name"), F.lit("unique").alias("rule"), "rows"
+                )
+            )
+    return reduce(DataFrame.unionByName, reports)
+
+
+def refuse_if_broken(df: DataFrame, rules: list[Rule], rest: DataFrame | None = None) -> None:
+    """Raises when `df` breaks a rule, alone or beside `rest`: a load is taken as a whole or not at all."""
+    report = check_rules(df, rules) if rest is None else broken_rules(df, rest, rules)
+    broken = [r for r in report.collect() if r["rows"]]
     if broken:
         found = ", ".join(f"{r['column_name']} {r['rule']} ({r['rows']} rows)" for r in broken)
         raise ValueError(f"rules broken: {found}")
 
 
 def new_rows(target: DataFrame, incoming: DataFrame, key: str, order_by: str) -> DataFrame:
-    """What insert-ignore would add: the first arrival per key, unless the target has the key."""
+    """What insert-ignore would add: the first arrival per key, unless the target has the key.
+
+    Rows with a null key are among them, so that rules can refuse them.
+    """
     first = first_per_key(incoming, key, order_by)
     return without_keys(first, known_keys(first, target, key), key).select(*incoming.columns)
 
@@ -73,10 +100,19 @@ def with_defaults(
     return rows.withColumn(time_column, F.current_timestamp()) if time_column else rows
 
 
-def insert_ignore(target: DataFrame, incoming: DataFrame, key: str, order_by: str) -> DataFrame:
-    """Target plus new rows. `incoming` has the target's columns and the arrival number."""
-    added = new_rows(target, incoming, key, order_by)
-    return target.unionByName(added.select(*target.columns))
+def insert_ignore(
+    target: DataFrame, incoming: DataFrame, key: str, order_by: str, rules: list[Rule] | None = None
+) -> DataFrame:
+    """Target plus new rows. `incoming` has the target's columns and the arrival number.
+
+    With `rules` the rows to add are written first and checked, beside the target; one broken rule
+    refuses the whole load (ValueError). A row with a null key is never inserted.
+    """
+    added = new_rows(target, incoming, key, order_by).select(*target.columns)
+    if rules:
+        added = written(added, "added")
+        refuse_if_broken(added, rules, target)
+    return target.unionByName(added.filter(F.col(key).isNotNull()))
 
 
 def last_change_per_key(changes: DataFrame, key: str, cols: list[str], order_by: str) -> DataFrame:
@@ -88,12 +124,26 @@ def last_change_per_key(changes: DataFrame, key: str, cols: list[str], order_by:
 
 
 def update_by_key(
-    target: DataFrame, changes: DataFrame, key: str, cols: list[str], order_by: str
+    target: DataFrame,
+    changes: DataFrame,
+    key: str,
+    cols: list[str],
+    order_by: str,
+    rules: list[Rule] | None = None,
 ) -> DataFrame:
-    """Sets `cols` from the last change per key. A NULL in the change is written as NULL."""
+    """Sets `cols` from the last change per key. A NULL in the change is written as NULL.
+
+    With `rules` the new values are checked as they come, before they are cast to the target's
+    types, and uniqueness in the table that results; one broken rule refuses the whole update.
+    """
+    if rules:
+        last = last_change_per_key(changes, key, cols, order_by).join(target.select(key), key, "left_semi")
+        row_rules = [r for r in rules if r.kind != "unique" and r.column in cols]
+        if row_rules:
+            refuse_if_broken(last.select(key, "change.*"), row_rules)
     joined = target.join(last_change_per_key(changes, key, cols, order_by), key, "left")
     hit = F.col("change").isNotNull()
-    return joined.select(
+    updated = joined.select(
         *[
             F.when(hit, F.col(f"change.{c}")).otherwise(F.col(c)).cast(target.schema[c].dataType).alias(c)
             if c in cols
@@ -101,6 +151,11 @@ def update_by_key(
             for c in target.columns
         ]
     )
+    distinct = [r for r in rules or [] if r.kind == "unique" and r.column in cols]
+    if distinct:
+        updated = written(updated, "updated")
+        refuse_if_broken(updated, distinct)
+    return updated
 
 
 def delete_by_key(target: DataFrame, keys: DataFrame, key: str) -> DataFrame:
@@ -118,7 +173,7 @@ def affected_rows(
     """(op, rows): how many rows each operation adds, changes or removes on this target."""
     hit = {}
     if inserts is not None:
-        hit["insert"] = new_rows(target, inserts, key, order_by)
+        hit["insert"] = new_rows(target, inserts, key, order_by).filter(F.col(key).isNotNull())
     if updates is not None:
         hit["update"] = target.join(updates.select(key).distinct(), key, "left_semi")
     if deletes is not None:

@@ -1,84 +1,75 @@
-"""Running totals and dense keys over a global order, without one task seeing all rows."""
+"""Running totals and dense keys over a global order, without one task seeing all rows.
 
-from __future__ import annotations
+All of them take one way, whatever the size: the rows are range-partitioned by the order and written once,
+so that ranges cannot move in a retry; each range is then numbered on its own, and what lies before it is
+added from one row per range. How many ranges there are follows the size (adaptive execution joins small
+ones) and is bounded by the session's number of shuffle partitions.
+"""
 
-import math
+from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.session import written
 
-SINGLE_TASK_ROWS = 200_000
-SLICE_ROWS = 2_000_000
-MAX_SLICES = 20_000
+_UP_TO_HERE = (Window.unboundedPreceding, Window.currentRow)
+
+
+def _in_ranges(df: DataFrame, order_by: list[str]) -> DataFrame:
+    """`df` written in ranges of the order, with `slice`: the number of the range, in order."""
+    ranged = df.repartitionByRange(*[F.col(c) for c in order_by])
+    return written(ranged.withColumn("slice", F.spark_partition_id()), "ranges")
 
 
-def running_total(
-    df: DataFrame,
-    order_by: list[str],
-    weight: str,
-    out: str,
-    single_task_rows: int = SINGLE_TASK_ROWS,
-    slice_rows: int = SLICE_ROWS,
-) -> DataFrame:
+def running_total(df: DataFrame, order_by: list[str], weight: str, out: str) -> DataFrame:
     """Adds `out`: the sum of `weight` over all rows up to and including this one.
 
-    Rows must be distinct in `order_by`. Up to `single_task_rows` rows one ordered window is
-    cheapest. Beyond that the rows are cut into ranges of the order, each range is summed on
-    its own, and the totals of the ranges before it (at most MAX_SLICES numbers) are added.
-    The ranges are written down first, so that a recomputed task cannot see other bounds.
+    Rows must be distinct in `order_by`.
     """
-    rows = written(df, "ordered")
-    n_rows = rows.count()
-    up_to_here = (Window.unboundedPreceding, Window.currentRow)
-    if n_rows <= single_task_rows:
-        window = Window.orderBy(*order_by).rowsBetween(*up_to_here)
-        return rows.withColumn(out, F.sum(weight).over(window))
-
-    slices = min(MAX_SLICES, max(2, math.ceil(n_rows / slice_rows)))
-    sliced = written(
-        rows.repartitionByRange(slices, *order_by).withColumn("slice", F.spark_partition_id()),
-        "sliced",
-    )
+    sliced = _in_ranges(df, order_by)
     totals = sliced.groupBy("slice").agg(F.sum(weight).alias("slice_total"))
-    through = F.sum("slice_total").over(Window.orderBy("slice").rowsBetween(*up_to_here))
+    through = F.sum("slice_total").over(Window.orderBy("slice").rowsBetween(*_UP_TO_HERE))
     before = totals.select("slice", (through - F.col("slice_total")).alias("before"))
     inside = F.sum(weight).over(
-        Window.partitionBy("slice").orderBy(*order_by).rowsBetween(*up_to_here)
+        Window.partitionBy("slice").orderBy(*order_by).rowsBetween(*_UP_TO_HERE)
     )
-    totalled = sliced.join(F.broadcast(before), "slice").withColumn(out, F.col("before") + inside)
-    return written(totalled.drop("slice", "before"), "totalled")
+    joined = sliced.join(F.broadcast(before), "slice")
+    return joined.withColumn(out, F.col("before") + inside).drop("slice", "before")
 
 
-def dense_keys(
-    df: DataFrame, columns: list[str], key: str, key_type: str = "int", **sizes: int
-) -> DataFrame:
+def dense_keys(df: DataFrame, columns: list[str], key: str, key_type: str = "int") -> DataFrame:
     """One row per distinct non-null value of `columns`, numbered 1..n in sorted order."""
     values = df.select(*columns).dropna().distinct().withColumn("one", F.lit(1).cast("long"))
-    numbered = running_total(values, columns, "one", key, **sizes)
+    numbered = running_total(values, columns, "one", key)
     return numbered.select(F.col(key).cast(key_type).alias(key), *columns)
 
 
-def numbered_within(
-    df: DataFrame, keys: list[str], order_by: list[str], out: str, **sizes: int
-) -> DataFrame:
+def numbered_within(df: DataFrame, keys: list[str], order_by: list[str], out: str) -> DataFrame:
     """Adds `out`: 1, 2, ... within each key in the order of `order_by`.
 
-    A key may hold any share of the rows: the numbering is global and the number where the
-    key starts is taken off again. Equal rows are told apart by an arbitrary tie-breaker.
+    A key may hold any share of the rows: they are numbered range by range, and only the last key of
+    each range, with its count, is carried to the next ones. Equal rows are told apart by an arbitrary
+    tie-breaker.
     """
-    tied = df.withColumn("tie", F.monotonically_increasing_id()).withColumn(
-        "one", F.lit(1).cast("long")
+    tied = df.withColumn("tie", F.monotonically_increasing_id())
+    sliced = _in_ranges(tied, [*keys, *order_by, "tie"])
+    local = F.row_number().over(Window.partitionBy("slice", *keys).orderBy(*order_by, "tie"))
+    numbered = sliced.withColumn("key", F.struct(*keys)).withColumn("local", local.cast("long"))
+    ends = numbered.groupBy("slice").agg(
+        F.min("key").alias("first_key"),
+        F.max(F.struct("key", "local")).alias("last"),
+    )
+    # Ranges that end with one key follow each other, so its rows so far are a sum over them.
+    so_far = F.sum("last.local").over(
+        Window.partitionBy("last.key").orderBy("slice").rowsBetween(*_UP_TO_HERE)
     )
-    ranked = running_total(tied, [*keys, *order_by, "tie"], "one", "position", **sizes)
-    starts = ranked.groupBy(*keys).agg(F.min("position").alias("start"))
-    same_key = [F.col(f"r.{k}").eqNullSafe(F.col(f"s.{k}")) for k in keys]
-    return (
-        ranked.alias("r")
-        .join(starts.alias("s"), same_key, "inner")
-        .select(
-            *[F.col(f"r.{c}").alias(c) for c in df.columns],
-            (F.col("r.position") - F.col("s.start") + 1).alias(out),
-        )
+    order = Window.orderBy("slice")
+    ends = ends.withColumn("so_far", so_far)
+    carried = F.when(
+        F.col("first_key").eqNullSafe(F.lag("last.key").over(order)), F.lag("so_far").over(order)
     )
+    ends = ends.select("slice", "first_key", F.coalesce(carried, F.lit(0)).alias("carried"))
+    joined = numbered.join(F.broadcast(ends), "slice")
+    number = F.col("local") + F.when(F.col("key").eqNullSafe(F.col("first_key")), F.col("carried")).otherwise(0)
+    return joined.select(*df.columns, number.alias(out))

@@ -4,7 +4,7 @@ Input: logs(user_id, session_id, event_timestamp LONG ms).
 
 `default` is the layout to run: Spark folds each session inside the map tasks, so one
 exchange carries at most one row per session and task. The other layouts move the events
-themselves first and are kept for comparison; all of them give the same result.
+themselves first, fold them where they are, and are kept for comparison; all give the same result.
 """
 
 from __future__ import annotations
@@ -23,67 +23,41 @@ SALT_BUCKETS = 32
 def hot_groups(df: DataFrame, keys: list[str], parts: int) -> DataFrame:
     """Keys that hold more than 1/parts of all rows. There are always fewer than `parts`."""
     counts = df.groupBy(*keys).agg(F.count("*").alias("rows"))
-    total = counts.agg(F.sum("rows")).scalar()
+    total = df.agg(F.count("*")).scalar()
     return counts.filter(F.col("rows") * parts > total).select(*keys)
 
 
-def with_spread(
-    df: DataFrame, hot: DataFrame, keys: list[str], by: str, parts: int, out: str
-) -> DataFrame:
-    """Adds `out`: 0, but for rows of a hot key a bucket of `by` in [0, parts).
-
-    Partitioning by the keys and `out` keeps ordinary keys in one place and spreads hot ones.
-    `hot` comes from hot_groups, so fewer than `parts` rows are broadcast.
-    """
-    hot = F.broadcast(hot.withColumn("is_hot", F.lit(True))).alias("h")
-    same = [F.col(f"d.{k}").eqNullSafe(F.col(f"h.{k}")) for k in keys]
-    bucket = F.when(F.col("h.is_hot"), salt(F.col(f"d.{by}"), parts)).otherwise(F.lit(0))
-    return df.alias("d").join(hot, same, "left").select("d.*", bucket.alias(out))
-
+def laid_out(df: DataFrame, layout: str, partitions: int | None = None, buckets: int = SALT_BUCKETS) -> DataFrame:
+    """The events repartitioned for `layout`, over `partitions` (the session's number by default).
 
-def laid_out(
-    df: DataFrame, layout: str, partitions: int, buckets: int = SALT_BUCKETS
-) -> tuple[DataFrame, list[str]]:
-    """The events repartitioned for `layout`, and the columns that place an event besides KEYS.
-
-    A user or a session that would fill more than one partition is spread over several.
+    By key, by user and salted, the events are rebalanced: adaptive execution cuts a partition that a
+    hot user or session has filled into several, from the sizes it has seen, so no count of keys is
+    needed beforehand.
     """
     if layout not in LAYOUTS:
         raise ValueError(f"layout must be one of {LAYOUTS}")
     if layout == "default":
-        return df, []
+        return df
+    partitions = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if layout == "round_robin":
-        return df.repartition(partitions), []
-    hot_sessions = hot_groups(df, KEYS, partitions)
-    hot_users = hot_groups(df, ["user_id"], partitions)
-    df = with_spread(df, hot_sessions, KEYS, "event_timestamp", partitions, "session_spread")
-    if layout == "by_key":
-        return df.repartition(partitions, *KEYS, "session_spread"), ["session_spread"]
-    if layout == "by_user":
-        df = with_spread(df, hot_users, ["user_id"], "session_id", partitions, "user_spread")
-        place = ["user_spread", "session_spread"]
-    else:
+        return df.repartition(partitions)
+    if layout == "salted":
         df = with_salt(df, "session_id", buckets, "salt")
-        place = ["salt", "session_spread"]
-    return df.repartition(partitions, "user_id", *place), place
+    by = {"by_key": KEYS, "by_user": ["user_id"], "salted": ["user_id", "salt"]}[layout]
+    return df.hint("rebalance", partitions, *by)
 
 
 def session_durations(
-    df: DataFrame, layout: str = "default", partitions: int = 200, buckets: int = SALT_BUCKETS
+    df: DataFrame, layout: str = "default", partitions: int | None = None, buckets: int = SALT_BUCKETS
 ) -> DataFrame:
     """(user_id, session_id, duration_ms): last minus first event; 0 for a single event."""
-    events, place = laid_out(df, layout, partitions, buckets)
-    first, last = F.min("event_timestamp"), F.max("event_timestamp")
-    if not place:
-        return events.groupBy(*KEYS).agg((last - first).alias("duration_ms"))
-    # Grouping by the placing columns needs no exchange; what is left is a row per session
-    # and, for a hot session, a row per partition it was spread over.
-    parts = events.groupBy(*KEYS, *place).agg(first.alias("first_ms"), last.alias("last_ms"))
-    return parts.groupBy(*KEYS).agg((F.max("last_ms") - F.min("first_ms")).alias("duration_ms"))
+    events = laid_out(df, layout, partitions, buckets)
+    duration = F.max("event_timestamp") - F.min("event_timestamp")
+    return events.groupBy(*KEYS).agg(duration.alias("duration_ms"))
 
 
 def average_session_duration(
-    df: DataFrame, layout: str = "default", partitions: int = 200
+    df: DataFrame, layout: str = "default", partitions: int | None = None
 ) -> DataFrame:
     """One row: mean duration and number of sessions."""
     return (
@@ -93,9 +67,6 @@ def average_session_duration(
     )
 
 
-session_average = average_session_duration
-
-
 def units_per_key(df: DataFrame, key: str = "user_id", unit: str = "session_id") -> DataFrame:
     """Distinct units per key."""
     return df.select(key, unit).distinct().groupBy(key).agg(F.count("*").alias("units"))
@@ -151,15 +122,16 @@ def two_stage_user_metrics(df: DataFrame, buckets: int = SALT_BUCKETS) -> DataFr
     return _salted_user_metrics(with_salt(_sessions(df), "session_id", buckets))
 
 
-def isolate_hot_keys(df: DataFrame, k: int = 3, buckets: int = SALT_BUCKETS) -> DataFrame:
-    """The same metrics with only the k hottest users salted; all others go in one step.
+def isolate_hot_keys(df: DataFrame, parts: int | None = None, buckets: int = SALT_BUCKETS) -> DataFrame:
+    """The same metrics with every hot user salted; all others go in one step.
 
-    Events are folded to sessions once and written, because the hot set and the metrics both
-    need them. The hot set (k rows) is broadcast, so hot and cold users share one pass.
+    Hot is a user with more than 1/parts of all sessions (the session's number of shuffle partitions by
+    default), so there are fewer than `parts`, and their names are broadcast. Events are folded to
+    sessions once and written, because the hot set and the metrics both need them.
     """
+    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sessions = written(_sessions(df), "sessions")
-    units = sessions.groupBy("user_id").agg(F.count("*").alias("units"))
-    hot = _hottest(units, "user_id", k).select("user_id", F.lit(True).alias("is_hot"))
+    hot = hot_groups(sessions, ["user_id"], parts).withColumn("is_hot", F.lit(True))
     joined = sessions.alias("s").join(
         F.broadcast(hot).alias("h"), F.col("s.user_id").eqNullSafe(F.col("h.user_id")), "left"
     )

@@ -59,35 +59,37 @@ def _with_calendar(facts: DataFrame, layout: Tables) -> DataFrame:
     )
 
 
-def revenue_by_category_status(layout: Tables) -> DataFrame:
+def revenue_by_category_status(layout: Tables, digits: int | None = None) -> DataFrame:
     keys = ["category_name", "status_name"]
     return (
         _fact(layout)
         .join(_category(layout), "category_id")
         .join(_status(layout), "status_id")
         .groupBy(*keys)
-        .agg(F.count("*").alias("total_txns"), exact_sum("amount").alias("total_amount"))
+        .agg(F.count("*").alias("total_txns"), exact_sum("amount", digits).alias("total_amount"))
         .orderBy(*keys)
     )
 
 
-def revenue_by_group_year(layout: Tables) -> DataFrame:
+def revenue_by_group_year(layout: Tables, digits: int | None = None) -> DataFrame:
     keys = ["group_name", "year"]
     facts = _with_calendar(_with_group(_fact(layout), layout), layout)
     return (
         facts.groupBy(*keys)
-        .agg(exact_sum("amount").alias("total_amount"))
+        .agg(exact_sum("amount", digits).alias("total_amount"))
         .orderBy(*keys)
     )
 
 
-def daily_revenue_by_group(layout: Tables, status: str = "COMPLETED") -> DataFrame:
+def daily_revenue_by_group(
+    layout: Tables, status: str = "COMPLETED", digits: int | None = None
+) -> DataFrame:
     keys = ["group_name", "year", "month", "day"]
     wanted = _status(layout).filter(F.col("status_name") == status)
     facts = _with_group(_fact(layout).join(wanted, "status_id"), layout)
     return (
         _with_calendar(facts, layout)
         .groupBy(*keys)
-        .agg(F.count("*").alias("total_txns"), exact_sum("amount").alias("total_amount"))
+        .agg(F.count("*").alias("total_txns"), exact_sum("amount", digits).alias("total_amount"))
         .orderBy(*keys)
     )

@@ -56,14 +56,3 @@ def written(df: DataFrame, label: str) -> DataFrame:
     path = fresh_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def on_all_cores(df: DataFrame) -> DataFrame:
-    """`df` over at least as many partitions as there are cores.
-
-    For costly per-row work on a source of few small files. A source that is large enough to
-    fill the cluster has more partitions than that and is left as it is, without a shuffle.
-    Meant for a plan without shuffles, whose partitions are known before it runs.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

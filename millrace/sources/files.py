@@ -77,6 +77,13 @@ def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
+def fingerprint(spark: SparkSession, path: str) -> int:
+    """A number that changes when a file below `path` is added, removed or replaced; reads no contents."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    each = F.xxhash64("path", "length", F.unix_micros("modificationTime"))
+    return listed.agg(F.coalesce(F.bit_xor(each), F.lit(0))).first()[0]
+
+
 def storage_footprint(spark: SparkSession, layouts: dict[str, str], baseline: str) -> DataFrame:
     """(layout, files, megabytes, saved_pct): stored size, and percent saved against `baseline`.
 
