@@ -32,7 +32,8 @@ def laid_out(df: DataFrame, layout: str, partitions: int | None = None, buckets:
 
     By key, by user and salted, the events are rebalanced: adaptive execution cuts a partition that a
     hot user or session has filled into several, from the sizes it has seen, so no count of keys is
-    needed beforehand.
+    needed beforehand. The rows are placed by a hash of the keys, not the keys themselves: a partition
+    may be cut as long as nothing relies on finding a whole key in it.
     """
     if layout not in LAYOUTS:
         raise ValueError(f"layout must be one of {LAYOUTS}")
@@ -44,7 +45,7 @@ def laid_out(df: DataFrame, layout: str, partitions: int | None = None, buckets:
     if layout == "salted":
         df = with_salt(df, "session_id", buckets, "salt")
     by = {"by_key": KEYS, "by_user": ["user_id"], "salted": ["user_id", "salt"]}[layout]
-    return df.hint("rebalance", partitions, *by)
+    return df.withColumn("place", F.hash(*by)).hint("rebalance", partitions, "place").drop("place")
 
 
 def session_durations(

@@ -5,6 +5,8 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
+import pytest
+
 from millrace.functions.columns import exact_sum
 from millrace.operators import aggregates
 
@@ -13,7 +15,7 @@ def test_sum_by(spark, rows):
     df = spark.createDataFrame(
         [("a", 0.1), ("a", 0.2), ("b", None), (None, 5.0), ("c", 1.0), ("c", None)], "k string, v double"
     )
-    assert rows(aggregates.sum_by(df, "k", "v")) == [("a", 0.3), ("b", 0.0), ("c", 1.0)]
+    assert rows(aggregates.sum_by(df, "k", "v", digits=1)) == [("a", 0.3), ("b", 0.0), ("c", 1.0)]
 
 
 def test_filtered_stats(spark):
@@ -39,8 +41,10 @@ def test_timing_summary(spark):
     data = [(k, v) for k, vs in samples.items() for v in vs] + [("odd", None), ("none", None)]
     df = spark.createDataFrame(data, "label string, seconds double").repartition(3)
     expected = {k: (statistics.median(v), min(v), max(v), len(v)) for k, v in samples.items()}
-    for sizes in ({}, {"single_task_rows": 0, "slice_rows": 2}):
-        found = {r["label"]: tuple(r)[1:] for r in aggregates.timing_summary(df, **sizes).collect()}
+    for joined in ("true", "false"):  # one range, or as many as there are partitions
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", joined)
+        found = {r["label"]: tuple(r)[1:] for r in aggregates.timing_summary(df).collect()}
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
         assert found == expected
 
 
@@ -90,11 +94,35 @@ def test_exact_sum(spark):
     values = [0.1, 0.2, 0.3, -0.01, 499978.59, -499978.58, 9_000_000_000_000.01, 0.1, None]
     df = spark.createDataFrame([(v,) for v in values], "v double")
     exact = sum(Decimal(str(v)) for v in values if v is not None)
-    assert df.select(exact_sum("v")).first()[0] == float(exact)
+    assert df.select(exact_sum("v", 2)).first()[0] == float(exact)
     negative = spark.createDataFrame([(-0.01,), (-5.55,)], "v double")
-    assert negative.select(exact_sum("v")).first()[0] == -5.56
+    assert negative.select(exact_sum("v", 2)).first()[0] == -5.56
     many = spark.range(1_000_000).select(F.lit(499_999.99).alias("v"))
-    assert many.select(exact_sum("v")).first()[0] == 499_999_990_000.0
-    assert df.filter("v is null").select(exact_sum("v")).first()[0] is None
+    assert many.select(exact_sum("v", 2)).first()[0] == 499_999_990_000.0
+    assert df.filter("v is null").select(exact_sum("v", 2)).first()[0] is None
     whole = spark.createDataFrame([(3,), (4,)], "v long")
-    assert whole.select(exact_sum("v")).first()[0] == 7.0
+    assert whole.select(exact_sum("v", 2)).first()[0] == 7.0
+
+
+def test_exact_sum_of_any_doubles(spark):
+    import math
+    import random
+
+    random.seed(1)
+    cases = [[0.125, 0.004, 0.004, 0.004], [0.0011], [1e15, 1e-3, -1e15], [-5.55, -0.01], [1e-9] * 10, [2.0**60, 1.0, -(2.0**60)]]
+    cases += [[random.uniform(-1, 1) * 10 ** random.randint(-4, 12) for _ in range(50)] for _ in range(30)]
+    rows = [(i, v) for i, values in enumerate(cases) for v in values]
+    df = spark.createDataFrame(rows, "i int, v double").repartition(5)
+    found = {r["i"]: r["s"] for r in df.groupBy("i").agg(exact_sum("v").alias("s")).collect()}
+    for i, values in enumerate(cases):
+        assert math.isclose(found[i], math.fsum(values), rel_tol=1e-15, abs_tol=1e-18), values
+
+
+def test_exact_sum_skips_nan_and_never_rounds(spark):
+    nan, inf = float("nan"), float("inf")
+    df = spark.createDataFrame([("a", 1.5), ("a", nan), ("a", None), ("b", nan), ("c", inf), ("c", 1.0), ("d", inf), ("d", -inf)], "k string, v double")
+    found = {r["k"]: r["s"] for r in df.groupBy("k").agg(exact_sum("v").alias("s")).collect()}
+    assert (found["a"], found["b"], found["c"]) == (1.5, None, inf) and found["d"] != found["d"]
+    assert df.filter("k = 'a'").select(exact_sum("v", 1)).first()[0] == 1.5
+    with pytest.raises(Exception, match="not an amount with 2 decimals"):
+        spark.createDataFrame([(0.125,)], "v double").select(exact_sum("v", 2)).collect()

@@ -62,6 +62,34 @@ def test_records_without_an_id_are_never_duplicates(spark, root):
     assert stored(spark, root, "ledger", "record_key") == []
 
 
+def test_keyless_records_with_one_or_no_arrival_number(spark, root):
+    raws = ['{"x":1}', "[1]", "oops", "oops"]
+    same = spark.createDataFrame([(r, 0, 7) for r in raws], "raw string, batch_id long, arrival_seq long")
+    ingest.ingest_batch(same, 0, root)
+    none = spark.createDataFrame([(r, 1, None) for r in raws], "raw string, batch_id long, arrival_seq long")
+    ingest.ingest_batch(none, 1, root)
+    assert counters(spark, root) == [(4, 0, 4, 0), (4, 0, 4, 0)]
+
+
+def test_ties_of_one_id_keep_one_record(spark, root):
+    raws = [rec("a"), rec("a", 30.0), rec("a")]
+    tied = spark.createDataFrame([(r, 0, None) for r in raws], "raw string, batch_id long, arrival_seq long")
+    ingest.ingest_batch(tied, 0, root)
+    assert counters(spark, root) == [(3, 1, 0, 2)]
+
+
+def test_clean_records_keep_every_member(spark, root):
+    ingest.ingest_batch(feed(spark, [rec("a", site="north"), rec("b", 999.0, site="south")]), 0, root)
+    assert [json.loads(r)["site"] for (r,) in stored(spark, root, "clean", "raw")] == ["north"]
+    assert [json.loads(r)["site"] for (r,) in stored(spark, root, "dead_letter", "raw")] == ["south"]
+
+
+def test_a_batch_whose_fetches_all_failed_is_counted(spark):
+    attempts = spark.createDataFrame([(5, a, False) for a in (1, 2, 3, 4)], "batch_id long, attempt int, ok boolean")
+    found = ingest.batch_metrics(feed(spark, [rec("a")]), attempts).orderBy("batch_id").collect()
+    assert [tuple(r) for r in found] == [(0, 1, 1, 0, 0, 0, 0), (5, 0, 0, 0, 0, 3, 1)]
+
+
 def test_empty_and_typed_ids(spark, root):
     raws = [rec(""), rec(""), rec(5), rec("5"), rec(5)]
     ingest.ingest_batch(feed(spark, raws), 0, root)
@@ -126,13 +154,17 @@ def test_a_run_with_known_proportions(spark, root):
     unique += [rec(f"good{i}") for i in range(39)]
     sent = unique + unique[:29]
     batches = [sent[i : i + 10] for i in range(0, 100, 10)] + [sent[:5]]
+    log = [(0, 1, True), (1, 1, False), (1, 2, False), (1, 3, False), (1, 4, True)]
+    log += [(7, 1, False), (7, 2, True), (10, 1, False), (10, 2, False), (10, 3, True)]
+    attempts = spark.createDataFrame(log, "batch_id long, attempt int, ok boolean")
     for batch_id, batch in enumerate(batches):
-        ingest.ingest_batch(feed(spark, batch, batch_id, batch_id * 100), batch_id, root)
+        ingest.ingest_batch(feed(spark, batch, batch_id, batch_id * 100), batch_id, root, attempts)
 
     metrics = ingest.read_sink(spark, root, "metrics")
-    assert tuple(ingest.total_metrics(metrics).first()) == (105, 39, 32, 34)
+    assert tuple(ingest.total_metrics(metrics).first()) == (105, 39, 32, 34, 6, 0)
     summary = ingest.quality_summary(metrics).first()
     assert (summary["valid_pct"], summary["duplicate_pct"]) == (54.9, 32.4)
+    assert (summary["fetch_retries"], summary["fetch_failures"]) == (6, 0)
     dead = ingest.read_sink(spark, root, "dead_letter")
     assert {tuple(r) for r in ingest.dlq_by_reason(dead).collect()} == {
         ("missing:humidity", 3), ("missing:sensor_id", 2), ("missing:temperature", 2),
@@ -143,8 +175,8 @@ def test_a_run_with_known_proportions(spark, root):
     at_once = whole[0]
     for part in whole[1:]:
         at_once = at_once.union(part)
-    assert sorted(tuple(r) for r in ingest.batch_metrics(at_once).collect()) == sorted(
-        tuple(r) for r in metrics.select("batch_id", "received", "clean", "dlq", "duplicates").collect()
+    assert sorted(tuple(r) for r in ingest.batch_metrics(at_once, attempts).collect()) == sorted(
+        tuple(r) for r in metrics.select("batch_id", *ingest.COUNTERS).collect()
     )
 
 
@@ -156,7 +188,7 @@ def test_reconcile_finds_tampering(spark, root):
     assert all(r["ok"] for r in ingest.reconcile(metrics, clean, dead).collect())
     checks = {r["rule"]: r for r in ingest.reconcile(metrics, clean.limit(0), dead).collect()}
     assert not checks["clean_stored"]["ok"] and checks["dlq_stored"]["ok"]
-    wrong = metrics.selectExpr("received + 1 as received", "clean", "dlq", "duplicates")
+    wrong = metrics.withColumn("received", metrics["received"] + 1)
     checks = {r["rule"]: r["ok"] for r in ingest.reconcile(wrong, clean, dead).collect()}
     assert checks == {"clean_stored": True, "dlq_stored": True, "received_accounted": False}
 
@@ -196,7 +228,7 @@ def test_stream_goes_on_after_a_restart(spark, root):
     run()  # nothing new
     assert stored(spark, sinks, "clean", "record_id") == [("a",), ("b",), ("c",)]
     total = ingest.total_metrics(ingest.read_sink(spark, sinks, "metrics")).first()
-    assert tuple(total) == (5, 3, 1, 1)
+    assert tuple(total) == (5, 3, 1, 1, 0, 0)
 
 
 def test_ledger_is_not_shuffled_for_a_small_batch(spark, root):

@@ -79,6 +79,40 @@ def test_delete(spark, target, rows):
     assert rows(report) == [("delete", 1)]
 
 
+def test_a_load_is_taken_whole_or_refused(spark, target):
+    long_name = arrivals(spark, [(0, "N", "n@x", None), (1, "x" * 200, "m@x", None)])
+    nothing = arrivals(spark, [(0, None, None, None)])
+    good = arrivals(spark, [(0, "N", "n@x", Decimal("99.50")), (1, "again", "a@x", None)])
+    for bad, found in ((long_name, "full_name max_length"), (nothing, "email not_null")):
+        rows = keyed_tables.with_defaults(bad, target, "arrival_seq", time_column=None)
+        with pytest.raises(ValueError, match=found):
+            keyed_tables.insert_ignore(target, rows, "email", "arrival_seq", checks.PEOPLE_RULES)
+        unchecked = keyed_tables.insert_ignore(target, rows, "email", "arrival_seq")
+        assert unchecked.filter("email is null").count() == 0
+    rows = keyed_tables.with_defaults(good, target, "arrival_seq", time_column=None)
+    assert keyed_tables.insert_ignore(target, rows, "email", "arrival_seq", checks.PEOPLE_RULES).count() == 4
+
+
+def test_unique_counts_the_table_and_the_batch(spark, target):
+    by_id = spark.createDataFrame([(9, "a@x"), (10, "a@x"), (11, "n@x"), (12, None), (13, None)], "id long, email string")
+    report = keyed_tables.broken_rules(by_id, target, [checks.unique("email"), checks.not_null("email")])
+    assert {(r["rule"], r["rows"]) for r in report.collect()} == {("unique", 2), ("not_null", 2)}
+
+
+def test_an_update_that_breaks_a_rule_is_refused(spark, target):
+    def change(gpa, email="z@x", key=1):
+        return spark.createDataFrame([(0, key, gpa, email)], "seq long, id long, gpa double, email string")
+
+    def update(rows):
+        return keyed_tables.update_by_key(target, rows, "id", ["gpa", "email"], "seq", checks.PEOPLE_RULES)
+
+    for rows, found in ((change(1000.0), "gpa precision"), (change(1.0, None), "email not_null"), (change(1.0, "b@x"), "email unique")):
+        with pytest.raises(ValueError, match=found):
+            update(rows)
+    assert update(change(99.5)).filter("email = 'z@x'").count() == 1
+    assert update(change(1000.0, key=77)).count() == 3
+
+
 def test_rules(spark, rows):
     data = [
         ("ok", "a@x", 99.505), ("x" * 101, "b@x", 999.99), (None, "c@x", 1000.0),

@@ -53,12 +53,19 @@ def test_durations(logs, layout):
 
 
 @pytest.mark.parametrize("layout", sessions.LAYOUTS)
-def test_no_task_gets_a_hot_group(logs, layout):
+def test_no_task_gets_a_hot_group(spark, logs, layout):
     data, df = logs
     if layout == "default":
         return
-    events, _ = sessions.laid_out(df, layout, 16)
-    assert profile.partition_profile(events).first()["max_share"] < 0.35
+    # Small data count as large, so that adaptive execution acts on them.
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2k")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "1k")
+    try:
+        events = sessions.laid_out(df, layout, 16)
+        assert profile.partition_profile(events).first()["max_share"] < 0.35
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.minPartitionSize")
 
 
 def test_user_metrics(logs):
@@ -69,7 +76,7 @@ def test_user_metrics(logs):
         mine = [d for (u, _), d in durations.items() if u == user]
         ms = [t for u, _, t in data if u == user]
         expected[user] = (len(mine), len(ms), sum(mine), max(mine), min(ms), max(ms), sum(mine) / len(mine))
-    for metrics in (sessions.two_stage_user_metrics(df), sessions.isolate_hot_keys(df)):
+    for metrics in (sessions.two_stage_user_metrics(df), sessions.isolate_hot_keys(df), sessions.isolate_hot_keys(df, 4)):
         found = {r["user_id"]: tuple(r)[1:] for r in metrics.collect()}
         assert found == expected
 
@@ -81,20 +88,14 @@ def test_hot_keys_break_ties_by_key(spark, rows):
     assert top == [("a", 2, 2 / 7), ("b", 2, 2 / 7)]
 
 
-def test_exchanges(spark):
+@pytest.mark.parametrize("layout", sessions.LAYOUTS)
+def test_exchanges(spark, layout):
+    """One for the sessions, and one for the events where a layout moves them; no scan beforehand."""
     df = spark.range(100).selectExpr(
         "cast(id as string) user_id", "cast(id as string) session_id", "id as event_timestamp"
     )
-    raw = {
-        "round_robin": df.repartition(6),
-        "default": df,
-        "by_key": df.repartition(6, "user_id", "session_id"),
-        "by_user": df.repartition(6, "user_id"),
-    }
-    counted = {name: exchanges(sessions.session_durations(d)) for name, d in raw.items()}
-    assert counted == {"round_robin": 2, "default": 1, "by_key": 1, "by_user": 1}
-    assert exchanges(sessions.session_durations(df, "round_robin", 6)) == 2
-    assert exchanges(sessions.session_durations(df)) == 1
+    assert exchanges(sessions.session_durations(df, layout)) == (1 if layout == "default" else 2)
+    assert exchanges(sessions.average_session_duration(df, layout)) == (2 if layout == "default" else 3)
 
 
 def test_unknown_layout(spark):
