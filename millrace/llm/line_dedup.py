@@ -101,12 +101,14 @@ def without_repeats(docs: DataFrame, window: int = 2, long_line_words: int = 50)
     """
     gone = repeated_lines(docs, window, long_line_words).select(F.col("doc_id").alias("__d"), F.col("gone").alias("__gone"))
     rows = docs.join(gone, docs["doc_id"].eqNullSafe(gone["__d"]), "left")
-    lines = F.split("text", "\n")
-    kept = let(lines, lambda all: F.transform(F.array_except(F.sequence(F.lit(1), F.size(all)), F.col("__gone")), lambda i: F.element_at(all, i)))
-    full = F.size(F.filter(lines, lambda x: F.trim(x) != ""))
-    return (
-        rows.withColumn("n_lines", F.when(F.col("text").isNull(), 0).otherwise(full))
-        .withColumn("n_removed", F.when(F.col("__gone").isNull() | F.col("text").isNull(), 0).otherwise(F.size("__gone")))
-        .withColumn("text", F.when(F.col("__gone").isNull() | F.col("text").isNull(), F.col("text")).otherwise(F.concat_ws("\n", kept)))
-        .drop("__d", "__gone")
+    text, taken = docs["text"], gone["__gone"]
+    kept = let(
+        F.split(text, "\n"),
+        lambda all: F.transform(F.array_except(F.sequence(F.lit(1), F.size(all)), taken), lambda i: F.element_at(all, i)),
     )
+    untouched = taken.isNull() | text.isNull()
+    out = {c: docs[f"`{c}`"] for c in docs.columns}
+    out["text"] = F.when(untouched, text).otherwise(F.concat_ws("\n", kept))
+    out["n_lines"] = F.when(text.isNull(), 0).otherwise(F.size(F.filter(F.split(text, "\n"), lambda x: F.trim(x) != "")))
+    out["n_removed"] = F.when(untouched, 0).otherwise(F.size(taken))
+    return rows.select(*[value.alias(name) for name, value in out.items()])

@@ -36,7 +36,8 @@ def shingles_of(text: Column, k: int = WORDS) -> Column:
             .otherwise(F.transform(F.sequence(F.lit(1), F.greatest(n - (k - 1), F.lit(1))), lambda i: F.xxhash64(F.slice(h, i, k))))
         )
 
-    return F.coalesce(let(F.transform(words_of(text), lambda w: F.xxhash64(w)), each), none)
+    words = words_of(F.coalesce(text, F.lit("")))
+    return let(F.transform(words, lambda w: F.xxhash64(w)), each)
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -33,7 +33,7 @@ def run(spark, rows, **options):
 def test_small_table_is_exact(spark):
     random = np.random.default_rng(1)
     rows = [(i, random.normal(size=4).tolist()) for i in range(40)]
-    rows += [(100, None), (200, [0.0] * 4), (300, [1.0, None, 0.0, 1.0]), (400, [float("nan")] * 4), (500, [float("inf"), 0, 0, 0]), (None, [1.0] * 4)]
+    rows += [(100, None), (200, [0.0] * 4), (300, [1.0, None, 0.0, 1.0]), (400, [float("nan")] * 4), (500, [float("inf"), 0.0, 0.0, 0.0]), (None, [1.0] * 4)]
     rows += [(600, rows[3][1]), (601, rows[3][1]), (602, rows[3][1]), (602, rows[3][1]), (600, rows[3][1])]
     assert run(spark, rows) == brute(rows, 10)
 
