@@ -55,4 +55,19 @@ def written(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = fresh_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._written_to = path
+    return table
+
+
+def release(*tables: DataFrame) -> None:
+    """Deletes tables from `written` when all that reads them has been written itself.
+
+    Not before: a lost executor may make Spark read them again. Other DataFrames are left alone.
+    """
+    for table in tables:
+        path = getattr(table, "_written_to", None)
+        if path:
+            spark = table.sparkSession
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

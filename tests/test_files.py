@@ -90,3 +90,16 @@ def test_json_replaces(spark, root):
     files.write_json(spark.range(2), root)
     lines = [json.loads(r["value"]) for r in spark.read.text(root).collect()]
     assert sorted(x["id"] for x in lines) == [0, 1]
+
+
+def test_released_tables_are_gone(spark):
+    from pyspark.errors import AnalysisException
+
+    from millrace.session import release, written
+
+    table = written(spark.range(5), "table")
+    path = table._written_to
+    assert table.count() == 5
+    release(table, spark.range(3))
+    with pytest.raises(AnalysisException):
+        spark.read.parquet(path)
