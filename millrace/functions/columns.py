@@ -17,16 +17,8 @@ def parse_timestamp(text: str | Column) -> Column:
     return col(text).cast("timestamp_ntz")
 
 
-def floor_hour(ts: str | Column) -> Column:
-    """TIMESTAMP_NTZ cut to the hour, built from its parts so that no time zone takes part."""
-    ts = col(ts)
-    return F.make_timestamp_ntz(
-        F.year(ts), F.month(ts), F.dayofmonth(ts), F.hour(ts), F.lit(0), F.lit(0)
-    )
-
-
 def hour_number(ts: str | Column) -> Column:
-    """Hours since 1970 as INT: names the hour like floor_hour, but is a cheaper join key."""
+    """Hours since 1970 as INT: names the hour, as a cheap join key."""
     return F.unix_date(F.to_date(col(ts))) * 24 + F.hour(col(ts))
 
 
@@ -45,10 +37,6 @@ def second_text(ts: str | Column) -> Column:
     return F.substring(col(ts).cast("string"), 1, 19)
 
 
-def hour_text(ts: str | Column) -> Column:
-    return F.concat(F.substring(col(ts).cast("string"), 1, 13), F.lit(":00"))
-
-
 def epoch_millis(ts: str | Column) -> Column:
     """Whole milliseconds since 1970, rounded down."""
     return F.floor(F.unix_micros(col(ts).cast("timestamp")) / 1000).cast("long")
@@ -120,10 +108,6 @@ def share(part: str | Column, whole: str | Column, digits: int | None = None) ->
     return ratio if digits is None else F.round(ratio, digits)
 
 
-def percent(part: str | Column, whole: str | Column, digits: int = 1) -> Column:
-    return F.round(share(part, whole) * 100, digits)
-
-
 def with_group(
     df: DataFrame, name: str, mapping: dict[str, str], out: str, default: str = "Other"
 ) -> DataFrame:
