@@ -58,8 +58,8 @@ def test_no_task_gets_a_hot_group(spark, logs, layout):
     if layout == "default":
         return
     # Small data count as large, so that adaptive execution acts on them.
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2k")
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "1k")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "100b")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "100b")
     try:
         events = sessions.laid_out(df, layout, 16)
         assert profile.partition_profile(events).first()["max_share"] < 0.35
