@@ -5,10 +5,15 @@ Feed: (raw STRING json, batch_id LONG, arrival_seq LONG), arrival_seq unique and
 A batch writes four folders, `<sink>/batch_id=N`, each replaced as a whole, the ledger last.
 The ledger is read for earlier batches only, so a batch that failed half-way and runs again
 replaces its own output and neither loses nor doubles a record.
+
+The ledger is bucketed by the record key, as a table of the session's catalog over the files below the
+root. A batch's ids are shuffled to the buckets when they are too many to broadcast; the ledger never is.
+Old batches can be joined into one by compact_ledger.
 """
 
 from __future__ import annotations
 
+import hashlib
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -18,6 +23,7 @@ from pyspark.sql import functions as F
 from millrace.functions.columns import share
 from millrace.functions.record_rules import with_record_key, with_verdict
 from millrace.operators.keyed_tables import first_per_key, known_keys, without_keys
+from millrace.session import delete_folder, make_folder, release, written
 
 # The record's fields, the counters, and how often a fetch is tried.
 RECORD_FIELDS = ["record_id", "timestamp", "sensor_id", "temperature", "humidity"]
@@ -25,6 +31,9 @@ COUNTERS = ["received", "clean", "dlq", "duplicates", "fetch_retries", "fetch_fa
 FETCH_ATTEMPTS = 4
 FETCH_BASE_WAIT = 0.2
 
+# Chosen before the first batch, and the same for the life of a ledger.
+LEDGER_BUCKETS = 16
+
 SINK_SCHEMAS = {
     # `raw` is the record as it came, with members beyond the fields.
     "clean": "record_id string, timestamp string, sensor_id string, temperature double, humidity double, raw string",
@@ -100,8 +109,52 @@ def read_sink(spark: SparkSession, root: str, sink: str) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
+def _ledger_table(spark: SparkSession, root: str) -> str:
+    """The ledger below `root` as a bucketed table of the session's catalog, with the batches found there."""
+    make_folder(spark, f"{root}/ledger")
+    name = f"ledger_{hashlib.md5(root.encode()).hexdigest()}"
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {name} (record_key STRING, batch_id BIGINT) USING parquet "
+        f"PARTITIONED BY (batch_id) CLUSTERED BY (record_key) INTO {LEDGER_BUCKETS} BUCKETS "
+        f"LOCATION '{root}/ledger'"
+    )
+    spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+    spark.sql(f"REFRESH TABLE {name}")
+    return name
+
+
 def read_ledger(spark: SparkSession, root: str, before_batch: int) -> DataFrame:
-    return read_sink(spark, root, "ledger").filter(F.col("batch_id") < before_batch)
+    return spark.table(_ledger_table(spark, root)).filter(F.col("batch_id") < before_batch)
+
+
+def _write_ledger(ids: DataFrame, root: str, batch_id: int) -> None:
+    """Replaces the ids of one batch, a file a bucket."""
+    spark = ids.sparkSession
+    table = _ledger_table(spark, root)
+    placed = ids.select("record_key").repartition(LEDGER_BUCKETS, "record_key")
+    spark.sql(
+        f"INSERT OVERWRITE TABLE {table} PARTITION (batch_id = {int(batch_id)}) SELECT record_key FROM {{ids}}",
+        ids=placed,
+    )
+
+
+def compact_ledger(spark: SparkSession, root: str, through_batch: int) -> None:
+    """Joins the ids of all batches up to and including this one, so that few files are listed and opened.
+
+    For batches that will not run again: a batch that did would find its own ids among the earlier ones.
+    The joined ids are written before the old folders go, so a crash in between leaves ids twice, which
+    changes nothing.
+    """
+    table = _ledger_table(spark, root)
+    old = spark.table(table).filter(F.col("batch_id") <= through_batch)
+    batches = [r["batch_id"] for r in old.select("batch_id").distinct().collect()]
+    joined = written(old.select("record_key").distinct(), "ledger")
+    _write_ledger(joined, root, through_batch)
+    for batch_id in batches:
+        if batch_id != through_batch:
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (batch_id = {batch_id})")
+            delete_folder(spark, _batch_path(root, "ledger", batch_id))
+    release(joined)
 
 
 def _batch_path(root: str, sink: str, batch_id: int) -> str:
@@ -133,8 +186,10 @@ def ingest_batch(
         _replace(dead, root, "dead_letter", batch_id)
         counters = _stored_counters(spark, root, batch_id, received, attempts)
         _replace(counters, root, "metrics", batch_id)
-        ids = handled.filter(F.col("record_key").isNotNull()).select("record_key")
-        _replace(ids, root, "ledger", batch_id)
+        # Written aside first: a table cannot be overwritten while it is read.
+        ids = written(handled.filter(F.col("record_key").isNotNull()).select("record_key"), "ids")
+        _write_ledger(ids, root, batch_id)
+        release(ids)
     finally:
         first.unpersist()
         if seen is not None:

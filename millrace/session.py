@@ -60,6 +60,23 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return table
 
 
+def _on_file_system(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    """Makes a folder on any file system Spark knows, unless it is there."""
+    files, target = _on_file_system(spark, path)
+    files.mkdirs(target)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Deletes a folder on any file system Spark knows, if it is there."""
+    files, target = _on_file_system(spark, path)
+    files.delete(target, True)
+
+
 def release(*tables: DataFrame) -> None:
     """Deletes tables from `written` when all that reads them has been written itself.
 
@@ -68,6 +85,4 @@ def release(*tables: DataFrame) -> None:
     for table in tables:
         path = getattr(table, "_written_to", None)
         if path:
-            spark = table.sparkSession
-            target = spark._jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+            delete_folder(table.sparkSession, path)

@@ -112,17 +112,15 @@ def test_retry_of_a_batch_changes_nothing(spark, root):
 
 def test_crash_before_the_ledger_is_written(spark, root, monkeypatch):
     whole = feed(spark, [rec("a"), rec("b")])
-    replace = ingest._replace
+    write_ledger = ingest._write_ledger
 
-    def fail_at_ledger(df, root, sink, batch_id):
-        if sink == "ledger":
-            raise RuntimeError("lost")
-        replace(df, root, sink, batch_id)
+    def fail(ids, root, batch_id):
+        raise RuntimeError("lost")
 
-    monkeypatch.setattr(ingest, "_replace", fail_at_ledger)
+    monkeypatch.setattr(ingest, "_write_ledger", fail)
     with pytest.raises(RuntimeError):
         ingest.ingest_batch(whole, 0, root)
-    monkeypatch.setattr(ingest, "_replace", replace)
+    monkeypatch.setattr(ingest, "_write_ledger", write_ledger)
     ingest.ingest_batch(whole, 0, root)
     assert counters(spark, root) == [(2, 2, 0, 0)]
     assert stored(spark, root, "clean", "record_id") == [("a",), ("b",)]
@@ -244,3 +242,34 @@ def test_ledger_is_not_shuffled_for_a_small_batch(spark, root):
     fresh = without_keys(first, seen, "record_key")
     assert [r["record_key"] for r in fresh.collect()] == ['"x"']
     first.unpersist()
+
+
+def test_ledger_is_not_shuffled_for_a_large_batch(spark, root):
+    from plans import plan_text
+
+    ingest.ingest_batch(feed(spark, [rec(f"r{i}") for i in range(50)]), 0, root)
+    ingest.ingest_batch(feed(spark, [rec(f"r{i}") for i in range(40, 90)]), 1, root)
+    first = ingest.first_deliveries(feed(spark, [rec("r1"), rec("r80"), rec("x")])).persist()
+    first.count()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        seen = known_keys(first, ingest.read_ledger(spark, root, 2), "record_key")
+        text = plan_text(seen)
+        join = text[text.index("LeftSemi") :]
+        ledger_side = join[: join.index("FileScan")]
+        assert "Bucketed: true" in text and "Exchange" not in ledger_side
+        assert sorted(r["record_key"] for r in seen.collect()) == ['"r1"', '"r80"']
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        first.unpersist()
+
+
+def test_compacted_ledger_remembers_every_id(spark, root):
+    for batch_id in range(4):
+        ingest.ingest_batch(feed(spark, [rec(f"r{batch_id}"), rec("all")]), batch_id, root)
+    ingest.compact_ledger(spark, root, 2)
+    assert stored(spark, root, "ledger", "record_key", "batch_id") == [
+        ('"all"', 2), ('"r0"', 2), ('"r1"', 2), ('"r2"', 2), ('"r3"', 3),
+    ]
+    ingest.ingest_batch(feed(spark, [rec("r0"), rec("r3"), rec("new")]), 4, root)
+    assert counters(spark, root)[-1] == (3, 1, 0, 2)
