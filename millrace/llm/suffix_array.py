@@ -5,8 +5,9 @@ between LMS places are sorted by inducing: buckets of equal first characters are
 place the L suffixes before the ones walked, and once downwards for the S suffixes. Equal substrings get
 equal names, the names form a shorter text whose suffixes are sorted the same way, and their order
 induces the whole array in linear work. A bucket is handled as arrays: its places, then the places
-induced from them in the same bucket, and so on. That pays as long as an alphabet fits 16 bits; a text of
-names beyond that is sorted by doubling the length of compared prefixes, up to `depth` names.
+induced from them in the same bucket, and so on. That pays while buckets are large; a text of names with so many
+of them that buckets hold under 256 places on average is sorted by doubling the length of compared
+prefixes instead, up to `depth` names.
 """
 
 from __future__ import annotations
@@ -112,15 +113,15 @@ def _equal(words: np.ndarray, text: np.ndarray, a: np.ndarray, b: np.ndarray, le
 
 
 def by_doubling(names: np.ndarray, depth: int | None) -> np.ndarray:
-    """The order of suffixes of `names`, by their first `depth` names at least (all, if None)."""
+    """The order of suffixes of `names` (ranks from 0), by their first `depth` names at least (all, if None)."""
     n, reach = len(names), 1
-    rank = np.unique(names, return_inverse=True)[1].astype(np.int64)
+    rank = names.astype(np.int64)
     while True:
         after = np.full(n, 0, np.int64)
         if reach < n:
             after[: n - reach] = rank[reach:] + 1
         key = rank * (n + 1) + after
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         ordered = key[order]
         new = np.concatenate(([0], np.cumsum(ordered[1:] != ordered[:-1])))
         rank = np.empty(n, np.int64)
@@ -139,7 +140,7 @@ def suffix_array(text: np.ndarray, size: int, depth: int | None = None) -> np.nd
     n = len(text)
     if n == 1:
         return np.zeros(1, np.int64)
-    if size > 1 << 16:
+    if size > max(512, min(1 << 16, n // 256)):
         return by_doubling(text, depth)
     text = text.astype(np.uint16)
     small = is_small(text)
@@ -161,7 +162,9 @@ def suffix_array(text: np.ndarray, size: int, depth: int | None = None) -> np.nd
     if name[-1] == len(lms) - 1:
         sorted_lms = ordered
     else:
-        sorted_lms = lms[suffix_array(shorter, int(name[-1]) + 1, depth)]
+        # An LMS substring has two characters at least that the next one does not repeat.
+        deep = None if depth is None else -(-depth // 2) + 1
+        sorted_lms = lms[suffix_array(shorter, int(name[-1]) + 1, deep)]
     return induce(text, small, sorted_lms, size)
 
 

@@ -8,8 +8,9 @@ the same document. Strings are judged on the input, and never reach across docum
    rightmost of equals). Equal strings are filed alike, at the same place, so only strings under a hash
    that occurs more than once can repeat. A place of such a hash, with the strings filed under it, is a
    context: a stretch of at most 2 length - gram bytes.
-3. Contexts are sharded by hash. In a shard equal contexts fold to the first; over the others a suffix
-   array is built by induced sorting, with permuted common prefixes. Neighbours that share `length` bytes
+3. Contexts are sharded by hash. In a shard equal contexts fold to the first. A string that repeats shares
+   half of what surrounds its smallest hash, on the left or on the right, with another context; contexts are
+   cut back to the strings for which that holds. Over them a suffix array is built by induced sorting, with permuted common prefixes. Neighbours that share `length` bytes
    are equal strings; all but the first start are marked.
 4. Marked strings are joined to spans, per document.
 
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame, functions as F
 from millrace.llm.batches import slices
 from millrace.llm.shingles import mix
 from millrace.llm.suffix_array import permuted_prefixes, suffix_array
-from millrace.session import written
+from millrace.session import release, written
 
 LENGTH = 100
 GRAM = 32
@@ -142,11 +143,11 @@ def _file(docs: DataFrame, length: int, gram: int) -> DataFrame:
 
 
 def _cut(rows: DataFrame, length: int) -> DataFrame:
-    """key, d, t, a, text of contexts, from rows (d, t, data, at, hs, hots); of a hot hash, one row per string."""
+    """key, d, t, a, g (place of the hash in it, -1 if hot), text of contexts, from rows (d, t, data, at, hs, hots); of a hot hash, one row per string."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, datas in slices(batches, "data"):
-            out: list[list] = [[], [], [], [], []]
+            out: list[list] = [[], [], [], [], [], []]
             for i, data in enumerate(datas):
                 d, t, at, hs, hots = (batch.column(c)[i].as_py() for c in (0, 1, 3, 4, 5))
                 for x, h, hot in zip(at, hs, hots):
@@ -155,14 +156,38 @@ def _cut(rows: DataFrame, length: int) -> DataFrame:
                     pieces = [(s, data[s : s + length]) for s in range(a, b + 1)] if hot else [(a, data[a : b + length])]
                     for s, piece in pieces:
                         key = int.from_bytes(hashlib.blake2b(piece, digest_size=8).digest(), "little", signed=True) if hot else h
-                        for column, value in zip(out, (key, d, t, s, piece)):
+                        for column, value in zip(out, (key, d, t, s, -1 if hot else place - a, piece)):
                             column.append(value)
-            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(out, (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary()))], ["key", "d", "t", "a", "text"])
+            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(out, (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.binary()))], ["key", "d", "t", "a", "g", "text"])
+
+    return rows.select("d", "t", "data", "at", "hs", "hots").mapInArrow(each, "key bigint, d bigint, t int, a bigint, g int, text binary")
 
-    return rows.select("d", "t", "data", "at", "hs", "hots").mapInArrow(each, "key bigint, d bigint, t int, a bigint, text binary")
 
+def _cut_back(group: list[tuple], length: int, gram: int) -> list[tuple]:
+    """Of distinct contexts (text, rank, g) of one hash, the stretches (text, rank) in which strings may repeat.
 
-def _mark(rows: DataFrame, length: int, shard_bytes: int) -> DataFrame:
+    A string with `left` bytes before the hash has length - gram - left after it, so that one side has at
+    least half. Where no other context has the same half on a side, strings that need it are left out.
+    """
+    half = (length - gram + 1) // 2
+    sides: tuple[dict, dict] = ({}, {})
+    for text, _, g in group:
+        for side, part in zip(sides, (text[max(0, g - half) : g], text[g + gram : g + gram + half])):
+            if len(part) == half:
+                side[part] = side.get(part, 0) + 1
+    kept = []
+    for text, rank, g in group:
+        first, last = 0, len(text) - length
+        if sides[0].get(text[max(0, g - half) : g], 0) < 2:
+            first = max(first, g - half + 1)  # fewer than half before it
+        if sides[1].get(text[g + gram : g + gram + half], 0) < 2:
+            last = min(last, g - (length - gram) + half - 1)  # fewer than half after it
+        if first <= last:
+            kept.append((text[first : last + length], (*rank[:-1], rank[-1] + first)))
+    return kept
+
+
+def _mark(rows: DataFrame, length: int, gram: int, shard_bytes: int) -> DataFrame:
     """d, t, start, end of byte ranges to remove, from contexts sorted by key, text, d, t, a within partitions."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -179,9 +204,10 @@ def _mark(rows: DataFrame, length: int, shard_bytes: int) -> DataFrame:
         def close():
             nonlocal held
             if len(group) > 1:
-                texts.extend(x[0] for x in group)
-                ranks.extend(x[1] for x in group)
-                held += sum(len(x[0]) + 1 for x in group)
+                for text, rank in _cut_back(group, length, gram):
+                    texts.append(text)
+                    ranks.append(rank)
+                    held += len(text) + 1
             group.clear()
 
         def flush():
@@ -201,7 +227,7 @@ def _mark(rows: DataFrame, length: int, shard_bytes: int) -> DataFrame:
             return batch
 
         for batch in batches:
-            for key, d, t, a, text in zip(*(c.to_pylist() for c in batch.columns)):
+            for key, d, t, a, g, text in zip(*(c.to_pylist() for c in batch.columns)):
                 if key != last_key:
                     close()
                     if held >= shard_bytes:
@@ -210,7 +236,7 @@ def _mark(rows: DataFrame, length: int, shard_bytes: int) -> DataFrame:
                 if text == last_text:  # rows are in order, so the first of equal contexts came before
                     mark(d, t, a, a + len(text) - length)
                 else:
-                    group.append((text, (d, t, a)))
+                    group.append((text, (d, t, a), g))
                     last_text = text
             if found[0]:
                 yield out()
@@ -225,15 +251,16 @@ def _mark(rows: DataFrame, length: int, shard_bytes: int) -> DataFrame:
 def repeated_ranges(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = 100_000, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """d, t and `ranges` (first byte, byte after the last; they may overlap) of distinct documents (d, t, data)."""
     filed = _file(docs, length, gram)
-    places = written(filed, "places")
+    places = stored = written(filed, "places")
     several = places.groupBy("h").agg(F.count("*").alias("times")).where("times > 1")
     several = written(several.select("h", (F.col("times") > hot).alias("hot")), "repeated")
     places = places.join(several, "h")
     by_doc = places.groupBy("d", "t").agg(F.collect_list(F.struct("at", "h", "hot")).alias("all"))
     by_doc = written(by_doc.select("d", "t", F.expr("all.at").alias("at"), F.expr("all.h").alias("hs"), F.expr("all.hot").alias("hots")), "places-by-document")
+    release(stored, several)
     cut = _cut(docs.join(by_doc, ["d", "t"]), length)
     sharded = cut.repartition("key").sortWithinPartitions("key", "text", "d", "t", "a")
-    marked = _mark(sharded, length, shard_bytes)
+    marked = _mark(sharded, length, gram, shard_bytes)
     return marked.groupBy("d", "t").agg(F.collect_list(F.struct("first", "last")).alias("ranges"))
 
 
@@ -261,9 +288,14 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot
     if not gram < length <= gram + 255:
         raise ValueError("length must be above gram, by 255 at most")
     text = F.coalesce("text", F.lit(""))
-    rows = docs.select("doc_id", F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(1 << 63))).alias("d"), F.hash(text).alias("t"), F.encode(text, "UTF-8").alias("data"))
-    long = rows.where(F.octet_length("data") >= length)
-    digests = written(long.select("d", "t", F.unhex(F.md5("data")).alias("digest")), "digests")
+    order = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(1 << 63)))
+    rows = docs.select("doc_id", order.alias("d"), F.hash(text).alias("t"), F.encode(text, "UTF-8").alias("data"))
+    digests = written(rows.select("d", "t", F.octet_length("data").alias("size"), F.unhex(F.md5("data")).alias("digest")), "digests")
+    texts = digests.groupBy("d").agg(F.min("t").alias("x"), F.max("t").alias("y"))
+    if not texts.where("x <> y").limit(1).count():
+        # Every doc_id has one text, so ids alone tell documents apart, and nothing more is shuffled.
+        rows, digests = rows.withColumn("t", F.lit(0)), digests.withColumn("t", F.lit(0))
+    long, digests = rows.where(F.octet_length("data") >= length), digests.where(F.col("size") >= length)
     heads = digests.groupBy("digest").agg(F.min(F.struct("d", "t")).alias("head"), F.count("*").alias("times")).where("times > 1")
     copies = digests.join(heads, "digest").where(F.struct("d", "t") > F.col("head")).select("d", "t").distinct()
     copies = written(copies, "copies")
