@@ -79,7 +79,7 @@ def shingle_arrays(texts: list, k: int = WORDS) -> tuple[np.ndarray, np.ndarray]
     rolled = np.zeros(n, np.uint64)
     for j in range(k):
         part = np.zeros(n, np.uint64)
-        part[: n - j] = word[j:]
+        part[: max(n - j, 0)] = word[j:]
         rolled = rolled * np.uint64(0xD6E8FEB86659FD93) + part
     sizes = np.diff(word_at)
     count = np.where(sizes >= k, sizes - k + 1, np.minimum(sizes, 1))
