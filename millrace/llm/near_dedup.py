@@ -12,8 +12,8 @@ components of the links, and exact copies.
 2. Copies of a text are one representative (smallest doc_id) from here on.
 3. Signatures are cut into bands; documents with an equal band form a bucket. Buckets are never expanded
    into pairs: each document is checked against its bucket's hub, the document with most company.
-4. What the hubs have not joined, members of different components in one bucket, is compared exactly,
-   unless the triangle inequality of the distances to their hub, or their sizes, rule a link out.
+4. Members whom their hub has not joined are compared exactly with the others of that hub's buckets, in
+   blocks of bounded size: a task multiplies two blocks and returns at most the links that join components.
 """
 
 from __future__ import annotations
@@ -143,6 +143,83 @@ def overlap(pairs: DataFrame) -> DataFrame:
     return rows.mapInArrow(compare, rows.select("a", "b").schema.add("similarity", "double"))
 
 
+def block_links(hashes: np.ndarray, weights: np.ndarray, offsets: np.ndarray, left: np.ndarray, right: np.ndarray, groups: list, least: float) -> list[tuple[int, int]]:
+    """Pairs of positions (one of `left`, one of `right`) with at least the similarity `least` that join different groups.
+
+    A spanning set: a pair whose groups earlier pairs have joined is left out. Overlaps are products of
+    0/1 matrices, a column for each unit of weight of a shingle that several bags have.
+    """
+    sizes = np.zeros(len(offsets) - 1)
+    owner = np.repeat(np.arange(len(sizes)), np.diff(offsets))
+    np.add.at(sizes, owner, weights)
+    unit = np.arange(int(weights.sum())) - np.repeat(np.cumsum(weights) - weights, weights)
+    owner = np.repeat(owner, weights)
+    column = np.unique(mix(np.repeat(hashes, weights) + unit.astype(np.uint64) * _STEP), return_inverse=True)[1]
+    several = np.bincount(column) > 1
+    keep = several[column]
+    owner, column = owner[keep], (np.cumsum(several) - 1)[column[keep]]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    place_left, place_right = np.full(len(sizes), -1), np.full(len(sizes), -1)
+    place_left[left], place_right[right] = np.arange(len(left)), np.arange(len(right))
+    shared = np.zeros((len(left), len(right)), np.float32)
+    width = 2048
+    for first in range(0, int(several.sum()), width):
+        a, b = np.searchsorted(column, [first, first + width])
+        who, what = owner[a:b], column[a:b] - first
+        x, y = np.zeros((len(left), width), np.float32), np.zeros((len(right), width), np.float32)
+        mine = place_left[who] >= 0
+        x[place_left[who[mine]], what[mine]] = 1
+        mine = place_right[who] >= 0
+        y[place_right[who[mine]], what[mine]] = 1
+        shared += x @ y.T
+    union = sizes[left][:, None] + sizes[right][None, :] - shared
+    parent = {g: g for g in groups}
+
+    def root(g):
+        while parent[g] != g:
+            parent[g] = parent[parent[g]]
+            g = parent[g]
+        return g
+
+    found = []
+    for i, j in zip(*np.nonzero(shared / np.maximum(union, 1) >= least)):
+        i, j = int(left[i]), int(right[j])
+        x, y = root(groups[i]), root(groups[j])
+        if x != y:
+            parent[x] = y
+            found.append((i, j))
+    return found
+
+
+def _in_blocks(members: DataFrame, texts: DataFrame, least: float, block_rows: int, block_shingles: int) -> DataFrame:
+    """Links (a, b) among members (hub, id, n, component) of each hub that join a component other than the hub's."""
+    home = members.where(F.col("id") == F.col("hub")).select("hub", F.col("component").alias("home"))
+    marked = members.join(home, "hub").withColumn("stray", F.col("component") != F.col("home")).drop("home")
+    sizes = marked.groupBy("hub").agg(F.count("*").alias("all"), F.count_if(F.col("stray")).alias("strays"), F.sum("n").alias("shingles"))
+    # A hub and one other have been compared with each other.
+    sizes = sizes.where("strays > 0 and all > 2")
+    blocks = F.greatest(F.ceil(F.col("all") / block_rows), F.ceil(F.col("shingles") / block_shingles)).cast("int")
+    rows = marked.join(sizes.select("hub", blocks.alias("blocks")), "hub")
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    rows = rows.select("hub", "id", "component", "stray", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    as_stray = rows.where("stray").select("hub", F.col("own").alias("i"), F.col("other").alias("j"), "id", "component", "stray")
+    as_member = rows.select("hub", F.col("other").alias("i"), F.col("own").alias("j"), "id", "component", F.lit(False).alias("stray"))
+    tasks = as_stray.union(as_member).join(texts, "id").select("hub", "i", "j", "id", "component", "stray", "text")
+    schema = tasks.select(F.col("id").alias("a"), F.col("id").alias("b")).schema
+
+    def compare(table: pa.Table) -> pa.Table:
+        ids, values, groups = (table.column(c).to_pylist() for c in ("id", "text", "component"))
+        stray = np.array(table.column("stray").to_pylist(), bool)
+        found = []
+        if stray.any() and not stray.all():
+            found = block_links(*bags(values), np.flatnonzero(stray), np.flatnonzero(~stray), groups, least)
+        kind = table.schema.field("id").type
+        return pa.table({"a": pa.array([ids[i] for i, _ in found], kind), "b": pa.array([ids[j] for _, j in found], kind)})
+
+    return tasks.groupBy("hub", "i", "j").applyInArrow(compare, schema)
+
+
 def _few(ids: DataFrame) -> DataFrame:
     """Ids of one written column, broadcast when they are few; many are joined by a shuffle."""
     return F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
@@ -155,7 +232,9 @@ def _checked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return written(overlap(pairs.join(a, "a").join(b, "b")), "similar")
 
 
-def links(docs: DataFrame, least: float = 0.8, bands: int = BANDS) -> tuple[DataFrame, DataFrame]:
+def links(
+    docs: DataFrame, least: float = 0.8, bands: int = BANDS, block_rows: int = 512, block_shingles: int = 200_000
+) -> tuple[DataFrame, DataFrame]:
     """Links (a, b) that join near-duplicate representatives, and all rows (id, representative).
 
     The links hold a spanning set of every class: a link between two documents that other links already
@@ -183,24 +262,11 @@ def links(docs: DataFrame, least: float = 0.8, bands: int = BANDS) -> tuple[Data
     near_hub = _checked(pairs, texts)
     found = near_hub.where(F.col("similarity") >= least).select("a", "b")
 
-    # Members of one bucket whom the hubs have not joined.
+    # Members whom their hub has not joined.
     joined = written(components(found), "joined")
-    placed = placed.join(near_hub.select(F.col("a").alias("id"), F.col("b").alias("hub"), "similarity"), ["id", "hub"], "left")
-    placed = placed.join(joined.withColumnRenamed("node", "id"), "id", "left")
-    placed = placed.select("band", "key", "id", "n", "hub", F.coalesce("component", "id").alias("component"), F.when(F.col("id") == F.col("hub"), 1.0).otherwise(F.col("similarity")).alias("s"))
-    placed = written(placed, "unjoined")
-    apart = placed.groupBy("band", "key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("band", "key")
-    left = placed.join(apart, ["band", "key"])
-    home = left.where(F.col("id") == F.col("hub")).select("band", "key", F.col("component").alias("home"))
-    left = written(left.join(home, ["band", "key"]), "apart")
-    stray = left.where(F.col("component") != F.col("home")).alias("p")
-    other = left.alias("q")
-    # Both know their similarity to the hub, or one was too short or long for it to be computed.
-    near = F.coalesce(F.abs(F.col("p.s") - F.col("q.s")) <= 1 - least + 1e-9, F.lit(True))
-    once = (F.col("q.component") == F.col("q.home")) | (F.col("p.id") < F.col("q.id"))
-    rest = stray.join(other, (F.col("p.band") == F.col("q.band")) & (F.col("p.key") == F.col("q.key")) & (F.col("p.component") != F.col("q.component")) & (F.col("q.id") != F.col("q.hub")) & once & near & long_enough(F.col("p.n"), F.col("q.n")))
-    rest = written(rest.select(F.col("p.id").alias("a"), F.col("q.id").alias("b")).distinct(), "rest")
-    more = _checked(rest, texts).where(F.col("similarity") >= least).select("a", "b")
+    groups = placed.select("hub", "id", "n").distinct().join(joined.withColumnRenamed("node", "id"), "id", "left")
+    groups = written(groups.select("hub", "id", "n", F.coalesce("component", "id").alias("component")), "groups")
+    more = written(_in_blocks(groups, texts, least, block_rows, block_shingles), "more")
     return found.union(more), members.select("id", "representative")
 
 

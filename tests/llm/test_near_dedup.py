@@ -2,6 +2,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pytest
 
 from millrace.llm import near_dedup as N
 from millrace.llm.components import components
@@ -61,14 +62,17 @@ def test_signature_does_not_depend_on_company(words):
         assert (N.signatures(*N.bags([t]))[0] == together[i]).all()
 
 
-def test_classes_against_brute_force(documents, words):
+@pytest.mark.parametrize("blocks", [{}, {"block_rows": 7, "block_shingles": 900}])
+def test_classes_against_brute_force(documents, words, monkeypatch, blocks):
+    links = N.links
+    monkeypatch.setattr(N, "links", lambda docs, least: links(docs, least, **blocks))
     random.seed(3)
     docs = []
     for family in range(6):
         base = words(family, 80).split()
         for _ in range(25):
             copy = list(base)
-            for _ in range(random.choice([0, 0, 1, 2, 3])):
+            for _ in range(random.choice([0, 0, 1, 2, 3, 4, 5])):
                 copy[random.randrange(len(copy))] = words(random.randrange(10**6), 1)
             docs.append((len(docs), " ".join(copy)))
     docs += [(len(docs) + i, t) for i, t in enumerate([None, None, "", "", "one two", "one two", "one  Two!", "a " * 30_000, "a " * 29_000])]
