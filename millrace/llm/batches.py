@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 
 
-def slices(batches: Iterator[pa.RecordBatch], text: str, most_chars: int = 2_000_000) -> Iterator[tuple[pa.RecordBatch, list]]:
+def slices(batches: Iterator[pa.RecordBatch], text: str, most_chars: int = 1_000_000) -> Iterator[tuple[pa.RecordBatch, list]]:
     """Consecutive row slices and the values of column `text` in each.
 
     A slice ends once it holds `most_chars` characters; one longer text is a slice of its own, so

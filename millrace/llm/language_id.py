@@ -97,7 +97,7 @@ def fit(docs: DataFrame, penalty: float = 12.0, sample_per_language: int = 2000,
         letters, script_of = _code_points()
         index = {lang: i for i, lang in enumerate(languages)}
         sums = np.zeros((len(languages), len(ORDERS) * BUCKETS + len(SCRIPTS)), np.int64)
-        for batch, texts in slices(batches, "text"):
+        for batch, texts in slices(batches, "text", 500_000):
             codes, starts = _codes(texts)
             letter = letters[codes]
             used = letter | np.concatenate(([False], letter[:-1]))
@@ -224,7 +224,7 @@ def predict(docs: DataFrame, model: Model, keep: list[str] = ["doc_id"]) -> Data
     kinds = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("lang", pa.string())]))
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in slices(batches, "__text"):
+        for batch, texts in slices(batches, "__text", 500_000):
             found = label_texts(texts, shared.value)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64()), pa.array([x[2] for x in found], kinds)],
@@ -242,7 +242,7 @@ def keep_labelled(docs: DataFrame, model: Model, least_score: float = 0.0) -> Da
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in slices(batches, "text"):
+        for batch, texts in slices(batches, "text", 500_000):
             found = label_texts(texts, shared.value)
             yield batch.filter(pa.array([x[0] != UNDETERMINED and x[1] >= least_score for x in found], pa.bool_()))
 
