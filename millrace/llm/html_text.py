@@ -2,9 +2,10 @@
 
 Markup is stripped to lines, one per block of the page. Elements that never hold the article (scripts,
 menus, footers, forms, adverts, notices, comments) leave no text. Each line then has a block length: the
-letters in the window of lines around it, links not counted. Where the block length surges over a
-threshold and until it dives, lines are kept: the article is the stretch with most text, looked for
-inside the page's article element if it marks one.
+characters in the window of lines
+from it on, links not counted. Where the block length surges over a threshold and until it dives, lines are
+kept: the article is the stretch with most text, and stretches not far shorter, looked for inside the page's
+article element if it marks one.
 """
 
 from __future__ import annotations
@@ -45,10 +46,12 @@ _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
 class _Line:
-    __slots__ = ("text", "linked", "article")
+    """`own` is the length outside links, 0 where links leave no letter or digit."""
 
-    def __init__(self, text: str, linked: int, article: int):
-        self.text, self.linked, self.article = text, linked, article
+    __slots__ = ("text", "own", "article")
+
+    def __init__(self, text: str, own: int, article: bool):
+        self.text, self.own, self.article = text, own, article
 
 
 def _is_side(tag: str, attributes: str, in_article: bool) -> bool:
@@ -69,15 +72,20 @@ def lines_of(html: str) -> list[_Line]:
     """The lines of text of a page, without elements that never hold the article."""
     lines: list[_Line] = []
     parts: list[str] = []
+    outside: list[str] = []  # parts that are in no link
     stack: list[tuple[str, bool]] = []  # open elements, and whether each is set aside
-    state = {"aside": 0, "links": 0, "linked": 0, "article": 0, "count": 0}
+    state = {"aside": 0, "links": 0, "article": 0}
 
     def end_line():
         text = _SPACE.sub(" ", unescape("".join(parts))).strip()
         if text:
-            lines.append(_Line(text, state["linked"], state["count"] if state["article"] else 0))
+            own = len(text)
+            if len(outside) < len(parts):
+                rest = _SPACE.sub(" ", unescape("".join(outside))).strip()
+                own = len(rest) if any(c.isalnum() for c in rest) else 0
+            lines.append(_Line(text, own, state["article"] > 0))
         parts.clear()
-        state["linked"] = 0
+        outside.clear()
 
     def shut(down_to: int):
         while len(stack) > down_to:
@@ -89,8 +97,8 @@ def lines_of(html: str) -> list[_Line]:
     def text_from(piece: str):
         if piece and not state["aside"]:
             parts.append(piece)
-            if state["links"]:
-                state["linked"] += len(piece)
+            if not state["links"]:
+                outside.append(piece)
 
     at, size = 0, len(html)
     while at < size:
@@ -153,28 +161,67 @@ def lines_of(html: str) -> list[_Line]:
         state["links"] += tag == "a"
         if tag in ("article", "main"):
             state["article"] += 1
-            state["count"] += 1
     end_line()
     return lines
 
 
+def _stretches(own: list[int], window: int, least_block: int, upward: bool) -> list[tuple[int, int]]:
+    """First and end line of the stretches of text, joined across gaps of at most `window` lines."""
+    size = len(own)
+    block = [sum(own[i : i + window]) for i in range(size)]
+    surge = min(least_block, max(1, max(block) // 10))
+    found: list[tuple[int, int]] = []
+    at = 0
+    while at < size:
+        if own[at] == 0 or block[at] < surge:
+            at += 1
+            continue
+        first, end = at, at
+        # The dive: a line without text from which on the window holds too little.
+        while end < size and (own[end] > 0 or block[end] >= surge):
+            end += 1
+        at = end
+        floor = found[-1][1] if found else 0
+        while (upward or found) and first > floor and own[first - 1] > 0:
+            first -= 1
+        while own[end - 1] == 0:
+            end -= 1
+        if found and first - found[-1][1] <= window:
+            first = found.pop()[0]
+        found.append((first, end))
+    return found
+
+
 def main_text(html: str | None, window: int = 3, least_block: int = 80) -> str:
-    """The article of a page, its blocks joined by \\n; empty for null, for no text, and where there is no article.
+    """The article of a page, its blocks joined by \n; empty for null, for no text, and where there is no article.
 
     A line's block length is the sum, over the `window` lines from it on, of their characters outside
     links. A surge is a line whose block length reaches `least_block`, or a tenth of the page's longest if
-    that is less; its dive is the next line at which text runs out. The stretch with most text is the
-    article. Where the page marks its article, only those lines take part and links count as text, so that
-    the surge is the article's first line and the dive its end, short lines included.
+    that is less; its dive is the next line that is only a link and whose block length is under that. Short
+    lines next to a stretch belong to it, and stretches at most `window` lines apart are one, with the link
+    lines between them. The stretch with most text is the article, with all that have a tenth of its text.
+
+    Where the page marks its article, only those lines take part, every stretch stays, short lines above the
+    first belong to it too, and so do at most `window` link lines at either end. Longer lists of links go, and
+    short lines that are next to no stretch. If links hold all its text, they count as text.
     """
     lines = lines_of(html) if html else []
     marked = [x for x in lines if x.article]
     lines = marked or lines
     if not lines:
         return ""
-    own = [len(x.text) if marked else max(0, len(x.text) - x.linked) for x in lines]
+    own = [x.own for x in lines]
+    if marked and not any(own):
+        own = [len(x.text) for x in lines]
+    if marked:
+        found = _stretches(own, window, least_block, True)
+        if found[0][0] <= window:
+            found[0] = (0, found[0][1])
+        if len(lines) - found[-1][1] <= window:
+            found[-1] = (found[-1][0], len(lines))
+        return "\n".join(x.text for first, end in found for x in lines[first:end])
     block = [sum(own[i : i + window]) for i in range(len(lines))]
-    surge = 1 if marked else min(least_block, max(1, max(block) // 10))
+    surge = min(least_block, max(1, max(block) // 10))
     best, at = (0, 0, 0), 0
     while at < len(lines):
         if block[at] < surge or own[at] == 0:

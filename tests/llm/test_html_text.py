@@ -33,3 +33,14 @@ def test_table(spark):
     got = sorted(tuple(r) for r in extract(df).select("n_chars", "url").collect() if r["url"]), extract(df).count()
     assert got == ([(1, "u"), (300_000, "v")], 4)
     assert extract(df.limit(0)).count() == 0
+
+
+def links(n, name="other"):
+    return "<ul>" + "".join(f"<li><a href='/{i}'>{name} {i}</a></li>" for i in range(n)) + "</ul>"
+
+
+def test_link_lists_in_a_marked_article():
+    a, b = "word " * 40, "more " * 30
+    page = f"<article><h1><a href='/p'>Title</a></h1><p>{a}</p><p>short.</p>{links(8)}<p>{b}</p><p>by <a href='/x'>X</a></p>{links(8)}<div>Buy now</div>{links(8)}</article>"
+    assert main_text(page) == "\n".join(["Title", a.strip(), "short.", b.strip(), "by X"])
+    assert main_text(f"<article>{links(2)}</article>") == "other 0\nother 1"
