@@ -213,26 +213,18 @@ def main_text(html: str | None, window: int = 3, least_block: int = 80) -> str:
     own = [x.own for x in lines]
     if marked and not any(own):
         own = [len(x.text) for x in lines]
+    found = _stretches(own, window, least_block, bool(marked))
+    if not found:
+        return ""
     if marked:
-        found = _stretches(own, window, least_block, True)
         if found[0][0] <= window:
             found[0] = (0, found[0][1])
         if len(lines) - found[-1][1] <= window:
             found[-1] = (found[-1][0], len(lines))
-        return "\n".join(x.text for first, end in found for x in lines[first:end])
-    block = [sum(own[i : i + window]) for i in range(len(lines))]
-    surge = min(least_block, max(1, max(block) // 10))
-    best, at = (0, 0, 0), 0
-    while at < len(lines):
-        if block[at] < surge or own[at] == 0:
-            at += 1
-            continue
-        end = at
-        while end < len(lines) and own[end] > 0:
-            end += 1
-        best = max(best, (sum(own[at:end]), -at, end))
-        at = end
-    return "\n".join(x.text for x in lines[-best[1] : best[2]])
+    else:
+        sizes = [sum(own[first:end]) for first, end in found]
+        found = [x for x, n in zip(found, sizes) if 10 * n >= max(sizes)]
+    return "\n".join(x.text for first, end in found for x in lines[first:end])
 
 
 def extract(pages: DataFrame) -> DataFrame:

@@ -44,3 +44,10 @@ def test_link_lists_in_a_marked_article():
     page = f"<article><h1><a href='/p'>Title</a></h1><p>{a}</p><p>short.</p>{links(8)}<p>{b}</p><p>by <a href='/x'>X</a></p>{links(8)}<div>Buy now</div>{links(8)}</article>"
     assert main_text(page) == "\n".join(["Title", a.strip(), "short.", b.strip(), "by X"])
     assert main_text(f"<article>{links(2)}</article>") == "other 0\nother 1"
+
+
+def test_lines_that_are_only_a_link_do_not_split():
+    a, b, c = "word " * 500, "more " * 400, "last " * 60
+    page = f"<body>{links(9)}<p>{a}</p><h3><a href='/x'>only a link</a></h3><p>{b}</p>{links(3)}<p>{c}</p>{links(9)}</body>"
+    assert main_text(page) == "\n".join([a.strip(), "only a link", b.strip(), "other 0", "other 1", "other 2", c.strip()])
+    assert main_text(f"<body><p>{a}</p>{links(9)}<p>{b}</p>{links(9)}<p>note</p></body>") == "\n".join([a.strip(), b.strip()])
