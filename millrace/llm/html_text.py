@@ -1,8 +1,8 @@
 """The main text of web pages by line-block distribution.
 
 Markup is stripped to lines, one per block of the page. Elements that never hold the article (scripts,
-menus, footers, forms, adverts, notices, comments) leave no text. Each line then has a block length: the
-characters in the window of lines
+menus, footers, forms, adverts, notices, comments) leave no text, unless they are found to hold the page's
+article element or most of its text. Each line then has a block length: the characters in the window of lines
 from it on, links not counted. Where the block length surges over a threshold and until it dives, lines are
 kept: the article is the stretch with most text, and stretches not far shorter, looked for inside the page's
 article element if it marks one.
@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 from html import unescape
 
 import pyarrow as pa
@@ -29,22 +30,35 @@ _RAW = frozenset("script style noscript template textarea iframe svg math object
 _ASIDE = frozenset("nav footer aside form button select dialog menu".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _CLOSES_P = _BLOCKS - frozenset(["br", "body", "html", "caption", "td", "th", "tr", "tbody", "thead", "tfoot"])
-# Words of class, id or role names of parts that are not the article.
-_SIDE_WORDS = re.compile(
-    r"(?:^|(?<!with)(?<!has)(?<!no)[\s_-])(?:ad|ads|adv|advert|adverts|advertisement|advertising|banner|sponsor|sponsored|promo|promotion|cookie|cookies|consent|gdpr|"
-    r"notice|notices|alert|popup|modal|overlay|newsletter|subscribe|subscription|signup|login|paywall|nav|navbar|navigation|menu|breadcrumb|"
-    r"breadcrumbs|sidebar|side|aside|widget|related|recommended|recommendations|share|sharing|social|footer|foot|copyright|legal|comment|"
-    r"comments|comment-list|commentlist|disqus|respond|replies|reply|search|masthead|topbar|toolbar|tags|pagination|pager|complementary|"
-    r"contentinfo|skip)(?:$|[\s_-]|\d)",
-    re.I,
+# Names of class, id or role tokens of parts that are not the article. One part of a token is enough for _PLAIN
+# names; all parts of the token must be side names or _PARTS for the others, which also occur in names of wrappers.
+_PLAIN = frozenset(
+    "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion cookie cookies consent gdpr newsletter "
+    "subscribe subscription signup paywall popup breadcrumb breadcrumbs related recommended recommendations disqus commentlist".split()
 )
-_REPLY_WORDS = re.compile(r"(?:^|[\s_-])(?:ad|advert|sponsored|promo|comment|comments|reply|replies|respond|related|teaser)(?:$|[\s_-]|\d)", re.I)
+_REPLIES = frozenset("comment comments commentlist disqus respond reply replies cookie cookies consent gdpr".split())
+_FRAME = frozenset("nav navbar navigation menu breadcrumb breadcrumbs footer foot copyright contentinfo skip".split())
+_WHOLE = _PLAIN | _REPLIES | _FRAME | frozenset(
+    "banner notice notices alert modal overlay login sidebar side aside widget widgets share sharing social legal search masthead "
+    "topbar toolbar tags pagination pager complementary".split()
+)
+_CARDS = _REPLIES | frozenset("ad advert sponsored promo related teaser".split())
+_PARTS = frozenset(
+    "site page main primary secondary list links link button buttons bar box area section block item items form icons icon post posts "
+    "entry article articles stories body card thread div to".split()
+)
+_STATES = frozenset("has with no without category tag tagged topic type format status".split())
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
 _SPACE = re.compile(r"\s+")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
+# How surely an element is not the article: it may be a wrapper of it, it is only where the article element is
+# in it, or never.
+_SOFT, _FIRM, _NEVER = 1, 2, 3
+
+
 class _Line:
     """`own` is the length outside links, 0 where links leave no letter or digit."""
 
@@ -54,51 +68,92 @@ class _Line:
         self.text, self.own, self.article = text, own, article
 
 
-def _is_side(tag: str, attributes: str, in_article: bool) -> bool:
-    if tag in _ASIDE or (tag == "header" and not in_article):
-        return True
+class _Part:
+    """A side element or an article element: the sides it is in, the article it is in, its text outside links."""
+
+    __slots__ = ("level", "main", "sides", "article", "size", "gone")
+
+    def __init__(self, level: int, main: bool, sides: tuple, article: _Part | None):
+        self.level, self.main, self.sides, self.article, self.size, self.gone = level, main, sides, article, 0, level > 0
+
+
+@lru_cache(maxsize=10_000)
+def _named(value: str, card: bool) -> int:
+    """The level that a class, id or role gives; a `card` is an article element, which wrapper names do not matter for."""
+    level = 0
+    for token in value.lower().split():
+        names = {x for x in (part.rstrip("0123456789") for part in re.split("[-_]+", token)) if x}
+        if names & _STATES:
+            continue
+        whole = names <= (_CARDS if card else _WHOLE) | _PARTS and not names <= _PARTS
+        if whole or not card and names & _PLAIN:
+            level = max(level, _NEVER if whole and names & _REPLIES else _FIRM if whole and names & _FRAME else _SOFT)
+    return level
+
+
+def _level(tag: str, attributes: str, in_article: bool) -> int:
+    if tag in ("html", "body"):
+        return 0
+    level = (_SOFT if tag == "form" else _FIRM) if tag in _ASIDE else _SOFT if tag == "header" and not in_article else 0
     for name, *values in _ATTRIBUTE.findall(attributes) if attributes else ():
         value, name = "".join(values), name.lower()
         if name in ("class", "id", "role"):
-            words = _REPLY_WORDS if tag in ("article", "main") else _SIDE_WORDS
-            if tag not in ("html", "body") and words.search(value):
-                return True
+            if tag != "main":
+                level = max(level, _named(value, tag == "article"))
         elif name == "hidden" or (name == "aria-hidden" and value.lower() == "true") or (name == "style" and _HIDDEN.search(value)):
-            return True
-    return False
+            level = max(level, _FIRM)
+    return level
+
+
+def _spare(sides: list[_Part], articles: list[_Part], size: int, free: int):
+    """Take back that elements are set aside which hold the article, or most of the text of what they are in."""
+    found = [x for x in articles if all(y.level < _NEVER for y in x.sides)]
+    if found:
+        top = max(found, key=lambda x: x.size)
+        if top.main or top.size > free:
+            for x in top.sides:
+                x.gone = False
+    marked = any(not any(y.gone for y in x.sides) for x in found)
+    for x in sides:
+        if x.level == _SOFT and (x.article or not marked) and 2 * x.size > (x.article.size if x.article else size):
+            x.gone = False
 
 
 def lines_of(html: str) -> list[_Line]:
     """The lines of text of a page, without elements that never hold the article."""
-    lines: list[_Line] = []
-    parts: list[str] = []
-    outside: list[str] = []  # parts that are in no link
-    stack: list[tuple[str, bool]] = []  # open elements, and whether each is set aside
-    state = {"aside": 0, "links": 0, "article": 0}
+    pieces: list[tuple | None] = []  # text, whether in a link, sides it is in, article it is in; None ends a line
+    stack: list[tuple[str, tuple, _Part | None]] = []  # open elements; sides and article around each
+    all_sides: list[_Part] = []
+    articles: list[_Part] = []
+    sides: tuple = ()
+    article: _Part | None = None
+    links = total = free = 0
 
     def end_line():
-        text = _SPACE.sub(" ", unescape("".join(parts))).strip()
-        if text:
-            own = len(text)
-            if len(outside) < len(parts):
-                rest = _SPACE.sub(" ", unescape("".join(outside))).strip()
-                own = len(rest) if any(c.isalnum() for c in rest) else 0
-            lines.append(_Line(text, own, state["article"] > 0))
-        parts.clear()
-        outside.clear()
+        if pieces and pieces[-1] is not None:
+            pieces.append(None)
 
     def shut(down_to: int):
+        nonlocal sides, article, links
         while len(stack) > down_to:
-            name, side = stack.pop()
-            state["aside"] -= side
-            state["links"] -= name == "a"
-            state["article"] -= name in ("article", "main")
+            name, sides, article = stack.pop()
+            links -= name == "a"
 
     def text_from(piece: str):
-        if piece and not state["aside"]:
-            parts.append(piece)
-            if not state["links"]:
-                outside.append(piece)
+        nonlocal total, free
+        if not piece:
+            return
+        pieces.append((piece, links > 0, sides, article))
+        size = 0 if links else len(piece.strip())
+        if size and all(x.level < _NEVER for x in sides):
+            total += size
+            free += size if not sides else 0
+            for x in sides:
+                x.size += size
+            inside = article
+            while inside:
+                inside.size += size
+                inside = inside.article
 
     at, size = 0, len(html)
     while at < size:
@@ -155,13 +210,36 @@ def lines_of(html: str) -> list[_Line]:
                     break
         if tag in _VOID or attributes.rstrip().endswith("/") and tag not in _BLOCKS:
             continue
-        side = _is_side(tag, attributes, state["article"] > 0)
-        stack.append((tag, side))
-        state["aside"] += side
-        state["links"] += tag == "a"
+        level = _level(tag, attributes, article is not None)
+        stack.append((tag, sides, article))
+        links += tag == "a"
+        if level:
+            side = _Part(level, False, sides, article)
+            all_sides.append(side)
+            sides = (*sides, side)
         if tag in ("article", "main"):
-            state["article"] += 1
+            article = _Part(0, tag == "main", sides, article)
+            if not level:
+                articles.append(article)
     end_line()
+    if all_sides:
+        _spare(all_sides, articles, total, free)
+
+    lines: list[_Line] = []
+    line: list[tuple] = []
+    for piece in pieces:
+        if piece is not None:
+            if not any(x.gone for x in piece[2]):
+                line.append(piece)
+            continue
+        text = _SPACE.sub(" ", unescape("".join(x[0] for x in line))).strip()
+        if text:
+            own = len(text)
+            if any(x[1] for x in line):
+                outside = _SPACE.sub(" ", unescape("".join(x[0] for x in line if not x[1]))).strip()
+                own = len(outside) if any(c.isalnum() for c in outside) else 0
+            lines.append(_Line(text, own, line[0][3] is not None))
+        line.clear()
     return lines
 
 

@@ -51,3 +51,18 @@ def test_lines_that_are_only_a_link_do_not_split():
     page = f"<body>{links(9)}<p>{a}</p><h3><a href='/x'>only a link</a></h3><p>{b}</p>{links(3)}<p>{c}</p>{links(9)}</body>"
     assert main_text(page) == "\n".join([a.strip(), "only a link", b.strip(), "other 0", "other 1", "other 2", c.strip()])
     assert main_text(f"<body><p>{a}</p>{links(9)}<p>{b}</p>{links(9)}<p>note</p></body>") == "\n".join([a.strip(), b.strip()])
+
+
+@pytest.mark.parametrize("wrapper", ["class='content-sidebar-wrap'", "class='layout sidebar-right'", "class='post category-legal'", "class='single-post comments-open'", "class='tag-search'", "id='social'", "class='widget promo'"])
+@pytest.mark.parametrize("inner", ["<article>{}</article>", "<main>{}</main>", "{}"])
+def test_wrappers_are_not_set_aside(wrapper, inner):
+    text = "word " * 60
+    body = inner.format(f"<p>{text}</p><div class='cookie-notice'>no</div><aside>no</aside>")
+    page = f"<nav>no</nav><div {wrapper}>{body}</div><section id='comments'><p>{'no ' * 500}</p></section><footer>no</footer>"
+    assert main_text(page) == text.strip()
+    assert main_text(f"<form>{page}</form>") == text.strip()
+
+
+def test_cards_do_not_keep_what_holds_them():
+    page = f"<div><p>{'word ' * 60}</p></div><aside class='related'><article><p>a card</p></article></aside>"
+    assert main_text(page) == ("word " * 60).strip()
