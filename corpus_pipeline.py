@@ -10,9 +10,10 @@ from millrace.session import written
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose text has a language: null texts and texts without a letter go."""
+    """Documents whose text has a language: null texts, texts without a letter, and texts most of whose letters are
+    of scripts that no labelled language has go. All documents teach; without any label all of them stay."""
     importable(spark)
-    return language_id.keep_labelled(docs, language_id.fit(docs.where(~language_id.is_held_out(F.col("doc_id")))))
+    return language_id.keep_labelled(docs, language_id.fit(docs), least_known=0.5)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -237,14 +237,31 @@ def predict(docs: DataFrame, model: Model, keep: list[str] = ["doc_id"]) -> Data
     return rows.mapInArrow(label, out.add("spans", _parse_datatype_string(spans)))
 
 
-def keep_labelled(docs: DataFrame, model: Model, least_score: float = 0.0) -> DataFrame:
-    """The rows of `docs`, all columns as they are, whose text gets a language with at least `least_score`."""
+def known_shares(texts: list, model: Model) -> np.ndarray:
+    """Of each text, the share of its letters whose script is a candidate of any language; 1 without a letter."""
+    letters, script_of = _code_points()
+    codes, starts = _codes(texts)
+    letter = letters[codes]
+    known = letter & model.scripts.any(axis=1)[script_of[codes]]
+    count = lambda mask: np.diff(np.concatenate(([0], np.cumsum(mask)))[starts])
+    return np.where(count(letter) > 0, count(known) / np.maximum(count(letter), 1), 1.0)
+
+
+def keep_labelled(docs: DataFrame, model: Model, least_score: float = 0.0, least_known: float = 0.0) -> DataFrame:
+    """The rows of `docs`, all columns as they are, whose text gets a language with at least `least_score`.
+
+    At least `least_known` of a text's letters must be of scripts that a learned language has. Where nothing
+    was learned, there is no label to go by, and all rows stay.
+    """
+    if not model.scripts.any():
+        return docs
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in slices(batches, "text", 500_000):
             found = label_texts(texts, shared.value)
-            yield batch.filter(pa.array([x[0] != UNDETERMINED and x[1] >= least_score for x in found], pa.bool_()))
+            known = known_shares(texts, shared.value) if least_known > 0 else np.ones(len(texts))
+            yield batch.filter(pa.array([x[0] != UNDETERMINED and x[1] >= least_score and k >= least_known for x, k in zip(found, known)], pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema)
 

@@ -50,3 +50,12 @@ def test_spans_scripts_and_odd_texts(spark, documents):
 def test_nothing_to_learn_from(spark, documents):
     model = L.fit(spark.createDataFrame([], "text string, lang string"))
     assert [r["lang_pred"] for r in L.predict(documents([(1, "word")]), model).collect()] == ["und"]
+
+
+def test_scripts_that_no_label_has(spark, documents):
+    english = "the house and the garden of the old man"
+    model = L.fit(spark.createDataFrame([(english, "en")] * 5, "text string, lang string"))
+    rows = [(1, english), (2, "漢字"), (3, "дом и сад " + english), (4, english[:9] + " дом и сад старого человека"), (5, "12 !"), (6, None)]
+    assert sorted(r["doc_id"] for r in L.keep_labelled(documents(rows), model, least_known=0.5).collect()) == [1, 3]
+    nothing = L.fit(spark.createDataFrame([(english, None)], "text string, lang string"))
+    assert L.keep_labelled(documents(rows), nothing, least_known=0.5).count() == 6

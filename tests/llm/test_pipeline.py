@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from test_decontaminate import shingles
 from test_line_dedup import brute as without_lines
 from test_near_dedup import brute as near_classes
@@ -108,3 +109,12 @@ def test_empty_table(spark, corpus):
     spark.createDataFrame([], COLUMNS).write.parquet(f"{empty}/documents.parquet")
     spark.createDataFrame(items, "item_id bigint, text string").write.parquet(f"{empty}/benchmark.parquet")
     assert C.run(spark, empty).count() == 0
+
+
+def test_language_stage_goes_by_labels(spark, corpus):
+    folder, rows, _ = corpus
+    docs = spark.createDataFrame([*rows, (200, "漢字 " * 40, None, "s", 120)], COLUMNS)
+    kept = {r["doc_id"] for r in C.identify_language(spark, docs, folder).collect()}
+    assert 200 not in kept and kept == set(next(by_hand(rows, [])))
+    unlabelled = docs.withColumn("lang", F.lit(None).cast("string"))
+    assert C.identify_language(spark, unlabelled, folder).count() == len(rows) + 1
