@@ -78,20 +78,34 @@ def _grams(codes: np.ndarray, letter: np.ndarray) -> list[np.ndarray]:
 def fit(docs: DataFrame, penalty: float = 12.0, sample_per_language: int = 2000, least_script_share: float = 0.01) -> Model:
     """A model from columns text and lang of `docs`; rows with a null in either teach nothing.
 
-    Learned on a bounded sample: of each language, the rows whose hashed text falls below the
-    share that leaves about `sample_per_language` rows. Counts are made where the rows are; what
-    comes to the driver is at most buckets x orders rows per language, so it does not grow with
+    Learned on a bounded sample of distinct texts: of each language, those whose hash falls below the
+    share that leaves about `sample_per_language` texts, each counted once however many rows have it.
+    What comes to the driver is at most buckets x orders rows per language, so it does not grow with
     the documents. A script is a candidate of a language when at least `least_script_share` of its
     letters in the sample are of that script. Without any labelled row the model has no languages.
     """
-    rows = docs.select("text", "lang").where(F.col("text").isNotNull() & F.col("lang").isNotNull())
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    rows = docs.select("text", "lang", F.xxhash64("text").alias("hash")).where(F.col("text").isNotNull() & F.col("lang").isNotNull())
+    texts_of = rows.select("lang", "hash").distinct().groupBy("lang").agg(F.count("*").alias("n"))
+    sizes = {r["lang"]: r["n"] for r in texts_of.collect()}
     languages = sorted(sizes)
     if not languages:
         return Model([], [], np.zeros((len(SCRIPTS), 0), bool), penalty)
     share = F.create_map(*[F.lit(x) for lang in languages for x in (lang, min(1.0, sample_per_language / sizes[lang]))])
-    draw = (F.xxhash64("text").bitwiseAND(F.lit(0xFFFFFF))).cast("double") / F.lit(float(1 << 24))
-    sample = rows.where(draw < share[F.col("lang")])
+    draw = (F.col("hash").bitwiseAND(F.lit(0xFFFFFF))).cast("double") / F.lit(float(1 << 24))
+    drawn = rows.where(draw < share[F.col("lang")])
+
+    def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Copies go where they are read, so that a text with very many is one row a task in the shuffle.
+        seen = set()
+        for batch in batches:
+            keys = list(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()))
+            new = []
+            for key in keys:
+                new.append(key not in seen)
+                seen.add(key)
+            yield batch.filter(pa.array(new, pa.bool_()))
+
+    sample = drawn.mapInArrow(once, drawn.schema).dropDuplicates(["lang", "hash"]).select("text", "lang")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         letters, script_of = _code_points()

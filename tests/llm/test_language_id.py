@@ -59,3 +59,11 @@ def test_scripts_that_no_label_has(spark, documents):
     assert sorted(r["doc_id"] for r in L.keep_labelled(documents(rows), model, least_known=0.5).collect()) == [1, 3]
     nothing = L.fit(spark.createDataFrame([(english, None)], "text string, lang string"))
     assert L.keep_labelled(documents(rows), nothing, least_known=0.5).count() == 6
+
+
+def test_copies_do_not_crowd_out_other_texts(spark, words):
+    copy, other = "hot " * 30, [words(i, 20) for i in range(40)]
+    expected = L.fit(spark.createDataFrame([(t, "en") for t in [copy, *other]] + [("дом и сад", "ru")], "text string, lang string"))
+    for sample in (2000, 41):
+        model = L.fit(spark.createDataFrame([(copy, "en")] * 4000 + [(t, "en") for t in other * 2] + [("дом и сад", "ru")] * 9, "text string, lang string").repartition(4), sample_per_language=sample)
+        assert all((x == y).all() for x, y in zip(model.scores, expected.scores)) and (model.scripts == expected.scripts).all()
