@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from millrace.llm import decontaminate, html_text, language_id, line_dedup, near_dedup, neighbours, packing, rans, suffix_dedup, warc
+from millrace.llm import (
+    decontaminate, fill_middle, hard_negatives, html_text, language_id, line_dedup, near_dedup, neighbours, packing, rans,
+    sentence_pieces, suffix_dedup, warc,
+)
 from millrace.llm.batches import importable
 
 
@@ -61,6 +64,24 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rans.read(rans.write(table(spark, sf_dir, "documents")))
 
 
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as a fill-in-middle string and as restored from it, by digests."""
+    return fill_middle.digests(table(spark, sf_dir, "documents"))
+
+
+def op12_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's piece ids and the text decoded from them, by digests."""
+    return sentence_pieces.digests(table(spark, sf_dir, "documents"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every row whose vec_id is divisible by 100; every seventh row's label is moved on first."""
+    label = F.col("label").cast("bigint")
+    moved = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    rows = table(spark, sf_dir, "embeddings").withColumn("label", moved)
+    return hard_negatives.mine(rows, F.col("vec_id") % 100 == 0)
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_html_text": op2_html_text,
@@ -72,6 +93,9 @@ QUERIES = {
     "op8_neighbours": op8_neighbours,
     "op9_packing": op9_packing,
     "op10_token_files": op10_token_files,
+    "op11_fill_middle": op11_fill_middle,
+    "op12_sentence_pieces": op12_sentence_pieces,
+    "op13_hard_negatives": op13_hard_negatives,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -146,4 +170,48 @@ ORACLES = {
         SELECT doc_id, coalesce(least(min(b), doc_id), doc_id) AS class_id
         FROM documents LEFT JOIN reach ON doc_id = a GROUP BY doc_id
     """,
+    "op11_fill_middle": """
+        WITH drawn AS (
+            SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
+                   regexp_extract_all(coalesce(text, ''), '[^\\n]*\\n|[^\\n]+') AS units
+            FROM documents),
+        ranks AS (
+            SELECT *, len(units) AS n, CAST('0x' || h[1:8] AS BIGINT) % (len(units) + 1) AS x,
+                   CAST('0x' || h[9:16] AS BIGINT) % (len(units) + 1) AS y, CAST('0x' || h[25:32] AS BIGINT) % 100 AS kind
+            FROM drawn),
+        parts AS (
+            SELECT *, array_to_string(units[1:least(x, y)], '') AS head,
+                   array_to_string(units[least(x, y) + 1:greatest(x, y)], '') AS middle,
+                   array_to_string(units[greatest(x, y) + 1:], '') AS tail,
+                   CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') THEN 'plain'
+                        WHEN kind < 50 THEN 'spm' ELSE 'psm' END AS form
+            FROM ranks)
+        SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+               CASE WHEN form <> 'plain' THEN CAST(length(head) AS BIGINT) END AS prefix_chars,
+               CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+               sha256(CASE form WHEN 'plain' THEN t WHEN 'spm' THEN '<S>' || tail || '<P>' || head || '<M>' || middle
+                      ELSE '<P>' || head || '<S>' || tail || '<M>' || middle END) AS output_sha256,
+               sha256(t) AS restored_sha256
+        FROM parts
+    """,
+    "op13_hard_negatives": """
+        WITH rows AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS BIGINT) + 1) % 10 ELSE CAST(label AS BIGINT) END AS label,
+                   list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        scored AS (
+            SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+            FROM rows a JOIN rows b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+        positives AS (
+            SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+        SELECT anchor_id, positive_id,
+               CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+               vec_id AS negative_id, positive_score, score AS negative_score
+        FROM positives JOIN scored USING (anchor_id)
+        WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+        QUALIFY rank <= 10
+    """,
 }
