@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,14 +13,15 @@ from millrace.catalog.inputs import GROUPS, TX, money, table, tx
 from millrace.operators import checks
 from millrace.operators.aggregates import filtered_stats, sum_by, table_counts
 from millrace.operators.dimensional import (
-    date_dim, dimension_values, hour_values, load_fact, load_layouts, stored,
+    build_snowflake, build_star, date_dim, dimension_values, hour_values, load_fact, load_layouts, registered_values,
+    registry_keys, store, stored,
 )
 from millrace.operators.ordering import dense_keys
 from millrace.plans.warehouse import (
     SNOWFLAKE_TABLES, STAR_TABLES, daily_revenue_by_group, revenue_by_category_status,
     revenue_by_group_year,
 )
-from millrace.session import fresh_path
+from millrace.session import fresh_path, written
 from millrace.sources import files
 
 CENTS = 2  # the given prices have two decimals
@@ -174,6 +176,67 @@ def load_guard(spark, sf_dir):
     )
 
 
+def _two_loads(spark, sf_dir) -> dict[str, DataFrame]:
+    """Both layouts after a second load, with the keys that the first one, of older orders, has given."""
+    source, registry = tx(spark, sf_dir), fresh_path(spark, "registry")
+    older = source.filter((F.col("timestamp") < "1998-01-01") & (F.col("category") != "3-MEDIUM"))
+    for load in (older, source):
+        values = registered_values(load, registry)
+        star = build_star(load, GROUPS, values)
+        snow = build_snowflake(load, GROUPS, values, star["star_fact_transactions"], registry_keys(registry))
+    return star | snow
+
+
+def second_load_keys(spark, sf_dir):
+    """Every key of every dimension after two loads."""
+    t = _two_loads(spark, sf_dir)
+    named = {
+        "category": ("star_dim_category", "category_id", F.col("category_name")),
+        "status": ("star_dim_status", "status_id", F.col("status_name")),
+        "hour": ("star_dim_date", "date_id", F.col("date_hour")),
+        "group": ("snow_dim_category_group", "group_id", F.col("group_name")),
+        "year": ("snow_dim_year", "year_id", F.col("year_val").cast("string")),
+    }
+    lists = [
+        t[name].select(F.lit(dim).alias("dimension"), F.col(key).alias("key"), value.alias("value"))
+        for dim, (name, key, value) in named.items()
+    ]
+    months = t["snow_dim_month"].join(t["snow_dim_year"], "year_id")
+    text = F.concat_ws("-", F.col("year_val").cast("string"), F.lpad(F.col("month_val").cast("string"), 2, "0"))
+    lists.append(months.select(F.lit("month").alias("dimension"), F.col("month_id").alias("key"), text.alias("value")))
+    return reduce(DataFrame.unionByName, lists)
+
+
+def second_load_fact(spark, sf_dir):
+    """The fact of the second load, in keys that the first one may have given."""
+    return _two_loads(spark, sf_dir)["star_fact_transactions"]
+
+
+def layout_refresh(spark, sf_dir):
+    """Rows per table of a star: first stored, after a refresh that failed in its last table, after one that did not."""
+    root, source = fresh_path(spark, "refresh"), tx(spark, sf_dir)
+    store(build_star(source.filter(F.col("status") == "F"), GROUPS), root)
+    refreshed = build_star(source, GROUPS)
+    broken = dict(refreshed)
+    fact = broken.pop("star_fact_transactions")
+    broken["star_fact_transactions"] = fact.withColumn("amount", F.raise_error(F.lit("lost source")).cast("double"))
+    reports = []
+
+    def report(state):
+        rows = table_counts(stored(spark, root)).withColumn("state", F.lit(state))
+        reports.append(written(rows, "refresh-report"))
+
+    report("stored")
+    try:
+        store(broken, root)
+        raise AssertionError("the refresh should have failed")
+    except PySparkException:
+        report("failed refresh")
+    store(refreshed, root)
+    report("refreshed")
+    return reduce(DataFrame.unionByName, reports)
+
+
 # -- revenue questions --------------------------------------------------------------------
 
 _QUESTIONS = {
@@ -343,6 +406,9 @@ QUERIES = {
     "fact_load": fact_load,
     "fact_unmatched": fact_unmatched,
     "load_guard": load_guard,
+    "second_load_keys": second_load_keys,
+    "second_load_fact": second_load_fact,
+    "layout_refresh": layout_refresh,
     "snow_group": _snow("snow_dim_category_group"),
     "snow_category": _snow("snow_dim_category"),
     "snow_status": _snow("snow_dim_status"),
@@ -412,6 +478,25 @@ GROUP BY 1, 2, 3, 4
 
 _Q3 = f"WITH {TX} {_daily('F')} ORDER BY 1, 2, 3, 4"
 
+# Values in the order of their keys: those of the first load, sorted, then those that the second one adds, sorted.
+_TWO_LOADS = f"""WITH {TX},
+named AS (
+    SELECT transaction_id, ts < '1998-01-01' AND category <> '3-MEDIUM' AS older, category, status, date_trunc('hour', ts) AS h,
+           CASE WHEN category IN ('1-URGENT', '2-HIGH') THEN 'Expedited'
+                WHEN category IN ('3-MEDIUM', '4-NOT SPECIFIED') THEN 'Regular' ELSE 'Other' END AS grp
+    FROM tx),
+found AS (
+    SELECT older, unnest([
+        {{'dimension': 'category', 'value': category}}, {{'dimension': 'status', 'value': status}},
+        {{'dimension': 'hour', 'value': strftime(h, '%Y-%m-%d %H:00')}}, {{'dimension': 'group', 'value': grp}},
+        {{'dimension': 'year', 'value': strftime(h, '%Y')}}, {{'dimension': 'month', 'value': strftime(h, '%Y-%m')}}], recursive := true)
+    FROM named),
+keyed AS (
+    SELECT dimension, value,
+           CAST(row_number() OVER (PARTITION BY dimension ORDER BY first DESC, value) AS INTEGER) AS key
+    FROM (SELECT dimension, value, bool_or(coalesce(older, false)) AS first FROM found WHERE value IS NOT NULL GROUP BY ALL))
+"""
+
 _EARLIER = f"""WITH {TX},
 seen AS (SELECT * FROM tx WHERE status = 'F'),
 flagged AS (
@@ -494,6 +579,23 @@ FROM (SELECT DISTINCT date_trunc('hour', ts) AS h FROM events)""",
 SELECT row_number() OVER (ORDER BY l_partkey, l_suppkey) AS pair_id, l_partkey, l_suppkey
 FROM (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem)""",
     "fact_load": _FACT,
+    "second_load_keys": f"{_TWO_LOADS} SELECT dimension, key, value FROM keyed",
+    "second_load_fact": f"""{_TWO_LOADS}
+SELECT transaction_id, user_id, c.key AS category_id, s.key AS status_id, d.key AS date_id,
+       strftime(ts, '%Y-%m-%d %H:%M:%S') AS transaction_ts, amount
+FROM tx JOIN keyed c ON c.dimension = 'category' AND category = c.value
+     JOIN keyed s ON s.dimension = 'status' AND status = s.value
+     JOIN keyed d ON d.dimension = 'hour' AND strftime(ts, '%Y-%m-%d %H:00') = d.value""",
+    "layout_refresh": f"""WITH {TX},
+counted AS (
+    SELECT f, count(DISTINCT category) AS c, count(DISTINCT status) AS s, count(DISTINCT date_trunc('hour', ts)) AS h,
+           count(*) FILTER (WHERE category IS NOT NULL AND status IS NOT NULL AND ts IS NOT NULL) AS n
+    FROM (SELECT *, true AS f FROM tx WHERE status = 'F' UNION ALL SELECT *, false FROM tx) GROUP BY f),
+long AS (
+    SELECT f, unnest([{{'table_name': 'star_dim_category', 'rows': c}}, {{'table_name': 'star_dim_status', 'rows': s}},
+                      {{'table_name': 'star_dim_date', 'rows': h}}, {{'table_name': 'star_fact_transactions', 'rows': n}}], recursive := true)
+    FROM counted)
+SELECT table_name, rows, state FROM long JOIN (VALUES (true, 'stored'), (true, 'failed refresh'), (false, 'refreshed')) v(f, state) USING (f)""",
     "fact_unmatched": f"""{_EARLIER}
 SELECT 'category' AS dimension, category AS value, count(*) AS rows FROM flagged
 WHERE NOT has_category GROUP BY category

@@ -5,14 +5,19 @@ Input: transactions(transaction_id, user_id, amount, category, status, timestamp
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import (
     hour_number, hour_number_date, hour_number_text, second_text, with_group,
 )
-from millrace.operators.ordering import dense_keys
-from millrace.session import written
+from millrace.operators import key_registry
+from millrace.operators.ordering import dense_keys, running_total
+from millrace.session import delete_folder, fresh_path, make_folder, written
+from millrace.sources import commits
 
 # The category hierarchy.
 CATEGORY_GROUPS = {
@@ -43,19 +48,56 @@ def hour_values(tx: DataFrame, ts: str = "timestamp") -> DataFrame:
 def dimension_values(tx: DataFrame) -> Tables:
     """The three keyed value lists both layouts share, from one scan of the source.
 
-    The combinations that occur are folded and written once; each list is then read from them.
+    The values of all three are numbered in one global order, list by list, and written by list.
     """
+    found = with_hour(tx).select("category", "status", "hour_number").distinct()
+    entry = lambda i, text, number: F.struct(F.lit(i).alias("list"), text.alias("text"), number.alias("number"))
+    no_text, no_number = F.lit(None).cast("string"), F.lit(None).cast("int")
+    entries = F.array(
+        entry(0, F.col("category"), no_number), entry(1, F.col("status"), no_number), entry(2, no_text, F.col("hour_number"))
+    )
+    values = found.select(F.inline(entries)).filter("text is not null or number is not null").distinct()
+    numbered = running_total(values.withColumn("one", F.lit(1).cast("long")), ["list", "text", "number"], "one", "place")
+    spark, path = tx.sparkSession, fresh_path(tx.sparkSession, "values")
+    numbered.select("list", "text", "number", "place").write.partitionBy("list").parquet(path)
+    tables = {}
+    for i, (name, value, column, key) in enumerate([
+        ("category", "text", "category_name", "category_id"),
+        ("status", "text", "status_name", "status_id"),
+        ("hour", "number", "hour_number", "date_id"),
+    ]):
+        folder = f"{path}/list={i}"
+        make_folder(spark, folder)  # a list may be empty
+        rows = spark.read.schema("text string, number int, place long").parquet(folder)
+        before = rows.agg(F.min("place")).scalar()
+        tables[name] = rows.select((F.col("place") - before + 1).cast("int").alias(key), F.col(value).alias(column))
+    return tables
+
+
+def registered_values(tx: DataFrame, registry: str) -> Tables:
+    """The same three lists with keys that earlier loads have given: see key_registry. Values of earlier loads stay."""
     found = with_hour(tx).select(
         F.col("category").alias("category_name"), F.col("status").alias("status_name"), "hour_number"
     )
     found = written(found.distinct(), "combinations")
+    keyed = registry_keys(registry)
     return {
-        "category": written(dense_keys(found, ["category_name"], "category_id"), "category"),
-        "status": written(dense_keys(found, ["status_name"], "status_id"), "status"),
-        "hour": written(dense_keys(found, ["hour_number"], "date_id"), "hour"),
+        "category": keyed(found, ["category_name"], "category_id"),
+        "status": keyed(found, ["status_name"], "status_id"),
+        "hour": keyed(found, ["hour_number"], "date_id"),
     }
 
 
+def registry_keys(registry: str) -> Callable[[DataFrame, list[str], str], DataFrame]:
+    """How to key the values of some columns: by the registry of that key below this folder."""
+    return lambda df, columns, key: key_registry.extend(df, columns, key, f"{registry}/{key}")
+
+
+def dense(df: DataFrame, columns: list[str], key: str) -> DataFrame:
+    """Keys of one load alone: 1..n in sorted order."""
+    return written(dense_keys(df, columns, key), key)
+
+
 def date_dim(hours: DataFrame) -> DataFrame:
     """Hour-grain dates from (date_id, hour_number): only the hours that occur."""
     date = hour_number_date("hour_number")
@@ -98,17 +140,19 @@ def build_snowflake(
     mapping: dict[str, str],
     values: Tables | None = None,
     fact: DataFrame | None = None,
+    keyed: Callable[[DataFrame, list[str], str], DataFrame] = dense,
 ) -> Tables:
-    """The snowflake layout. `fact` is the fact of a star that was stored, which is the same table."""
+    """The snowflake layout. `fact` is the fact of a star that was stored, which is the same table.
+
+    `keyed` gives the keys of groups, years and months; with those of a registry they outlive the load.
+    """
     values = values or dimension_values(tx)
     category = with_group(values["category"], "category_name", mapping, "group_name")
-    groups = written(dense_keys(category, ["group_name"], "group_id"), "groups")
+    groups = keyed(category, ["group_name"], "group_id")
 
     dates = date_dim(values["hour"])
-    years = written(dense_keys(dates.select(F.col("year").alias("year_val")), ["year_val"], "year_id"), "years")
-    months = written(dense_keys(dates, ["year", "month"], "month_id"), "months").join(
-        years, F.col("year") == F.col("year_val")
-    )
+    years = keyed(dates.select(F.col("year").alias("year_val")), ["year_val"], "year_id")
+    months = keyed(dates, ["year", "month"], "month_id").join(years, F.col("year") == F.col("year_val"))
     return {
         "snow_dim_category_group": groups.select("group_id", "group_name"),
         "snow_dim_category": category.join(groups, "group_name").select(
@@ -124,10 +168,23 @@ def build_snowflake(
     }
 
 
-def store(tables: Tables, root: str) -> None:
-    """Full refresh: every table is overwritten, so a second load leaves the same state."""
+def store(tables: Tables, root: str, keep: int = 2) -> int:
+    """Full refresh: all tables are written to a new folder, then one commit makes all of them current.
+
+    Until then, and if a table fails, readers see all tables as they were. Other tables that were stored at `root` stay.
+    What none of the last `keep` versions names is deleted. Returns the version.
+    """
+    spark = next(iter(tables.values())).sparkSession
+    version, state = commits.read(spark, root)
+    folder = f"snapshots/{uuid.uuid4().hex}"
     for name, table in tables.items():
-        table.write.mode("overwrite").parquet(f"{root}/{name}")
+        table.write.parquet(f"{root}/{folder}/{name}")
+    places = state.get("tables", {}) | {name: f"{folder}/{name}" for name in tables}
+    version = commits.commit(spark, root, version, {"tables": places})
+    known = [set(commits.read(spark, root, v)[1]["tables"].values()) for v in commits.versions(spark, root)[-keep - 1 :]]
+    for place in set().union(*known[:-keep]) - set().union(*known[-keep:]):
+        delete_folder(spark, f"{root}/{place}")
+    return version
 
 
 def load_layouts(tx: DataFrame, mapping: dict[str, str], star_root: str, snow_root: str) -> None:
@@ -142,5 +199,9 @@ def load_layouts(tx: DataFrame, mapping: dict[str, str], star_root: str, snow_ro
     store(build_snowflake(tx, mapping, values, fact), snow_root)
 
 
-def stored(spark: SparkSession, root: str, names: list[str]) -> Tables:
-    return {name: spark.read.parquet(f"{root}/{name}") for name in names}
+def stored(spark: SparkSession, root: str, names: list[str] | None = None, version: int | None = None) -> Tables:
+    """The tables as of one version, the latest by default."""
+    found, state = commits.read(spark, root, version)
+    if found == -1:
+        raise FileNotFoundError(f"no tables were stored at {root}")
+    return {name: spark.read.parquet(f"{root}/{state['tables'][name]}") for name in names or state["tables"]}

@@ -60,20 +60,21 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return table
 
 
-def _on_file_system(spark: SparkSession, path: str):
+def on_file_system(spark: SparkSession, path: str):
+    """The file system of a path, and the path, as objects of the session's JVM."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
 
 
 def make_folder(spark: SparkSession, path: str) -> None:
     """Makes a folder on any file system Spark knows, unless it is there."""
-    files, target = _on_file_system(spark, path)
+    files, target = on_file_system(spark, path)
     files.mkdirs(target)
 
 
 def delete_folder(spark: SparkSession, path: str) -> None:
     """Deletes a folder on any file system Spark knows, if it is there."""
-    files, target = _on_file_system(spark, path)
+    files, target = on_file_system(spark, path)
     files.delete(target, True)
 
 
