@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.catalog.inputs import (
@@ -9,9 +12,9 @@ from millrace.catalog.inputs import (
     leavers, newcomers, people, table,
 )
 from millrace.functions.record_rules import with_record_key
-from millrace.operators import checks, ingest, keyed_tables
-from millrace.session import fresh_path
-from millrace.streaming.ingest_stream import feed_stream, run_ingest_stream
+from millrace.operators import checks, ingest, keyed_tables, stored_tables
+from millrace.session import fresh_path, written
+from millrace.streaming.ingest_stream import feed_stream, run_ingest_stream, run_state_stream
 
 
 def _shown(df):
@@ -61,6 +64,50 @@ def delete_by_key(spark, sf_dir):
     return _shown(keyed_tables.delete_by_key(people(spark, sf_dir), leavers(spark, sf_dir), "id"))
 
 
+def _stored_people(spark, sf_dir) -> str:
+    root = fresh_path(spark, "people")
+    stored_tables.create(people(spark, sf_dir), root, "id", buckets=16)
+    return root
+
+
+def stored_changes(spark, sf_dir):
+    """The stored table after an update, a delete and an insert, each of which rewrites only buckets it touches."""
+    root = _stored_people(spark, sf_dir)
+    stored_tables.update(spark, root, gpa_changes(spark, sf_dir), ["gpa"], "seq", checks.PEOPLE_RULES)
+    stored_tables.delete(spark, root, leavers(spark, sf_dir))
+    target = people(spark, sf_dir)
+    incoming = keyed_tables.with_defaults(newcomers(spark, sf_dir), target, "arrival_seq", time_column=None)
+    stored_tables.insert_ignore(spark, root, incoming, "email", "arrival_seq", checks.PEOPLE_RULES)
+    return _shown(stored_tables.read(spark, root))
+
+
+def stored_affected_rows(spark, sf_dir):
+    """What each change reports: rows updated, deleted and inserted, one after another."""
+    root = _stored_people(spark, sf_dir)
+    updated = stored_tables.update(spark, root, gpa_changes(spark, sf_dir), ["gpa"], "seq")
+    deleted = stored_tables.delete(spark, root, leavers(spark, sf_dir))
+    incoming = keyed_tables.with_defaults(
+        newcomers(spark, sf_dir), people(spark, sf_dir), "arrival_seq", time_column=None
+    )
+    inserted = stored_tables.insert_ignore(spark, root, incoming, "email", "arrival_seq")
+    report = [("update", updated), ("delete", deleted), ("insert", inserted)]
+    return spark.createDataFrame(report, "op string, rows bigint")
+
+
+def stored_versions(spark, sf_dir):
+    """Rows and sum of marks in each version of the stored table: earlier ones stay as they were."""
+    root = _stored_people(spark, sf_dir)
+    stored_tables.update(spark, root, gpa_changes(spark, sf_dir), ["gpa"], "seq")
+    stored_tables.delete(spark, root, leavers(spark, sf_dir))
+    versions = [
+        stored_tables.read(spark, root, v).agg(
+            F.count("*").alias("rows"), F.sum("gpa").cast("double").alias("total_gpa")
+        ).withColumn("version", F.lit(v).cast("bigint"))
+        for v in range(3)
+    ]
+    return reduce(DataFrame.unionByName, versions)
+
+
 def affected_rows(spark, sf_dir):
     target = people(spark, sf_dir)
     added = keyed_tables.affected_rows(
@@ -157,6 +204,31 @@ def retry_adds_nothing(spark, sf_dir):
     return ingest.read_sink(spark, root, "metrics")
 
 
+def ledger_lookups(spark, sf_dir):
+    """Per batch: ids asked for, ids that were handled before, and whether a file of the ledger had to be opened.
+
+    Batch 2 is batch 0 under new ids, so its ids are new; batch 3 is batch 0 as it was.
+    """
+    root = fresh_path(spark, "lookups")
+    whole = feed(spark, sf_dir)
+    first = whole.filter(F.col("batch_id") == 0)
+    renamed = first.withColumn("raw", F.regexp_replace("raw", '"record_id":"rec-', '"record_id":"new-'))
+    named = F.col("record_key").startswith('"new-')
+    batches = [first, whole.filter(F.col("batch_id") == 1), with_record_key(renamed).filter(named).drop("record_key"), first]
+    reports = []
+    for batch_id, batch in enumerate(batches):
+        ids = with_record_key(batch).filter(F.col("record_key").isNotNull()).select("record_key").distinct()
+        ids = written(ids, "ids")
+        hits, in_batches, buckets = ingest.ledger_places(ids, root, batch_id)
+        seen = ingest.known_keys(hits, ingest.ledger_part(spark, root, in_batches, buckets), "record_key")
+        counts = ids.agg(F.count("*").alias("ids")).withColumn("seen", seen.agg(F.count("*")).scalar())
+        reports.append(written(counts.select(
+            F.lit(batch_id).cast("bigint").alias("batch_id"), "ids", "seen", F.lit(bool(in_batches)).alias("opened")
+        ), "lookups"))
+        ingest.ingest_batch(batch, batch_id, root)
+    return reduce(DataFrame.unionByName, reports)
+
+
 def replay_slice(spark, sf_dir):
     """The first five arrivals."""
     return feed(spark, sf_dir).orderBy("arrival_seq").limit(5)
@@ -215,6 +287,28 @@ def ingest_stream(spark, sf_dir):
     return ingest.read_sink(spark, root, "clean").drop("batch_id")
 
 
+def _state_streamed(spark, sf_dir) -> str:
+    """The feed streamed in two runs, the second from where the first stopped, with the ids in the state store."""
+    source, root = fresh_path(spark, "feed"), fresh_path(spark, "stream")
+    whole = feed(spark, sf_dir)
+    for batch_id in (0, 1):
+        whole.filter(F.col("batch_id") == batch_id).write.mode("append").parquet(source)
+        run_state_stream(feed_stream(spark, source, files_per_batch=8), root).awaitTermination()
+    return root
+
+
+def ingest_state_stream(spark, sf_dir):
+    """The clean table after a stream that keeps handled ids in the state store and was restarted once."""
+    return ingest.read_sink(spark, _state_streamed(spark, sf_dir), "clean").drop("batch_id")
+
+
+def state_stream_totals(spark, sf_dir):
+    """The counters over all micro-batches of the same stream."""
+    root = _state_streamed(spark, sf_dir)
+    totals = ingest.total_metrics(ingest.read_sink(spark, root, "metrics"))
+    return totals.select("received", "clean", "dlq", "duplicates")
+
+
 QUERIES = {
     "ordered_people": ordered_people,
     "insert_ignore": insert_ignore,
@@ -223,6 +317,9 @@ QUERIES = {
     "update_by_key": update_by_key,
     "delete_by_key": delete_by_key,
     "affected_rows": affected_rows,
+    "stored_changes": stored_changes,
+    "stored_affected_rows": stored_affected_rows,
+    "stored_versions": stored_versions,
     "validate_reason": validate_reason,
     "clean_rows": clean_rows,
     "dlq_rows": dlq_rows,
@@ -233,6 +330,7 @@ QUERIES = {
     "drop_seen": drop_seen,
     "replay_adds_nothing": replay_adds_nothing,
     "retry_adds_nothing": retry_adds_nothing,
+    "ledger_lookups": ledger_lookups,
     "replay_slice": replay_slice,
     "ingest_metrics": ingest_metrics,
     "reconcile": reconcile,
@@ -240,12 +338,29 @@ QUERIES = {
     "quality_summary": quality_summary,
     "fetch_accounting": fetch_accounting,
     "ingest_stream": ingest_stream,
+    "ingest_state_stream": ingest_state_stream,
+    "state_stream_totals": state_stream_totals,
 }
 
 # -- the same in SQL ----------------------------------------------------------------------
 
 _PERSON = "id, full_name, email, CAST(gpa AS DOUBLE) AS gpa"
 
+_CHANGED = f"""WITH {PEOPLE},
+last_change AS (
+    SELECT id, gpa FROM (
+        SELECT *, row_number() OVER (PARTITION BY id ORDER BY seq DESC) AS rn FROM gpa_changes)
+    WHERE rn = 1),
+updated AS (
+    SELECT p.id, full_name, email, CASE WHEN c.id IS NOT NULL THEN c.gpa ELSE p.gpa END AS gpa, c.id IS NOT NULL AS hit
+    FROM people p LEFT JOIN last_change c ON p.id = c.id),
+stayed AS (SELECT * FROM updated WHERE id NOT IN (SELECT id FROM leavers)),
+later AS (
+    SELECT (SELECT max(id) FROM people) + arrival_seq + 1 AS id, full_name, email, gpa
+    FROM (SELECT *, row_number() OVER (PARTITION BY email ORDER BY arrival_seq) AS rn FROM newcomers)
+    WHERE rn = 1 AND email NOT IN (SELECT email FROM stayed))
+"""
+
 _BATCHES = f"""WITH {FEED}, {JUDGED}, {ATTEMPTS},
 received AS (SELECT batch_id, count(*) AS received FROM feed GROUP BY batch_id),
 handled AS (
@@ -293,6 +408,16 @@ UNION ALL
 SELECT 'update', count(*) FROM people WHERE id IN (SELECT id FROM gpa_changes)
 UNION ALL
 SELECT 'delete', count(*) FROM people WHERE id IN (SELECT id FROM leavers)""",
+    "stored_changes": f"""{_CHANGED}
+SELECT {_PERSON} FROM stayed UNION ALL SELECT {_PERSON} FROM later""",
+    "stored_affected_rows": f"""{_CHANGED}
+SELECT 'update' AS op, count(*) AS rows FROM updated WHERE hit
+UNION ALL SELECT 'delete', count(*) FROM updated WHERE id IN (SELECT id FROM leavers)
+UNION ALL SELECT 'insert', count(*) FROM later""",
+    "stored_versions": f"""{_CHANGED}
+SELECT CAST(0 AS BIGINT) AS version, count(*) AS rows, CAST(sum(gpa) AS DOUBLE) AS total_gpa FROM people
+UNION ALL SELECT 1, count(*), CAST(sum(gpa) AS DOUBLE) FROM updated
+UNION ALL SELECT 2, count(*), CAST(sum(gpa) AS DOUBLE) FROM stayed""",
     "validate_reason": f"""WITH {FEED}, {JUDGED}
 SELECT batch_id, arrival_seq, reason_code, reason_value FROM verdict""",
     "clean_rows": f"WITH {FEED}, {JUDGED} SELECT {CLEAN_FIELDS} FROM fresh WHERE reason_code IS NULL",
@@ -319,6 +444,13 @@ WHERE record_key IS NULL OR (rn = 1 AND record_key NOT IN (SELECT record_key FRO
     "replay_adds_nothing": f"""{_BATCHES}
 SELECT * FROM metrics UNION ALL SELECT * FROM replay""",
     "retry_adds_nothing": f"{_BATCHES} SELECT * FROM metrics",
+    "ledger_lookups": f"""WITH {FEED}, {JUDGED},
+zero AS (SELECT DISTINCT record_key FROM verdict WHERE batch_id = 0 AND record_key IS NOT NULL),
+one AS (SELECT DISTINCT record_key FROM verdict WHERE batch_id = 1 AND record_key IS NOT NULL)
+SELECT CAST(0 AS BIGINT) AS batch_id, count(*) AS ids, CAST(0 AS BIGINT) AS seen, false AS opened FROM zero
+UNION ALL SELECT 1, count(*), count(*) FILTER (WHERE record_key IN (SELECT record_key FROM zero)), true FROM one
+UNION ALL SELECT 2, count(*), 0, false FROM zero WHERE starts_with(record_key, '"rec-')
+UNION ALL SELECT 3, count(*), count(*), true FROM zero""",
     "replay_slice": f"WITH {FEED} SELECT * FROM feed ORDER BY arrival_seq LIMIT 5",
     "ingest_metrics": f"{_BATCHES} SELECT * FROM metrics",
     "reconcile": f"""{_BATCHES},
@@ -353,4 +485,9 @@ SELECT event_id AS batch_id, least(event_id % 6, 3) AS fetch_retries,
        round(0.2 * (pow(2, least(event_id % 6, 3)) - 1), 6) AS waited_seconds
 FROM events""",
     "ingest_stream": f"WITH {FEED}, {JUDGED} SELECT {CLEAN_FIELDS} FROM fresh WHERE reason_code IS NULL",
+    "ingest_state_stream": f"WITH {FEED}, {JUDGED} SELECT {CLEAN_FIELDS} FROM fresh WHERE reason_code IS NULL",
+    "state_stream_totals": f"""{_BATCHES}
+SELECT CAST(sum(received) AS BIGINT) AS received, CAST(sum(clean) AS BIGINT) AS clean, CAST(sum(dlq) AS BIGINT) AS dlq,
+       CAST(sum(duplicates) AS BIGINT) AS duplicates
+FROM metrics""",
 }

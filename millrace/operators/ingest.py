@@ -2,13 +2,14 @@
 
 Feed: (raw STRING json, batch_id LONG, arrival_seq LONG), arrival_seq unique and increasing.
 
-A batch writes four folders, `<sink>/batch_id=N`, each replaced as a whole, the ledger last.
+A batch writes five folders, `<sink>/batch_id=N`, each replaced as a whole, the ledger last.
 The ledger is read for earlier batches only, so a batch that failed half-way and runs again
 replaces its own output and neither loses nor doubles a record.
 
 The ledger is bucketed by the record key, as a table of the session's catalog over the files below the
-root. A batch's ids are shuffled to the buckets when they are too many to broadcast; the ledger never is.
-Old batches can be joined into one by compact_ledger.
+root. Beside it lies a Bloom filter of each batch's ids. The ids of a new batch are looked up in the filters; only
+ids that some filter may hold are compared with the ledger, and only files of the batches and buckets those ids
+point at are opened. Old batches can be joined into one by compact_ledger.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.columns import share
 from millrace.functions.record_rules import with_record_key, with_verdict
+from millrace.operators.id_filter import FILTER_SCHEMA, filter_of, may_hold
 from millrace.operators.keyed_tables import first_per_key, known_keys, without_keys
 from millrace.session import delete_folder, make_folder, release, written
 
@@ -39,6 +41,7 @@ SINK_SCHEMAS = {
     "clean": "record_id string, timestamp string, sensor_id string, temperature double, humidity double, raw string",
     "dead_letter": "raw string, reason_code string, reason_value string, failed_at timestamp",
     "ledger": "record_key string",
+    "ledger_filters": FILTER_SCHEMA,
     "metrics": ", ".join(f"{name} long" for name in COUNTERS),
 }
 
@@ -127,6 +130,49 @@ def read_ledger(spark: SparkSession, root: str, before_batch: int) -> DataFrame:
     return spark.table(_ledger_table(spark, root)).filter(F.col("batch_id") < before_batch)
 
 
+def ledger_places(keys: DataFrame, root: str, before_batch: int) -> tuple[DataFrame, list[int], list[int]]:
+    """Keys that an earlier batch's filter may hold, and the batches and buckets of the ledger they point at.
+
+    Batches without a filter (of a ledger that is older than the filters) count as if they held every key. The
+    lists are short: batches that were not joined yet, and at most LEDGER_BUCKETS buckets.
+    """
+    spark = keys.sparkSession
+    filters = read_sink(spark, root, "ledger_filters").filter(F.col("batch_id") < before_batch)
+    bucket = F.pmod(F.hash("record_key"), F.lit(LEDGER_BUCKETS))
+    asked = keys.filter(F.col("record_key").isNotNull()).select("record_key", bucket.alias("bucket"))
+    listed = spark.sql(f"SHOW PARTITIONS {_ledger_table(spark, root)}").collect()
+    stored = {b for b in (int(r["partition"].partition("=")[2]) for r in listed) if b < before_batch}
+    bare = sorted(stored - {r["batch_id"] for r in filters.select("batch_id").distinct().collect()})
+    hits = may_hold(filters, asked, "record_key")
+    if bare:
+        hits = hits.unionByName(asked.withColumn("batch_id", F.explode(F.array(*[F.lit(b) for b in bare]).cast("array<bigint>"))))
+    hits = written(hits, "hits")
+    places = hits.select("batch_id", "bucket").distinct().collect()
+    return hits, sorted({r["batch_id"] for r in places}), sorted({r["bucket"] for r in places})
+
+
+def ledger_part(spark: SparkSession, root: str, batches: list[int], buckets: list[int]) -> DataFrame:
+    """The ids in these buckets of these batches. Other files are not opened: they are left out by their names."""
+    if not batches:
+        return spark.createDataFrame([], "record_key string, batch_id bigint")
+    ledger = spark.table(_ledger_table(spark, root)).filter(F.col("batch_id").isin(batches))
+    if len(buckets) < LEDGER_BUCKETS:
+        numbers = "|".join(f"{b:05d}" for b in buckets)
+        ledger = ledger.filter(F.col("_metadata.file_name").rlike(f"_({numbers})[.]"))
+    return ledger.select("record_key", "batch_id")
+
+
+def seen_before(first: DataFrame, root: str, batch_id: int) -> DataFrame:
+    """The record keys of `first` (from first_per_key) that an earlier batch has handled."""
+    hits, batches, buckets = ledger_places(first, root, batch_id)
+    part = ledger_part(first.sparkSession, root, batches, buckets)
+    return known_keys(hits, part, "record_key")
+
+
+def _write_filter(ids: DataFrame, root: str, batch_id: int) -> None:
+    _replace(filter_of(ids, "record_key", ids.count()), root, "ledger_filters", batch_id)
+
+
 def _write_ledger(ids: DataFrame, root: str, batch_id: int) -> None:
     """Replaces the ids of one batch, a file a bucket."""
     spark = ids.sparkSession
@@ -149,9 +195,11 @@ def compact_ledger(spark: SparkSession, root: str, through_batch: int) -> None:
     old = spark.table(table).filter(F.col("batch_id") <= through_batch)
     batches = [r["batch_id"] for r in old.select("batch_id").distinct().collect()]
     joined = written(old.select("record_key").distinct(), "ledger")
+    _write_filter(joined, root, through_batch)
     _write_ledger(joined, root, through_batch)
     for batch_id in batches:
         if batch_id != through_batch:
+            delete_folder(spark, _batch_path(root, "ledger_filters", batch_id))
             spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (batch_id = {batch_id})")
             delete_folder(spark, _batch_path(root, "ledger", batch_id))
     release(joined)
@@ -172,22 +220,18 @@ def ingest_batch(
 
     `attempts` (batch_id, attempt, ok) is the log of fetches; without one no fetch failed.
     """
-    spark = feed.sparkSession
     first = first_deliveries(feed).persist()
     seen = None
     try:
         # The count also fills the cache, which tells Catalyst how small the batch is.
         received = first.agg(F.coalesce(F.sum("deliveries"), F.lit(0))).first()[0]
-        seen = known_keys(first, read_ledger(spark, root, batch_id), "record_key").persist()
+        seen = seen_before(first, root, batch_id).persist()
         seen.count()
         handled = without_keys(first, seen, "record_key")
-        clean, dead = split(handled)
-        _replace(clean, root, "clean", batch_id)
-        _replace(dead, root, "dead_letter", batch_id)
-        counters = _stored_counters(spark, root, batch_id, received, attempts)
-        _replace(counters, root, "metrics", batch_id)
+        store_handled(handled, batch_id, root, received, attempts)
         # Written aside first: a table cannot be overwritten while it is read.
         ids = written(handled.filter(F.col("record_key").isNotNull()).select("record_key"), "ids")
+        _write_filter(ids, root, batch_id)
         _write_ledger(ids, root, batch_id)
         release(ids)
     finally:
@@ -196,6 +240,16 @@ def ingest_batch(
             seen.unpersist()
 
 
+def store_handled(
+    handled: DataFrame, batch_id: int, root: str, received: int, attempts: DataFrame | None = None
+) -> None:
+    """Replaces the clean records, dead letters and counters of one batch."""
+    clean, dead = split(handled)
+    _replace(clean, root, "clean", batch_id)
+    _replace(dead, root, "dead_letter", batch_id)
+    _replace(_stored_counters(handled.sparkSession, root, batch_id, received, attempts), root, "metrics", batch_id)
+
+
 def _stored_counters(
     spark: SparkSession, root: str, batch_id: int, received: int, attempts: DataFrame | None
 ) -> DataFrame:

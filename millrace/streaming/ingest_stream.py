@@ -1,11 +1,16 @@
-"""The same ingest over a stream of micro-batches."""
+"""The same ingest over a stream of micro-batches, with the ledger or with Spark's state store as its memory."""
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from millrace.operators.ingest import ingest_batch
+from millrace.functions.record_rules import with_record_key
+from millrace.operators.ingest import first_deliveries, ingest_batch, store_handled
+from millrace.session import release, written
 
 FEED_SCHEMA = "raw string, batch_id long, arrival_seq long"
 
@@ -33,3 +38,75 @@ def run_ingest_stream(
         .foreachBatch(lambda batch, batch_id: ingest_batch(batch, batch_id, root))
         .start()
     )
+
+
+# Keys lie in RocksDB on the executors, beyond the heap, and only what a batch added goes to the checkpoint.
+STATE_STORE = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
+@contextmanager
+def _settings(spark: SparkSession, wanted: dict[str, str]):
+    """Session settings for a query that starts inside; it keeps them, the session does not."""
+    before = {name: spark.conf.get(name, None) for name in wanted}
+    for name, value in wanted.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
+def with_new_keys(source: DataFrame) -> DataFrame:
+    """The records of a stream, and beside them one row for each record key that the stream never had before.
+
+    The stream's state is the set of keys it has seen, for good and nothing else: no watermark forgets one. Records
+    without a key are not part of it. `is_key` tells the two kinds of rows apart.
+    """
+    keys = with_record_key(source).select("record_key").filter(F.col("record_key").isNotNull())
+    fresh = keys.dropDuplicates(["record_key"]).withColumn("is_key", F.lit(True))
+    rows = source.withColumn("is_key", F.lit(False))
+    return rows.unionByName(fresh, allowMissingColumns=True)
+
+
+def _ingest_with_state(batch: DataFrame, batch_id: int, root: str) -> None:
+    """One micro-batch of with_new_keys: the first delivery of each new key, and every record without a key.
+
+    The batch is written once, so the state is asked once; a repeated batch starts from the state before it and
+    replaces what it had stored.
+    """
+    batch = written(batch, "microbatch")
+    first = written(first_deliveries(batch.filter(~F.col("is_key")).select("raw", "batch_id", "arrival_seq")), "first")
+    fresh = batch.filter("is_key").select("record_key")
+    received = first.agg(F.coalesce(F.sum("deliveries"), F.lit(0))).first()[0]
+    keyless = first.filter(F.col("record_key").isNull())
+    handled = keyless.unionByName(first.join(fresh, "record_key", "left_semi").select(*first.columns))
+    store_handled(handled, batch_id, root, received)
+    release(batch, first)
+
+
+def run_state_stream(
+    source: DataFrame, root: str, available_now: bool = True, interval: str = "30 seconds"
+) -> StreamingQuery:
+    """Starts the ingest of `source` into `root` with the handled ids in the keyed state store instead of the ledger.
+
+    A micro-batch looks up its own ids only, wherever the ids of all earlier ones lie. The state is below
+    `<root>/progress` with the offsets: a restart goes on with both. A root belongs to one kind of ingest.
+    """
+    trigger = {"availableNow": True} if available_now else {"processingTime": interval}
+    with _settings(source.sparkSession, STATE_STORE):
+        return (
+            with_new_keys(source)
+            .writeStream.option("checkpointLocation", f"{root}/progress")
+            .outputMode("append")
+            .trigger(**trigger)
+            .foreachBatch(lambda batch, batch_id: _ingest_with_state(batch, batch_id, root))
+            .start()
+        )

@@ -1,0 +1,92 @@
+"""Bloom filters as tables, and the ledger files they keep closed."""
+
+import glob
+import json
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from millrace.operators import id_filter, ingest
+
+
+def ids(spark, prefix, n):
+    return spark.range(n).select(F.concat(F.lit(prefix), F.col("id").cast("string")).alias("k"))
+
+
+@pytest.mark.parametrize("n", [0, 1, 1024, 1025, 30_000])
+def test_holds_what_was_added(spark, n):
+    mine = ids(spark, "a", n)
+    filters = id_filter.filter_of(mine, "k", n).withColumn("batch", F.lit(3))
+    found = id_filter.may_hold(filters, mine, "k")
+    assert found.columns == ["k", "batch"]
+    assert found.count() == n
+    others = id_filter.may_hold(filters, ids(spark, "b", 100_000), "k").count()
+    assert others <= 25  # 5.7 in 1,000,000 pages of average load
+
+
+def test_filters_of_different_sizes_are_asked_at_once(spark):
+    small, large = ids(spark, "s", 10), ids(spark, "l", 5000)
+    filters = id_filter.filter_of(small, "k", 10).withColumn("batch", F.lit(0)).unionByName(
+        id_filter.filter_of(large, "k", 5000).withColumn("batch", F.lit(1)))
+    asked = small.unionByName(large).unionByName(spark.createDataFrame([(None,)], "k string"))
+    found = {(r["batch"], r["count"]) for r in id_filter.may_hold(filters, asked, "k").groupBy("batch").count().collect()}
+    assert found == {(0, 10), (1, 5000)}
+
+
+def rec(record_id):
+    return json.dumps({"record_id": record_id, "timestamp": "2026-01-01", "sensor_id": "s", "temperature": 20.0, "humidity": 50.0})
+
+
+def feed(spark, names, batch_id):
+    return spark.createDataFrame([(rec(n), batch_id, i) for i, n in enumerate(names)], "raw string, batch_id long, arrival_seq long")
+
+
+def spoil(root, keep=()):
+    """Overwrites ledger files with bytes that no reader can take, but for those of the buckets in `keep`."""
+    spoiled = 0
+    for path in glob.glob(f"{root}/ledger/batch_id=*/*.parquet"):
+        if not any(f"_{b:05d}." in path for b in keep):
+            with open(path, "wb") as f:
+                f.write(b"not a parquet file")
+            os.remove(os.path.join(os.path.dirname(path), f".{os.path.basename(path)}.crc"))
+            spoiled += 1
+    return spoiled
+
+
+def test_a_batch_of_new_ids_opens_no_ledger_file(spark, root):
+    ingest.ingest_batch(feed(spark, [f"a{i}" for i in range(200)], 0), 0, root)
+    assert spoil(root) > 10
+    ingest.ingest_batch(feed(spark, [f"b{i}" for i in range(200)], 1), 1, root)
+    got = ingest.read_sink(spark, root, "metrics").orderBy("batch_id").select("clean", "duplicates").collect()
+    assert [tuple(r) for r in got] == [(200, 0), (200, 0)]
+
+
+def test_only_the_buckets_of_old_ids_are_opened(spark, root):
+    ingest.ingest_batch(feed(spark, [f"a{i}" for i in range(200)], 0), 0, root)
+    ingest.ingest_batch(feed(spark, [f"c{i}" for i in range(200)], 1), 1, root)
+    keys = spark.createDataFrame([('"a7"',), ('"new"',)], "record_key string")
+    _, batches, buckets = ingest.ledger_places(keys, root, 2)
+    assert batches == [0] and len(buckets) == 1
+    spoil(root, keep=buckets)
+    ingest.ingest_batch(feed(spark, ["a7", "new"], 2), 2, root)
+    got = ingest.read_sink(spark, root, "metrics").filter("batch_id = 2").select("clean", "duplicates").first()
+    assert tuple(got) == (1, 1)
+
+
+def test_a_ledger_without_filters_is_still_read(spark, root):
+    ingest.ingest_batch(feed(spark, ["a", "b"], 0), 0, root)
+    ingest.delete_folder(spark, f"{root}/ledger_filters/batch_id=0")
+    ingest.ingest_batch(feed(spark, ["b", "c"], 1), 1, root)
+    got = ingest.read_sink(spark, root, "metrics").orderBy("batch_id").select("clean", "duplicates").collect()
+    assert [tuple(r) for r in got] == [(2, 0), (1, 1)]
+
+
+def test_a_compacted_ledger_keeps_one_filter(spark, root):
+    for batch_id in range(3):
+        ingest.ingest_batch(feed(spark, [f"{batch_id}-{i}" for i in range(30)], batch_id), batch_id, root)
+    ingest.compact_ledger(spark, root, 2)
+    assert [r["batch_id"] for r in ingest.read_sink(spark, root, "ledger_filters").select("batch_id").distinct().collect()] == [2]
+    ingest.ingest_batch(feed(spark, ["0-1", "1-1", "2-1", "x"], 3), 3, root)
+    got = ingest.read_sink(spark, root, "metrics").filter("batch_id = 3").select("clean", "duplicates").first()
+    assert tuple(got) == (1, 3)
