@@ -1,10 +1,10 @@
-"""SentencePiece ids and texts by a table of distinct chunks.
+"""SentencePiece ids and texts by tables of distinct chunks.
 
 A piece of the model never holds a white space marker after another character, so no piece crosses the
 place where a marker follows one, nor a line end that no piece holds. Texts are cut there. Each block of
-texts lists its distinct chunks once and writes its texts as places in that list. The lists of all blocks
-are folded to one table of distinct chunks, each is segmented once by the sentencepiece library, and its ids are
-joined back to the blocks' lists, and from there, by place, to the texts.
+texts gets a table of its distinct chunks, the sentencepiece library segments each of them once, and the
+ids are joined back by place. Blocks are slices of a task's rows: no text and no chunk is shuffled, for moving a
+chunk between machines takes longer than to segment it again in another block.
 """
 
 from __future__ import annotations
@@ -15,14 +15,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import zstandard
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.llm.batches import slices
-from millrace.session import written
 
 MARK = "▁"
+WINDOW = 1 << 20  # characters of a text that are cut into chunks at once
 
 
 def public_model(name: str = "piece_bpe_32k.model") -> str:
@@ -48,6 +46,7 @@ class Pieces:
         self.cuts_lines = not any("\n" in p for p in pieces) and self.library.encode("\n") == [opening, line_end]
         self.opening = opening
         self.chunk = re.compile(f"{MARK}*[^{MARK}\n]+|{MARK}+|\n" if self.cuts_lines else f"{MARK}*[^{MARK}]+|{MARK}+")
+        self.cut = re.compile(f"[^{MARK}]{MARK}")
         if self.library.encode(" a  b") != [*self._after_opening("▁a"), *self._plain("▁▁b")]:
             raise ValueError("this model changes texts before it segments them")
         self.surface = [self._surface(i, p) for i, p in zip(ids, pieces)]
@@ -67,9 +66,15 @@ class Pieces:
             return " ⁇ ".encode()
         return piece.replace(MARK, " ").encode()
 
-    def chunks(self, text: str) -> list[str]:
-        """The chunks of a text with its markers: one before the text, and one for each space."""
-        return self.chunk.findall(MARK + text.replace(" ", MARK)) if text else []
+    def chunks(self, text: str, window: int = WINDOW) -> Iterator[list[str]]:
+        """The chunks of a text with its markers, one before the text and one for each space, window by window."""
+        marked = MARK + text.replace(" ", MARK) if text else ""
+        at = 0
+        while at < len(marked):
+            cut = self.cut.search(marked, at + window)
+            end = cut.start() + 1 if cut else len(marked)
+            yield self.chunk.findall(marked, at, end)
+            at = end
 
     def segment(self, chunks: list[str]) -> list[list[int]]:
         """The ids of each chunk. The library puts a marker before what it gets; the chunk's first one, or for
@@ -111,99 +116,40 @@ class _Places(dict):
         return place
 
 
-def _blocks(docs: DataFrame, path: str, block_chars: int) -> DataFrame:
-    """block, ids (of documents), sizes (chunks of each), places (of all chunks, in order), chunks (distinct)."""
-    id_type = docs.schema["doc_id"].dataType.simpleString()
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, task = pieces(path), TaskContext.get().partitionId()
-        table, ids, sizes, places, chars, number = _Places(), [], [], [], 0, 0
-
-        def flush():
-            packed = zstandard.ZstdCompressor(level=1).compress(np.concatenate(places or [np.zeros(0, "<u4")]).tobytes())
-            columns = [
-                pa.array([f"{task}-{number}"]), pa.array([pa.concat_arrays(ids).to_pylist()], pa.list_(ids[0].type)),
-                pa.array([sizes], pa.list_(pa.int32())), pa.array([packed], pa.binary()), pa.array([list(table)], pa.list_(pa.string())),
-            ]
-            return pa.RecordBatch.from_arrays(columns, ["block", "ids", "sizes", "places", "chunks"])
-
-        for batch, texts in slices(batches, "text", min(block_chars, 1_000_000)):
-            ids.append(batch.column(0))
-            for text in texts:
-                found = model.chunks(text)
-                sizes.append(len(found))
-                places.append(np.fromiter(map(table.__getitem__, found), "<u4", len(found)))
-                chars += len(text)
-            if chars >= block_chars:
-                yield flush()
-                table, ids, sizes, places, chars, number = _Places(), [], [], [], 0, number + 1
-        if ids:
-            yield flush()
-
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    return rows.mapInArrow(cut, f"block string, ids array<{id_type}>, sizes array<int>, places binary, chunks array<string>")
-
-
-def _segmented(chunks: DataFrame, path: str) -> DataFrame:
-    """chunk and its ids, for distinct chunks."""
-
-    def segment(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = pieces(path)
-        for batch, values in slices(batches, "chunk"):
-            ids = [np.array(x, "<u4").tobytes() for x in model.segment(values)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], ["chunk", "ids"])
+def block_ids(model: Pieces, texts: list[str | None]) -> list[bytes]:
+    """The ids of every text, little-endian unsigned 32-bit, by one table of all the texts' distinct chunks."""
+    table = _Places()
+    places = []
+    for text in texts:
+        found = [np.fromiter(map(table.__getitem__, part), "<u4", len(part)) for part in model.chunks(text or "")]
+        places.append(np.concatenate(found) if found else np.zeros(0, "<u4"))
+    segmented = [np.array(ids, "<u4").tobytes() for ids in model.segment(list(table))]
+    first, last = (np.array([x], "<u4").tobytes() for x in (model.bos, model.eos))
+    made = []
+    for at in places:
+        parts = [b"".join([segmented[p] for p in at[i : i + WINDOW].tolist()]) for i in range(0, len(at), WINDOW)]
+        made.append(b"".join([first, *parts, last]))
+    return made
 
-    return chunks.mapInArrow(segment, "chunk string, ids binary")
 
-
-def encode(docs: DataFrame, path: str | None = None, block_chars: int = 8_000_000) -> DataFrame:
+def encode(docs: DataFrame, path: str | None = None, block_chars: int = 2_000_000) -> DataFrame:
     """doc_id, n_tokens, ids (little-endian unsigned 32-bit): every text with begin and end ids.
 
     A null text is empty, and an empty text has the begin and end ids alone; repeated rows and null or
     repeated doc_ids are rows of their own; other columns are ignored. Every text is cut whole: a block holds
-    about `block_chars` characters or one longer text, and its list of distinct chunks is as bounded. A chunk that
-    every block holds is one row a block in the join that brings ids back; the table has it once.
+    at most `block_chars` characters or one longer text, so its table of distinct chunks is as bounded.
     """
     path = path or public_model()
-    blocks = written(_blocks(docs, path, block_chars), "blocks")
-    lists = blocks.select("block", F.posexplode("chunks").alias("place", "chunk"))
-    table = written(_segmented(lists.select("chunk").distinct(), path), "chunks")
-    joined = lists.join(table, "chunk").groupBy("block").agg(F.collect_list(F.struct("place", "ids")).alias("found"))
-    found = joined.select("block", F.transform(F.array_sort("found"), lambda x: x["ids"]).alias("table"))
-    whole = blocks.select("block", "ids", "sizes", "places").join(found, "block", "left")
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
-    def join_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def ids_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = pieces(path)
-        first, last = (np.array([x], "<u4").tobytes() for x in (model.bos, model.eos))
-        for batch in batches:
-            for row in range(batch.num_rows):
-                doc_ids = batch.column(1)[row].values
-                sizes = batch.column(2)[row].as_py()
-                places = np.frombuffer(zstandard.ZstdDecompressor().decompress(batch.column(3)[row].as_py()), "<u4")
-                table = batch.column(4)[row].as_py() or []
-                at = 0
-                for a, b in _runs(sizes):
-                    made = []
-                    for size in sizes[a:b]:
-                        made.append(b"".join([first, *[table[p] for p in places[at : at + size].tolist()], last]))
-                        at += size
-                    counts = pa.array([len(x) // 4 for x in made], pa.int64())
-                    yield pa.RecordBatch.from_arrays([doc_ids.slice(a, b - a), counts, pa.array(made, pa.binary())], ["doc_id", "n_tokens", "ids"])
-
-    return whole.mapInArrow(join_back, f"doc_id {id_type}, n_tokens bigint, ids binary")
-
-
-def _runs(sizes: list[int], most: int = 500_000) -> Iterator[tuple[int, int]]:
-    """Ranges of documents of at most `most` chunks, or one document."""
-    start = held = 0
-    for i, size in enumerate(sizes):
-        if held and held + size > most:
-            yield start, i
-            start, held = i, 0
-        held += size
-    if start < len(sizes):
-        yield start, len(sizes)
+        for batch, texts in slices(batches, "text", block_chars):
+            made = block_ids(model, texts)
+            counts = pa.array([len(x) // 4 for x in made], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), counts, pa.array(made, pa.binary())], ["doc_id", "n_tokens", "ids"])
+
+    return docs.select("doc_id", "text").mapInArrow(ids_of, f"doc_id {id_type}, n_tokens bigint, ids binary")
 
 
 def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
