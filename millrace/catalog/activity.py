@@ -7,10 +7,9 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.catalog.inputs import LOGS, hot_logs, logs, table
-from millrace.functions.columns import salt
-from millrace.operators import aggregates, checks, profile, sessions
-from millrace.session import fresh_path
+from millrace.catalog.inputs import LOGS, hot_logs, log_of, logs, table
+from millrace.operators import aggregates, checks, partials, profile, sessions
+from millrace.session import fresh_path, written
 from millrace.sources import files, generators
 
 PARTITIONS = 16
@@ -30,21 +29,41 @@ def _hot_average(layout):
     )
 
 
+def incremental_sessions(spark, sf_dir):
+    """Session durations from the states of three batches of events, over which most sessions are spread."""
+    return partials.session_durations(spark, _session_batches(spark, sf_dir))
+
+
+def incremental_session_average(spark, sf_dir):
+    return partials.average_session_duration(spark, _session_batches(spark, sf_dir))
+
+
+def _session_batches(spark, sf_dir) -> str:
+    """Events in three batches; the first comes twice, and two are joined before the third comes."""
+    root, events = fresh_path(spark, "sessions"), table(spark, sf_dir, "events")
+    for batch_id, part in ((0, 0), (0, 0), (1, 1)):
+        bounds = partials.session_bounds(log_of(events.filter(F.col("event_id") % 3 == part)))
+        partials.add_batch(bounds, partials.SESSIONS, root, batch_id)
+    partials.join_batches(spark, root, partials.SESSIONS)
+    bounds = partials.session_bounds(log_of(events.filter(F.col("event_id") % 3 == 2)))
+    partials.add_batch(bounds, partials.SESSIONS, root, 2)
+    return root
+
+
 def layout_agreement(spark, sf_dir):
-    """Per layout: the mean, and how many rows of its result differ from the default's."""
+    """Per layout: how many rows of its mean differ from the default's."""
     source = hot_logs(spark, sf_dir)
 
     def mean(layout):
         average = sessions.average_session_duration(source, layout, PARTITIONS)
-        return average.select(F.lit("all").alias("scope"), F.round("avg_duration_ms", 6).alias("mean_ms"))
+        return average.select(F.lit(layout).alias("layout"), F.round("avg_duration_ms", 6).alias("mean_ms"))
 
-    reports = [
-        checks.differences(mean(layout), mean("default"), ["scope"], rtol=0.0)
-        .agg(F.count("*").alias("differing"))
-        .select(F.lit(layout).alias("layout"), "differing")
-        for layout in sessions.LAYOUTS
-    ]
-    return reduce(DataFrame.unionByName, reports)
+    means = written(reduce(DataFrame.unionByName, [mean(layout) for layout in sessions.LAYOUTS]), "means")
+    default = means.filter(F.col("layout") == "default").select("mean_ms")
+    names = F.array(*[F.lit(layout) for layout in sessions.LAYOUTS])
+    wrong = checks.differences(means, default.select(F.explode(names).alias("layout"), "mean_ms"), ["layout"], rtol=0.0)
+    counted = wrong.groupBy("layout").agg(F.count("*").alias("n"))
+    return means.select("layout").join(counted, "layout", "left").select("layout", F.coalesce("n", F.lit(0)).cast("bigint").alias("differing"))
 
 
 def sessions_per_user(spark, sf_dir):
@@ -63,24 +82,27 @@ def isolate_hot_keys(spark, sf_dir):
     return sessions.isolate_hot_keys(hot_logs(spark, sf_dir))
 
 
-def partition_profile(spark, sf_dir):
-    """The log as stored, and under three layouts it could be given."""
-    source = hot_logs(spark, sf_dir).withColumn("salt", salt("session_id", sessions.SALT_BUCKETS))
-    profiles = {
-        "as_stored": profile.partition_profile(source),
-        "by_user": profile.layout_profile(source, ["user_id"], PARTITIONS),
-        "by_key": profile.layout_profile(source, sessions.KEYS, PARTITIONS),
-        "salted": profile.layout_profile(source, ["user_id", "salt"], PARTITIONS),
+def _profiles(spark, sf_dir) -> DataFrame:
+    """The log as stored, and as each layout really places it."""
+    source = hot_logs(spark, sf_dir)
+    placed = {"as_stored": source} | {
+        layout: sessions.laid_out(source, layout, PARTITIONS) for layout in sessions.LAYOUTS if layout != "default"
     }
-    return reduce(
-        DataFrame.unionByName, [p.withColumn("layout", F.lit(n)) for n, p in profiles.items()]
-    )
+    profiles = [profile.partition_profile(df).withColumn("layout", F.lit(name)) for name, df in placed.items()]
+    return reduce(DataFrame.unionByName, profiles)
+
+
+def partition_profile(spark, sf_dir):
+    return _profiles(spark, sf_dir)
 
 
 def partition_profile_rows(spark, sf_dir):
-    """What no placement of rows changes: one partition holds them all, and its share is 1."""
-    one = profile.partition_profile(hot_logs(spark, sf_dir).repartition(1))
-    return one.select("partitions", "max_rows", "median_rows", "max_share")
+    """What holds for any placement: all rows are somewhere, and the largest partition is no smaller than the mean or the median."""
+    found = _profiles(spark, sf_dir)
+    return found.select(
+        "layout", F.round(F.col("max_rows") / F.col("max_share")).cast("bigint").alias("rows"),
+        (F.col("max_share") * F.col("partitions") >= 0.999999).alias("above_mean"), (F.col("max_to_median") >= 1).alias("above_median"),
+    )
 
 
 def layout_disagreement(spark, sf_dir):
@@ -185,6 +207,8 @@ QUERIES = (
     | {f"hot_session_average_{layout}": _hot_average(layout) for layout in sessions.LAYOUTS}
     | {
         "layout_agreement": layout_agreement,
+        "incremental_sessions": incremental_sessions,
+        "incremental_session_average": incremental_session_average,
         "sessions_per_user": sessions_per_user,
         "hot_keys": hot_keys,
         "two_stage_user_metrics": two_stage_user_metrics,
@@ -332,8 +356,12 @@ FROM orders""",
         "json_results": f"WITH {LOGS} {_DURATIONS.format(logs='logs')}",
         "log_files": f"WITH {LOGS} SELECT * FROM logs",
         "partition_profile_rows": """
-SELECT CAST(1 AS BIGINT) AS partitions, count(*) AS max_rows, CAST(count(*) AS DOUBLE) AS median_rows,
-       CAST(1 AS DOUBLE) AS max_share FROM events""",
+SELECT unnest(['as_stored', 'round_robin', 'by_key', 'by_user', 'salted']) AS layout, count(*) AS rows,
+       true AS above_mean, true AS above_median FROM events""",
+        "incremental_sessions": f"""WITH {LOGS}
+SELECT user_id, session_id, count(*) AS events, max(event_timestamp) - min(event_timestamp) AS duration_ms
+FROM logs GROUP BY user_id, session_id""",
+        "incremental_session_average": _mean_sql("logs"),
         "layout_disagreement": f"""WITH {LOGS}, s AS ({_DURATIONS.format(logs='logs')})
 SELECT user_id, session_id, 'left_only' AS side, duration_ms AS duration_ms_left,
        CAST(NULL AS BIGINT) AS duration_ms_right FROM s WHERE session_id LIKE '%07'""",

@@ -90,7 +90,10 @@ def money(value: str) -> str:
 
 def logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as a session log: one session per user and day."""
-    events = table(spark, sf_dir, "events")
+    return log_of(table(spark, sf_dir, "events"))
+
+
+def log_of(events: DataFrame) -> DataFrame:
     user = F.col("user_id").cast("string")
     return events.select(
         user.alias("user_id"),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.columns import parse_timestamp, round_even
 from millrace.catalog.inputs import GROUPS, TX, money, table, tx
-from millrace.operators import checks
+from millrace.operators import checks, partials
 from millrace.operators.aggregates import filtered_stats, sum_by, table_counts
 from millrace.operators.dimensional import (
     build_snowflake, build_star, date_dim, dimension_values, hour_values, load_fact, load_layouts, registered_values,
@@ -54,6 +54,49 @@ def filtered_count_mean(spark, sf_dir):
     return filtered_stats(tx(spark, sf_dir), wanted, "amount", CENTS)
 
 
+def _clustered(spark, sf_dir) -> DataFrame:
+    """Transactions stored in order of status and amount, with Bloom filters of users."""
+    path = fresh_path(spark, "clustered")
+    files.write_clustered(tx(spark, sf_dir), path, ["status", "amount"], ("user_id",), row_group_bytes=256 << 10)
+    return files.read_parquet(spark, path)
+
+
+def clustered_count_mean(spark, sf_dir):
+    """The filtered count and mean from a layout that lets the scan skip row groups."""
+    return filtered_stats(_clustered(spark, sf_dir), (F.col("status") == "F") & (F.col("amount") > 1000), "amount", CENTS)
+
+
+def clustered_range(spark, sf_dir):
+    """Transactions of one status in a narrow range of amounts."""
+    wanted = (F.col("status") == "O") & F.col("amount").between(1000, 5000)
+    return _clustered(spark, sf_dir).filter(wanted).select("transaction_id", "user_id", "amount")
+
+
+def clustered_lookup(spark, sf_dir):
+    """All transactions of a few users, by the Bloom filters of row groups."""
+    return _clustered(spark, sf_dir).filter(F.col("user_id").isin(7, 77, 777)).select("transaction_id", "user_id", "amount")
+
+
+def _daily_batches(spark, sf_dir) -> str:
+    """Transactions in three batches, the second of them twice, and the first two joined before the third comes."""
+    root = fresh_path(spark, "daily")
+    batches = [
+        partials.daily_amounts(tx(spark, sf_dir).filter(F.col("transaction_id") % 3 == i), CENTS) for i in range(3)
+    ]
+    for batch_id in (0, 1, 1):
+        partials.add_batch(batches[batch_id], partials.DAILY_REVENUE, root, batch_id)
+    partials.join_batches(spark, root, partials.DAILY_REVENUE)
+    partials.add_batch(batches[2], partials.DAILY_REVENUE, root, 2)
+    return root
+
+
+def incremental_daily_revenue(spark, sf_dir):
+    """Daily revenue of finished orders by category, from the states of three batches."""
+    return partials.daily_revenue(spark, _daily_batches(spark, sf_dir), CENTS, "F").select(
+        "category", F.year("day").alias("year"), F.month("day").alias("month"), F.dayofmonth("day").alias("day"), "transactions", "revenue"
+    )
+
+
 def discounted_revenue(spark, sf_dir):
     """Revenue after discount, whose amounts have no fixed number of decimals."""
     lines = table(spark, sf_dir, "lineitem").select(
@@ -388,6 +431,10 @@ def rule_violations(spark, sf_dir):
 QUERIES = {
     "sum_by_category": sum_by_category,
     "filtered_count_mean": filtered_count_mean,
+    "clustered_count_mean": clustered_count_mean,
+    "clustered_range": clustered_range,
+    "clustered_lookup": clustered_lookup,
+    "incremental_daily_revenue": incremental_daily_revenue,
     "discounted_revenue": discounted_revenue,
     "csv_roundtrip_sum": csv_roundtrip_sum,
     "csv_filtered_count_mean": csv_filtered_count_mean,
@@ -561,6 +608,17 @@ FROM lineitem GROUP BY l_returnflag""",
     "csv_roundtrip_sum": _SUM,
     "filtered_count_mean": _STATS,
     "csv_filtered_count_mean": _STATS,
+    "clustered_count_mean": _STATS,
+    "clustered_range": """
+SELECT o_orderkey AS transaction_id, o_custkey AS user_id, o_totalprice AS amount
+FROM orders WHERE o_orderstatus = 'O' AND o_totalprice BETWEEN 1000 AND 5000""",
+    "clustered_lookup": """
+SELECT o_orderkey AS transaction_id, o_custkey AS user_id, o_totalprice AS amount
+FROM orders WHERE o_custkey IN (7, 77, 777)""",
+    "incremental_daily_revenue": f"""
+SELECT o_orderpriority AS category, CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month,
+       CAST(day(o_orderdate) AS INTEGER) AS day, count(*) AS transactions, {money('o_totalprice')} AS revenue
+FROM orders WHERE o_orderstatus = 'F' GROUP BY ALL""",
     "csv_roundtrip_rows": """
 SELECT CAST(o_orderkey AS VARCHAR) AS transaction_id, o_custkey AS user_id, o_totalprice AS amount,
        o_orderpriority AS category, o_orderstatus AS status, o_orderdate AS "timestamp" FROM orders

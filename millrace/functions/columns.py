@@ -56,14 +56,28 @@ def exact_sum(value: str | Column, digits: int | None = None) -> Column:
     return _limb_sum(v) if digits is None else _decimal_sum(v, digits)
 
 
-def _decimal_sum(v: Column, digits: int) -> Column:
+def amount_parts(value: str | Column, digits: int) -> tuple[Column, Column]:
+    """An amount with `digits` decimals as two LONG parts of its whole units, whose sums do not overflow.
+
+    A value with more decimals (or an infinite one) is an error, never rounded. NaN and NULL have no parts.
+    """
+    v = col(value).cast("double")
     scaled = F.rint(v * 10**digits)
     fits = (scaled / 10**digits == v) & (F.abs(scaled) < float(1 << 53))
     misfit = F.raise_error(F.concat(F.lit(f"not an amount with {digits} decimals: "), v.cast("string")))
     units = F.when(~F.isnan(v) & fits, scaled.cast("long")).when(v.isNotNull() & ~F.isnan(v), misfit.cast("long"))
-    upper = F.sum(F.shiftright(units, 20)).cast("decimal(19,0)")
-    lower = F.sum(units.bitwiseAND(0xFFFFF)).cast("decimal(19,0)")
-    return ((upper * 0x100000 + lower) * F.lit(Decimal(1).scaleb(-digits))).cast("double")
+    return F.shiftright(units, 20), units.bitwiseAND(0xFFFFF)
+
+
+def amount_of_parts(upper: Column, lower: Column, digits: int) -> Column:
+    """The amount, as DOUBLE, of sums of its two parts."""
+    units = upper.cast("decimal(19,0)") * 0x100000 + lower.cast("decimal(19,0)")
+    return (units * F.lit(Decimal(1).scaleb(-digits))).cast("double")
+
+
+def _decimal_sum(v: Column, digits: int) -> Column:
+    upper, lower = amount_parts(v, digits)
+    return amount_of_parts(F.sum(upper), F.sum(lower), digits)
 
 
 def _limb_sum(v: Column) -> Column:

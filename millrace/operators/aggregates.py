@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.columns import exact_sum, share
 from millrace.operators.ordering import running_total
+from millrace.session import written
 
 
 def sum_by(
@@ -46,26 +47,43 @@ def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, counts).orderBy("table_name")
 
 
-def timing_summary(df: DataFrame, label: str = "label", value: str = "seconds") -> DataFrame:
+def timing_summary(
+    df: DataFrame, label: str = "label", value: str = "seconds", spread: float = 0.001, accuracy: int = 10_000
+) -> DataFrame:
     """Exact median, min, max and number of samples per label.
 
-    Equal samples are first folded into one row with a count. The medians are then picked
-    by rank from one distributed running total, so that no label has to fit in a task.
+    A mergeable quantile sketch of each label gives two values with the median between them: ranks `spread` to either
+    side, which is ten times the sketch's error. A second pass counts the samples below, and folds those between;
+    only these, two in a thousand and ties folded, are put in order to pick the medians by rank. No label has to fit in
+    a task, and no ordered copy of the samples is made.
     """
-    folded = df.filter(F.col(value).isNotNull()).groupBy(label, value).agg(
-        F.count("*").alias("copies")
-    )
-    ranked = running_total(folded, [label, value], "copies", "through")
-    labels = ranked.groupBy(label).agg(
-        F.min(F.col("through") - F.col("copies")).alias("base"),
-        F.sum("copies").alias("runs"),
-        F.min(value).alias("min_seconds"),
-        F.max(value).alias("max_seconds"),
+    samples = df.filter(F.col(value).isNotNull()).select(label, value)
+    near = F.percentile_approx(value, [0.5 - spread, 0.5 + spread], accuracy)
+    shape = samples.groupBy(label).agg(
+        F.count("*").alias("runs"), F.min(value).alias("min_seconds"), F.max(value).alias("max_seconds"), near.alias("near")
     )
-    placed = ranked.alias("r").join(
+    # The sketch has no place for NaN, which counts as the greatest value.
+    odd = F.isnan(F.col("max_seconds").cast("double"))
+    labels = written(shape.select(
+        label, "runs", "min_seconds", "max_seconds",
+        F.when(odd, F.col("min_seconds")).otherwise(F.col("near")[0]).alias("low"),
+        F.when(odd, F.col("max_seconds")).otherwise(F.col("near")[1]).alias("high"),
+    ), "labels")
+    same_label = F.col(f"s.{label}").eqNullSafe(F.col(f"l.{label}"))
+    met = samples.alias("s").join(labels.alias("l"), same_label).filter(F.col(f"s.{value}") <= F.col("l.high"))
+    between = F.when(F.col(f"s.{value}") >= F.col("l.low"), F.col(f"s.{value}"))
+    folded = met.groupBy(F.col(f"s.{label}").alias(label), between.alias(value)).agg(F.count("*").alias("copies"))
+    folded = written(folded, "near-median")
+    below = folded.filter(F.col(value).isNull()).select(label, F.col("copies").alias("below"))
+
+    ranked = running_total(folded.filter(F.col(value).isNotNull()), [label, value], "copies", "through")
+    starts = ranked.groupBy(label).agg(F.min(F.col("through") - F.col("copies")).alias("base"))
+    starts = starts.alias("s").join(below.alias("b"), F.col(f"s.{label}").eqNullSafe(F.col(f"b.{label}")), "left")
+    starts = starts.select(f"s.{label}", (F.col("base") - F.coalesce("below", F.lit(0))).alias("base")).alias("s")
+    placed = ranked.alias("r").join(starts, F.col(f"r.{label}").eqNullSafe(F.col(f"s.{label}"))).join(
         labels.alias("l"), F.col(f"r.{label}").eqNullSafe(F.col(f"l.{label}"))
     )
-    last = F.col("r.through") - F.col("l.base")
+    last = F.col("r.through") - F.col("s.base")
     first = last - F.col("r.copies") + 1
 
     def value_at(rank: Column) -> Column:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from millrace.functions.columns import hour_number_text
 from millrace.operators.dimensional import Tables, with_hour
 from millrace.operators.ordering import numbered_within
+from millrace.session import written
 
 
 def unmatched_rows(tx: DataFrame, values: Tables) -> DataFrame:
@@ -146,6 +147,63 @@ def _close(a: Column, b: Column, rtol: float, atol: float) -> Column:
     return a.eqNullSafe(b) | F.coalesce(gap <= atol + rtol * F.abs(b.cast("double")), F.lit(False))
 
 
+# The leaves and branches of the tree of checksums that `unlike` compares.
+LEAVES, BRANCHES = 1 << 20, 1 << 10
+
+
+def _comparable(a: DataFrame, b: DataFrame, columns: list[str]) -> tuple[list[Column], list[Column]]:
+    """The columns of both sides, in one type where whole numbers or floats of two widths stand for one value."""
+    kinds = [{"byte", "short", "integer", "long"}, {"float", "double"}]
+    left, right = [], []
+    for c in columns:
+        types = {a.schema[c].dataType.typeName(), b.schema[c].dataType.typeName()}
+        wide = next((w for w, kind in zip(("long", "double"), kinds) if len(types) > 1 and types <= kind), None)
+        left.append(F.col(c).cast(wide) if wide else F.col(c))
+        right.append(F.col(c).cast(wide) if wide else F.col(c))
+    return left, right
+
+
+def _row_hash(columns: list[Column]) -> Column:
+    """A hash of whole rows; a null in one column is told from a null in another."""
+    return F.xxhash64(*columns, *[c.isNull() for c in columns])
+
+
+def unlike(a: DataFrame, b: DataFrame, keys: list[str], leaf: str) -> tuple[DataFrame, DataFrame] | None:
+    """The rows of `a` and `b` in those ranges of key hashes where the tables differ; None where they are equal.
+
+    Each range has a checksum that does not depend on the order of its rows: their number, sums and exclusive-or of
+    row hashes. Tables are first compared by BRANCHES ranges; only where those differ, by LEAVES ranges. Both
+    comparisons move one row a range and task, and never a row of the tables. Different rows have equal checksums
+    with a chance of about 2^-64.
+    """
+    columns = [*keys, *[c for c in a.columns if c not in keys]]
+    sides = [
+        (df.withColumn(leaf, F.xxhash64(*values[: len(keys)]).bitwiseAND(LEAVES - 1)), _row_hash(values), sign)
+        for df, values, sign in zip((a, b), _comparable(a, b, columns), (1, -1))
+    ]
+
+    def differing(place: Column, within: list[int] | None = None) -> DataFrame:
+        branch = F.col(leaf).bitwiseAND(BRANCHES - 1)
+        parts = []
+        for df, hashed, sign in sides:
+            rows = df if within is None or len(within) == BRANCHES else df.filter(branch.isin(within))
+            parts.append(rows.select(place.alias("place"), hashed.alias("h"), F.lit(sign).alias("sign")))
+        low, high = F.col("h").bitwiseAND(0xFFFFFF), F.shiftrightunsigned("h", 24).bitwiseAND(0xFFFFFF)
+        sums = reduce(DataFrame.union, parts).groupBy("place").agg(
+            F.sum("sign").alias("n"), F.sum(F.col("sign") * low).alias("low"), F.sum(F.col("sign") * high).alias("high"),
+            F.bit_xor("h").alias("mixed"),
+        )
+        return sums.filter("n <> 0 or low <> 0 or high <> 0 or mixed <> 0").select("place")
+
+    branches = [r["place"] for r in differing(F.col(leaf).bitwiseAND(BRANCHES - 1)).collect()]
+    if not branches:
+        return None
+    # At most LEAVES numbers, so they may be broadcast whatever the tables hold.
+    leaves = F.broadcast(written(differing(F.col(leaf), branches), "leaves"))
+    left, right = (df.join(leaves, F.col(leaf) == F.col("place"), "left_semi").drop(leaf) for df, _, _ in sides)
+    return left, right
+
+
 def differences(
     a: DataFrame, b: DataFrame, keys: list[str], rtol: float = 1e-9, atol: float = 0.0
 ) -> DataFrame:
@@ -154,6 +212,8 @@ def differences(
     Numbers agree within atol + rtol * |b|, everything else must be equal, null equals null.
     Rows are paired by key; rows that share a key are paired in the order of their values.
     Returns keys, `side` (left_only, right_only, both) and the columns of both sides.
+    Checksums of key ranges come first (see `unlike`): equal tables are not moved, and of others only the ranges
+    that differ are paired row by row.
     """
     if set(a.columns) != set(b.columns):
         raise ValueError(f"columns differ: {sorted(set(a.columns) ^ set(b.columns))}")
@@ -164,7 +224,11 @@ def differences(
         if f.dataType.typeName() in ("byte", "short", "integer", "long", "float", "double", "decimal")
     }
     pairing = [*keys, "copy"]
-    a, b = (numbered_within(side, keys, values, "copy") for side in (a, b))
+    found = unlike(a, b.select(*a.columns), keys, "__leaf")
+    if found is None:
+        a, b = (side.filter(F.lit(False)).withColumn("copy", F.lit(1).cast("long")) for side in (a, b))
+    else:
+        a, b = (numbered_within(side, keys, values, "copy") for side in found)
 
     left, right = a.withColumn("here", F.lit(1)).alias("a"), b.withColumn("here", F.lit(1)).alias("b")
     same = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in pairing]

@@ -89,7 +89,7 @@ def first_deliveries(feed: DataFrame) -> DataFrame:
     Records without an id (or with a nested one) are never copies of each other, whatever their
     arrival numbers. Validating before folding means one parse per record.
     """
-    return first_per_key(validate(feed), "record_key", "arrival_seq")
+    return first_per_key(validate(feed), "record_key", "arrival_seq", ties=F.xxhash64("raw"))
 
 
 def drop_seen(feed: DataFrame, ledger: DataFrame) -> DataFrame:
@@ -286,7 +286,10 @@ def batch_metrics(feed: DataFrame, attempts: DataFrame | None = None) -> DataFra
     its first arrival, every further delivery is a duplicate of the batch that brings it.
     """
     received = feed.groupBy("batch_id").agg(F.count("*").alias("received"))
-    handled = first_deliveries(feed).groupBy("batch_id").agg(
+    # The same choice as in first_deliveries, from verdicts without the records.
+    verdicts = validate(feed).select("record_key", "arrival_seq", F.xxhash64("raw").alias("raw_hash"), "batch_id", "reason_code")
+    first = first_per_key(verdicts, "record_key", "arrival_seq", ties=F.col("raw_hash"))
+    handled = first.groupBy("batch_id").agg(
         F.count_if(F.col("reason_code").isNull()).alias("clean"),
         F.count_if(F.col("reason_code").isNotNull()).alias("dlq"),
     )

@@ -7,17 +7,19 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.checks import Rule, check_rules
 from millrace.session import written
 
 
-def first_per_key(df: DataFrame, key: str, order_by: str, copies: str = "deliveries") -> DataFrame:
+def first_per_key(
+    df: DataFrame, key: str, order_by: str, copies: str = "deliveries", ties: Column | None = None
+) -> DataFrame:
     """The first row per key in the order of `order_by`, with a copy count.
 
-    Ties in `order_by` (a null comes first) go by the other columns. Rows with a null key are no
+    Ties in `order_by` (a null comes first) go by `ties`, then by the other columns. Rows with a null key are no
     copies of each other: each stays a row of its own, told apart by its place in its partition. The
     copies of a key are folded before the shuffle, so one key may hold any share of the rows.
     """
@@ -26,9 +28,9 @@ def first_per_key(df: DataFrame, key: str, order_by: str, copies: str = "deliver
     folded = (
         df.withColumn("own_row", own_row)
         .groupBy(key, "own_row")
-        .agg(F.min(F.struct(order_by, *rest)).alias("first"), F.count("*").alias(copies))
+        .agg(F.min(F.struct(order_by, *([ties.alias("ties")] if ties is not None else []), *rest)).alias("first"), F.count("*").alias(copies))
     )
-    return folded.select(key, "own_row", "first.*", copies)
+    return folded.select(key, "own_row", *[f"first.{c}" for c in (order_by, *rest)], copies)
 
 
 def known_keys(first: DataFrame, known: DataFrame, key: str) -> DataFrame:

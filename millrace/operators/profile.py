@@ -22,13 +22,3 @@ def _summary(sizes: DataFrame) -> DataFrame:
 def partition_profile(df: DataFrame) -> DataFrame:
     """Non-empty partitions of `df` as it stands: count, largest, median, shares."""
     return _summary(df.groupBy(F.spark_partition_id().alias("part")).agg(F.count("*").alias("rows")))
-
-
-def layout_profile(df: DataFrame, keys: list[str], partitions: int) -> DataFrame:
-    """The profile `df.repartition(partitions, *keys)` would have, without moving any row.
-
-    Spark places a row by pmod(hash(keys), partitions); counting that value is enough, so a
-    bad layout is found before a hot key has been sent to one task.
-    """
-    part = F.pmod(F.hash(*keys), F.lit(partitions))
-    return _summary(df.groupBy(part.alias("part")).agg(F.count("*").alias("rows")))

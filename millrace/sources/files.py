@@ -103,3 +103,20 @@ def storage_footprint(spark: SparkSession, layouts: dict[str, str], baseline: st
     )
     base = totals.filter(F.col("layout") == baseline).select("megabytes").scalar()
     return totals.withColumn("saved_pct", (1 - share(F.col("megabytes"), base)) * 100)
+
+
+def write_clustered(
+    df: DataFrame, path: str, columns: list[str], lookups: tuple[str, ...] = (), row_group_bytes: int = 16 << 20
+) -> None:
+    """Parquet whose files and row groups hold ranges of `columns`, in order, so that filters on them skip the others.
+
+    A filter on a prefix of the columns, equal or in a range, meets few files and row groups: their least and
+    greatest values rule the rest out before a page is read. Columns in `lookups` get a Bloom filter a row group, which
+    rules out row groups for values in no order. Range partitions are cut by sampled values, ties included, so
+    the leading column may be mostly one value.
+    """
+    order = [F.col(c) for c in columns]
+    writer = df.repartitionByRange(*order).sortWithinPartitions(*order).write.option("parquet.block.size", row_group_bytes)
+    for column in lookups:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
+    writer.parquet(path)
