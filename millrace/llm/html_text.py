@@ -47,9 +47,16 @@ _PARTS = frozenset(
     "site page main primary secondary list links link button buttons bar box area section block item items form icons icon post posts "
     "entry article articles stories body card thread div to".split()
 )
+_TELLING = frozenset("class id role hidden aria-hidden style".split())
+_PARAGRAPHS = frozenset("p h1 h2 h3 h4 h5 h6 pre blockquote".split())
 _STATES = frozenset("has with no without category tag tagged topic type format status".split())
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
-_ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+# A quote opens a value only right after the sign of equality; anywhere else it is a letter like others.
+_TAG = re.compile(
+    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|"
+    r"<(/?)([a-zA-Z][^\s/>]*)((?:=\s*\"[^\"]*(?:\"|\Z)|=\s*'[^']*(?:'|\Z)|=\s*[^\s\"'>][^\s>]*|[^>])*)(?:>|\Z)",
+    re.S,
+)
+_ATTRIBUTE = re.compile(r"([^\s=/>][^\s=/>]*)(?:\s*=\s*(?:\"([^\"]*)\"?|'([^']*)'?|([^\s>]+)))?")
 _SPACE = re.compile(r"\s+")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
@@ -60,21 +67,27 @@ _SOFT, _FIRM, _NEVER = 1, 2, 3
 
 
 class _Line:
-    """`own` is the length outside links, 0 where links leave no letter or digit."""
+    """`own` is the length outside links, 0 where links leave no letter or digit; `parent` is the number of the element
+    that holds its paragraph or heading, -1 for other lines."""
 
-    __slots__ = ("text", "own", "article")
+    __slots__ = ("text", "own", "article", "parent")
 
-    def __init__(self, text: str, own: int, article: bool):
-        self.text, self.own, self.article = text, own, article
+    def __init__(self, text: str, own: int, article: bool, parent: int):
+        self.text, self.own, self.article, self.parent = text, own, article, parent
 
 
 class _Part:
-    """A side element or an article element: the sides it is in, the article it is in, its text outside links."""
+    """A side element or an article element: the side and the article around it, its text outside links.
+
+    `never` is set where it or an element around it never holds the article, `lost` where one of them is set aside.
+    """
 
-    __slots__ = ("level", "main", "sides", "article", "size", "gone")
+    __slots__ = ("level", "main", "side", "article", "size", "gone", "never", "lost")
 
-    def __init__(self, level: int, main: bool, sides: tuple, article: _Part | None):
-        self.level, self.main, self.sides, self.article, self.size, self.gone = level, main, sides, article, 0, level > 0
+    def __init__(self, level: int, main: bool, side: _Part | None, article: _Part | None):
+        self.level, self.main, self.side, self.article, self.size, self.gone = level, main, side, article, 0, level > 0
+        self.never = level == _NEVER or bool(side and side.never)
+        self.lost = False
 
 
 @lru_cache(maxsize=10_000)
@@ -96,7 +109,10 @@ def _level(tag: str, attributes: str, in_article: bool) -> int:
         return 0
     level = (_SOFT if tag == "form" else _FIRM) if tag in _ASIDE else _SOFT if tag == "header" and not in_article else 0
     for name, *values in _ATTRIBUTE.findall(attributes) if attributes else ():
-        value, name = "".join(values), name.lower()
+        name = name.lower()
+        if name not in _TELLING:
+            continue
+        value = "".join(values)
         if name in ("class", "id", "role"):
             if tag != "main":
                 level = max(level, _named(value, tag == "article"))
@@ -105,67 +121,127 @@ def _level(tag: str, attributes: str, in_article: bool) -> int:
     return level
 
 
-def _spare(sides: list[_Part], articles: list[_Part], size: int, free: int):
+def _around(part: _Part) -> Iterator[_Part]:
+    """The sides around a part, from the inside."""
+    side = part.side
+    while side:
+        yield side
+        side = side.side
+
+
+def _mark_lost(parts: list[_Part]):
+    """Parts stand in the order in which they open, so what is around one comes before it."""
+    for x in parts:
+        x.lost = (x.level > 0 and x.gone) or bool(x.side and x.side.lost)
+
+
+def _spare(parts: list[_Part], total: int, free: int):
     """Take back that elements are set aside which hold the article, or most of the text of what they are in."""
-    found = [x for x in articles if all(y.level < _NEVER for y in x.sides)]
-    if found:
-        top = max(found, key=lambda x: x.size)
+    for x in reversed(parts):  # sizes of inner parts are part of the outer ones'
+        if not x.never:
+            outer = x.side if x.level else x.article
+            if outer:
+                outer.size += x.size
+    articles = [x for x in parts if not x.level and not x.gone and not x.never]
+    if articles:
+        top = max(articles, key=lambda x: x.size)
         if top.main or top.size > free:
-            for x in top.sides:
+            for x in _around(top):
                 x.gone = False
-    marked = any(not any(y.gone for y in x.sides) for x in found)
-    for x in sides:
-        if x.level == _SOFT and (x.article or not marked) and 2 * x.size > (x.article.size if x.article else size):
+    _mark_lost(parts)
+    marked = any(not x.lost for x in articles)
+    for x in parts:
+        if x.level == _SOFT and (x.article or not marked) and 2 * x.size > (x.article.size if x.article else total):
             x.gone = False
+    _mark_lost(parts)
+
+
+class _Open:
+    """The open elements, and how many there are of each name: in all, and in the innermost table cell."""
+
+    def __init__(self):
+        self.stack: list[tuple] = []  # name, side, article, number
+        self.named: dict[str, int] = {}
+        self.cells: list[dict[str, int]] = [{}]
+
+    def push(self, name: str, *rest):
+        self.stack.append((name, *rest))
+        self.named[name] = self.named.get(name, 0) + 1
+        if name in _CELLS:
+            self.cells.append({})
+        else:
+            self.cells[-1][name] = self.cells[-1].get(name, 0) + 1
+
+    def pop(self) -> tuple:
+        entry = self.stack.pop()
+        self.named[entry[0]] -= 1
+        if entry[0] in _CELLS:
+            self.cells.pop()
+        else:
+            self.cells[-1][entry[0]] -= 1
+        return entry
+
+    def is_open(self, name: str, in_cell: bool) -> bool:
+        return self.cells[-1].get(name, 0) > 0 if in_cell else self.named.get(name, 0) > 0
+
+
+_CELLS = frozenset(["td", "th", "table"])
+_TABLE = frozenset(["table", "tr", "tbody", "thead", "tfoot", "body", "html", "td", "th"])
+_SIBLINGS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "option": ("option",), "tr": ("tr",), "td": ("td", "th"), "th": ("td", "th")}
+_LISTS = frozenset(["ul", "ol", "dl", "menu", "table", "select"])
 
 
 def lines_of(html: str) -> list[_Line]:
-    """The lines of text of a page, without elements that never hold the article."""
-    pieces: list[tuple | None] = []  # text, whether in a link, sides it is in, article it is in; None ends a line
-    stack: list[tuple[str, tuple, _Part | None]] = []  # open elements; sides and article around each
-    all_sides: list[_Part] = []
-    articles: list[_Part] = []
-    sides: tuple = ()
+    """The lines of text of a page, without elements that never hold the article. Time is in proportion to the page."""
+    pieces: list[tuple | None] = []  # text, whether in a link, side it is in, article, parent; None ends a line
+    opened = _Open()
+    stack = opened.stack
+    parts: list[_Part] = []
+    side: _Part | None = None
     article: _Part | None = None
-    links = total = free = 0
+    links = total = free = number = 0
 
     def end_line():
         if pieces and pieces[-1] is not None:
             pieces.append(None)
 
     def shut(down_to: int):
-        nonlocal sides, article, links
+        nonlocal side, article, links
         while len(stack) > down_to:
-            name, sides, article = stack.pop()
+            name, side, article, _ = opened.pop()
             links -= name == "a"
 
     def text_from(piece: str):
         nonlocal total, free
         if not piece:
             return
-        pieces.append((piece, links > 0, sides, article))
+        parent = -1
+        for name, _, _, above in stack[:-4:-1]:  # a paragraph, perhaps with emphasis in a link
+            if name in _BLOCKS:
+                parent = above if name in _PARAGRAPHS else -1
+                break
+        pieces.append((piece, links > 0, side, article, parent))
         size = 0 if links else len(piece.strip())
-        if size and all(x.level < _NEVER for x in sides):
+        if size and not (side and side.never):
             total += size
-            free += size if not sides else 0
-            for x in sides:
-                x.size += size
-            inside = article
-            while inside:
-                inside.size += size
-                inside = inside.article
+            if side:
+                side.size += size
+            else:
+                free += size
+            if article:
+                article.size += size
 
     at, size = 0, len(html)
     while at < size:
-        opened = html.find("<", at)
-        if opened < 0:
+        start = html.find("<", at)
+        if start < 0:
             text_from(html[at:])
             break
-        text_from(html[at:opened])
-        found = _TAG.match(html, opened)
+        text_from(html[at:start])
+        found = _TAG.match(html, start)
         if not found:
             text_from("<")
-            at = opened + 1
+            at = start + 1
             continue
         at = found.end()
         if found[1] is not None:
@@ -177,12 +253,11 @@ def lines_of(html: str) -> list[_Line]:
         if found[2]:
             if tag in _BLOCKS:
                 end_line()
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == tag:
-                    shut(i)
-                    break
-                if stack[i][0] in ("td", "th", "table") and tag not in ("table", "tr", "tbody", "thead", "tfoot", "body", "html"):
-                    break
+            if opened.is_open(tag, tag not in _TABLE):
+                i = len(stack) - 1
+                while stack[i][0] != tag:
+                    i -= 1
+                shut(i)
             continue
         if tag in _RAW or tag == "title" or tag == "head":
             if tag == "head":
@@ -192,7 +267,7 @@ def lines_of(html: str) -> list[_Line]:
             continue
         if tag in _BLOCKS:
             end_line()
-        if tag in _CLOSES_P:
+        if tag in _CLOSES_P and opened.is_open("p", True):
             # A new block ends an open paragraph, and whatever was opened in it.
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == "p":
@@ -200,36 +275,36 @@ def lines_of(html: str) -> list[_Line]:
                     break
                 if stack[i][0] in _BLOCKS:
                     break
-        if tag in ("li", "dt", "dd", "option", "tr", "td", "th"):
-            same = {"dt": ("dt", "dd"), "dd": ("dt", "dd"), "td": ("td", "th"), "th": ("td", "th")}.get(tag, (tag,))
+        same = _SIBLINGS.get(tag, ())
+        if any(opened.is_open(x, False) for x in same):
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] in same:
                     shut(i)
                     break
-                if stack[i][0] in ("ul", "ol", "dl", "menu", "table", "select"):
+                if stack[i][0] in _LISTS:
                     break
         if tag in _VOID or attributes.rstrip().endswith("/") and tag not in _BLOCKS:
             continue
         level = _level(tag, attributes, article is not None)
-        stack.append((tag, sides, article))
+        opened.push(tag, side, article, stack[-1][3] if tag in _PARAGRAPHS and stack else number)
+        number += 1
         links += tag == "a"
         if level:
-            side = _Part(level, False, sides, article)
-            all_sides.append(side)
-            sides = (*sides, side)
+            side = _Part(level, False, side, article)
+            parts.append(side)
         if tag in ("article", "main"):
-            article = _Part(0, tag == "main", sides, article)
-            if not level:
-                articles.append(article)
+            article = _Part(0, tag == "main", side, article)
+            article.gone = level > 0  # set aside itself, so no candidate
+            parts.append(article)
     end_line()
-    if all_sides:
-        _spare(all_sides, articles, total, free)
+    if any(x.level for x in parts):
+        _spare(parts, total, free)
 
     lines: list[_Line] = []
     line: list[tuple] = []
     for piece in pieces:
         if piece is not None:
-            if not any(x.gone for x in piece[2]):
+            if not (piece[2] and piece[2].lost):
                 line.append(piece)
             continue
         text = _SPACE.sub(" ", unescape("".join(x[0] for x in line))).strip()
@@ -238,7 +313,7 @@ def lines_of(html: str) -> list[_Line]:
             if any(x[1] for x in line):
                 outside = _SPACE.sub(" ", unescape("".join(x[0] for x in line if not x[1]))).strip()
                 own = len(outside) if any(c.isalnum() for c in outside) else 0
-            lines.append(_Line(text, own, line[0][3] is not None))
+            lines.append(_Line(text, own, line[0][3] is not None, line[0][4]))
         line.clear()
     return lines
 
@@ -279,9 +354,12 @@ def main_text(html: str | None, window: int = 3, least_block: int = 80) -> str:
     lines next to a stretch belong to it, and stretches at most `window` lines apart are one, with the link
     lines between them. The stretch with most text is the article, with all that have a tenth of its text.
 
-    Where the page marks its article, only those lines take part, every stretch stays, short lines above the
-    first belong to it too, and so do at most `window` link lines at either end. Longer lists of links go, and
-    short lines that are next to no stretch. If links hold all its text, they count as text.
+    Of the lines that are left, paragraphs and headings below the first stretch that stand in the same element
+    as a paragraph of a stretch belong to the article, too, however short and wherever lists of links are between.
+
+    Where the page marks its article, only those lines take part, and all of them do from the first stretch on, lists of
+    links included: nothing in the element but what is set aside is dropped. Above it, short lines next to it belong to
+    it, and so do at most `window` lines of links. If links hold all its text, they count as text.
     """
     lines = lines_of(html) if html else []
     marked = [x for x in lines if x.article]
@@ -295,14 +373,13 @@ def main_text(html: str | None, window: int = 3, least_block: int = 80) -> str:
     if not found:
         return ""
     if marked:
-        if found[0][0] <= window:
-            found[0] = (0, found[0][1])
-        if len(lines) - found[-1][1] <= window:
-            found[-1] = (found[-1][0], len(lines))
-    else:
-        sizes = [sum(own[first:end]) for first, end in found]
-        found = [x for x, n in zip(found, sizes) if 10 * n >= max(sizes)]
-    return "\n".join(x.text for first, end in found for x in lines[first:end])
+        return "\n".join(x.text for x in lines[0 if found[0][0] <= window else found[0][0] :])
+    sizes = [sum(own[first:end]) for first, end in found]
+    found = [x for x, n in zip(found, sizes) if 10 * n >= max(sizes)]
+    inside = {i for first, end in found for i in range(first, end)}
+    parents = {lines[i].parent for i in inside} - {-1}
+    kept = [x.text for i, x in enumerate(lines) if i in inside or i > found[0][0] and x.own and x.parent in parents]
+    return "\n".join(kept)
 
 
 def extract(pages: DataFrame) -> DataFrame:
