@@ -155,16 +155,18 @@ def block_links(hashes: np.ndarray, weights: np.ndarray, offsets: np.ndarray, le
     unit = np.arange(int(weights.sum())) - np.repeat(np.cumsum(weights) - weights, weights)
     owner = np.repeat(owner, weights)
     column = np.unique(mix(np.repeat(hashes, weights) + unit.astype(np.uint64) * _STEP), return_inverse=True)[1]
-    several = np.bincount(column) > 1
-    keep = several[column]
-    owner, column = owner[keep], (np.cumsum(several) - 1)[column[keep]]
-    order = np.argsort(column, kind="stable")
-    owner, column = owner[order], column[order]
     place_left, place_right = np.full(len(sizes), -1), np.full(len(sizes), -1)
     place_left[left], place_right[right] = np.arange(len(left)), np.arange(len(right))
+    # Only units that bags of both sides have add to an overlap.
+    both = np.bincount(column, place_left[owner] >= 0).astype(bool) & np.bincount(column, place_right[owner] >= 0).astype(bool)
+    keep = both[column]
+    owner, column = owner[keep], (np.cumsum(both) - 1)[column[keep]]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    columns = int(both.sum())
     shared = np.zeros((len(left), len(right)), np.float32)
-    width = 2048
-    for first in range(0, int(several.sum()), width):
+    for first in range(0, columns, 2048):
+        width = min(2048, columns - first)
         a, b = np.searchsorted(column, [first, first + width])
         who, what = owner[a:b], column[a:b] - first
         x, y = np.zeros((len(left), width), np.float32), np.zeros((len(right), width), np.float32)
@@ -173,32 +175,72 @@ def block_links(hashes: np.ndarray, weights: np.ndarray, offsets: np.ndarray, le
         mine = place_right[who] >= 0
         y[place_right[who[mine]], what[mine]] = 1
         shared += x @ y.T
-    union = sizes[left][:, None] + sizes[right][None, :] - shared
-    parent = {g: g for g in groups}
+    either = sizes[left][:, None] + sizes[right][None, :] - shared
+    near = shared / np.maximum(either, 1) >= least
+    codes: dict = {}
+    code = np.array([codes.setdefault(g, len(codes)) for g in groups])
+    parent = list(range(len(codes)))
 
-    def root(g):
+    def root(g: int) -> int:
         while parent[g] != g:
             parent[g] = parent[parent[g]]
             g = parent[g]
         return g
 
     found = []
-    for i, j in zip(*np.nonzero(shared / np.maximum(union, 1) >= least)):
-        i, j = int(left[i]), int(right[j])
-        x, y = root(groups[i]), root(groups[j])
-        if x != y:
-            parent[x] = y
-            found.append((i, j))
+    for i in np.flatnonzero(near.any(axis=1)).tolist():
+        # One partner of each group is enough.
+        partners = np.flatnonzero(near[i])
+        kinds, first_of = np.unique(code[right[partners]], return_index=True)
+        for kind, j in zip(kinds.tolist(), right[partners[first_of]].tolist()):
+            x, y = root(int(code[left[i]])), root(kind)
+            if x != y:
+                parent[x] = y
+                found.append((int(left[i]), j))
     return found
 
 
+def _lonely(texts: DataFrame) -> DataFrame:
+    """id and how many units of its bag no other of these texts has (id, text); ids without any are left out.
+
+    A unit is a shingle with the number of its copy. Units are folded before they are shuffled, so one that every
+    text has is one row a task.
+    """
+
+    def units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, values in slices(batches, "text"):
+            hashes, weights, offsets = bags(values)
+            unit = np.arange(int(weights.sum())) - np.repeat(np.cumsum(weights) - weights, weights)
+            names = mix(np.repeat(hashes, weights) + unit.astype(np.uint64) * _STEP)
+            owner = np.repeat(np.repeat(np.arange(len(values)), np.diff(offsets)), weights)
+            for at in range(0, len(names), 500_000):
+                part = slice(at, at + 500_000)
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(owner[part])), pa.array(names[part].view(np.int64))], ["id", "unit"])
+
+    rows = texts.select("id", "text")
+    found = rows.mapInArrow(units, rows.select("id").schema.add("unit", "long"))
+    single = found.groupBy("unit").agg(F.count("*").alias("owners"), F.min("id").alias("id")).where("owners = 1")
+    return single.groupBy("id").agg(F.count("*").alias("lonely"))
+
+
 def _in_blocks(members: DataFrame, texts: DataFrame, least: float, block_rows: int, block_shingles: int) -> DataFrame:
-    """Links (a, b) among members (hub, id, n, component) of each hub that join a component other than the hub's."""
+    """Links (a, b) among members (hub, id, n, component) of each hub that join a component other than the hub's.
+
+    Units that no other document has are in no overlap. A member with so many of them that even the smallest
+    member could not be near it is left out: it is near to none.
+    """
     home = members.where(F.col("id") == F.col("hub")).select("hub", F.col("component").alias("home"))
     marked = members.join(home, "hub").withColumn("stray", F.col("component") != F.col("home")).drop("home")
-    sizes = marked.groupBy("hub").agg(F.count("*").alias("all"), F.count_if(F.col("stray")).alias("strays"), F.sum("n").alias("shingles"))
+    smallest = marked.groupBy("hub").agg(F.count("*").alias("all"), F.count_if(F.col("stray")).alias("strays"), F.min("n").alias("smallest"))
     # A hub and one other have been compared with each other.
-    sizes = sizes.where("strays > 0 and all > 2")
+    smallest = smallest.where("strays > 0 and all > 2").select("hub", "smallest")
+    marked = written(marked.join(smallest, "hub"), "marked")
+    lonely = _lonely(texts.join(_few(written(marked.select("id").distinct(), "unsettled")), "id", "left_semi"))
+    marked = marked.join(lonely, "id", "left").withColumn("common", F.col("n") - F.coalesce("lonely", F.lit(0)))
+    reach = F.col("common") / (F.col("n") + F.greatest("common", "smallest") - F.col("common"))
+    marked = written(marked.where(reach >= least).drop("lonely", "common", "smallest"), "within-reach")
+    sizes = marked.groupBy("hub").agg(F.count("*").alias("all"), F.count_if(F.col("stray")).alias("strays"), F.sum("n").alias("shingles"))
+    sizes = sizes.where("strays > 0 and all > 1")
     blocks = F.greatest(F.ceil(F.col("all") / block_rows), F.ceil(F.col("shingles") / block_shingles)).cast("int")
     rows = marked.join(sizes.select("hub", blocks.alias("blocks")), "hub")
     rows = rows.withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
