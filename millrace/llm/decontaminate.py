@@ -29,10 +29,11 @@ def _bits(n: Column) -> Column:
     return F.length(F.bin(n.cast("bigint"))) + 1
 
 
-def _minima(shingles: Column, bits: Column) -> Column:
-    """The smallest hash of each bin; a bin is the hashes with the same leading `bits`."""
+def _flagged(distinct: Column, bits: Column) -> Column:
+    """The shingles in order, each with whether it is the smallest of its bin; a bin is the hashes with the same leading `bits`."""
     bin_of = lambda h: F.call_function("shiftright", h, 64 - bits)
-    return let(F.sort_array(shingles), lambda s: F.filter(s, lambda h, i: (i == 0) | (bin_of(h) != bin_of(F.element_at(s, F.greatest(i, F.lit(1)))))))
+    least = lambda s, h, i: (i == 0) | (bin_of(h) != bin_of(F.element_at(s, F.greatest(i, F.lit(1)))))
+    return let(F.sort_array(distinct), lambda s: F.transform(s, lambda h, i: F.struct(h.alias("h"), least(s, h, i).alias("least"))))
 
 
 def item_shingles(items: DataFrame, least: float, least_shingles: int) -> DataFrame:
@@ -53,14 +54,12 @@ def find_items(docs: DataFrame, items: DataFrame, least: float = 0.8, least_shin
     most counts; items that share an item_id are one item each, and the best of them counts.
     """
     parts = written(item_shingles(items, least, least_shingles), "items")
-    hashed = docs.select(F.col("doc_id").alias("d"), shingles_of(F.col("text")).alias("s"))  # a filter here would hash twice
-    signed = hashed.select("d", _bits(F.size("s")).alias("bits"), F.explode(_minima(F.col("s"), _bits(F.size("s")))).alias("h"))
-    long_items = parts.where(~F.col("short")).select("item", "h", "from_bits")
-    pairs = signed.join(long_items, "h").where("bits >= from_bits").select("d", "item")
-    if parts.where("short").limit(1).count():
-        every = hashed.select("d", F.explode(F.array_distinct("s")).alias("h"))
-        pairs = pairs.union(every.join(parts.where("short").select("item", "h"), "h").select("d", "item"))
-    pairs = written(pairs.distinct(), "candidates")
+    # One scan and one look at each shingle: of long items its bin's smallest, of short ones any.
+    hashed = docs.select(F.col("doc_id").alias("d"), F.array_distinct(shingles_of(F.col("text"))).alias("s"))
+    signed = hashed.select("d", "s", _bits(F.size("s")).alias("bits"))
+    rows = signed.select("d", "bits", F.inline(_flagged(F.col("s"), F.col("bits"))))
+    met = rows.join(parts.select("item", "h", "from_bits", "short"), "h")
+    pairs = written(met.where("short or (least and bits >= from_bits)").select("d", "item").distinct(), "candidates")
 
     # The exact check reads candidate documents only.
     ids = pairs.select(F.col("d").alias("doc")).distinct()

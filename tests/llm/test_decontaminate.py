@@ -61,3 +61,13 @@ def test_kept_rows_repeats_and_empty_tables(spark, documents, words):
     assert D.find_items(documents([]), items).count() == 0
     assert D.without_items(df, items.limit(0)).count() == 5
     assert "MapInArrow" not in D.find_items(df, items)._jdf.queryExecution().toString()
+
+
+def test_documents_are_scanned_once_for_candidates(spark, documents, words, monkeypatch):
+    plans = []
+    plain = D.written
+    monkeypatch.setattr(D, "written", lambda df, label: (plans.append((label, df._jdf.queryExecution().optimizedPlan().toString())), plain(df, label))[1])
+    docs = documents([(i, words(i, 60)) for i in range(20)])
+    D.find_items(docs, items_of(spark, [(1, words(3, 8)), (2, words(4, 40))])).count()
+    plan = dict(plans)["candidates"]
+    assert plan.count("doc_id") > 0 and plan.count("Generate") == 1 and "Union" not in plan
