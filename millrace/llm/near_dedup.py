@@ -235,7 +235,7 @@ def _in_blocks(members: DataFrame, texts: DataFrame, least: float, block_rows: i
     # A hub and one other have been compared with each other.
     smallest = smallest.where("strays > 0 and all > 2").select("hub", "smallest")
     marked = written(marked.join(smallest, "hub"), "marked")
-    lonely = _lonely(texts.join(_few(written(marked.select("id").distinct(), "unsettled")), "id", "left_semi"))
+    lonely = _lonely(texts.join(marked.select("id"), "id", "left_semi"))
     marked = marked.join(lonely, "id", "left").withColumn("common", F.col("n") - F.coalesce("lonely", F.lit(0)))
     reach = F.col("common") / (F.col("n") + F.greatest("common", "smallest") - F.col("common"))
     marked = written(marked.where(reach >= least).drop("lonely", "common", "smallest"), "within-reach")
@@ -309,7 +309,7 @@ def links(
     groups = placed.select("hub", "id", "n").distinct().join(joined.withColumnRenamed("node", "id"), "id", "left")
     groups = written(groups.select("hub", "id", "n", F.coalesce("component", "id").alias("component")), "groups")
     more = written(_in_blocks(groups, texts, least, block_rows, block_shingles), "more")
-    return found.union(more), members.select("id", "representative")
+    return joined.where("node <> component").toDF("a", "b").union(more), members.select("id", "representative")
 
 
 def classes(docs: DataFrame, least: float = 0.8) -> DataFrame:
