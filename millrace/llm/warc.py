@@ -116,6 +116,9 @@ def records_of(file) -> Iterator[bytes]:
         yield b"".join(out)
 
 
+MOST_READERS = 10_000  # tasks of one read
+
+
 def write(pages: DataFrame, least_bytes: int = 1000, file_bytes: int = 16_000_000) -> DataFrame:
     """Archives `pages` (page_id, url, html; other columns are ignored); the manifest (path, records) as a written table.
 
@@ -194,7 +197,8 @@ def read(manifest: DataFrame, page_id_type: str = "bigint") -> DataFrame:
 
     names = ["page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to", "html"]
     kinds = [pa.string(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.string()]
-    rows = manifest.select("path", "records").repartition("path")
+    # A given number of partitions: by size alone the few rows of a manifest would be one task that reads all files.
+    rows = manifest.select("path", "records").repartition(max(1, min(manifest.count(), MOST_READERS)))
     text = rows.mapInArrow(load, "page_id string, url string, payload_bytes bigint, payload_digest string, record_type string, refers_to string, html string")
     return text.withColumn("page_id", F.col("page_id").cast(page_id_type)).withColumn("refers_to", F.col("refers_to").cast(page_id_type))
 

@@ -1,6 +1,8 @@
 import hashlib
 import random
 
+from pyspark.sql import functions as F
+
 from millrace.llm import files, warc
 
 
@@ -49,3 +51,13 @@ def test_repeated_rows_and_empty_table(spark, words):
     got = warc.archived(pages(spark, [row, row])).collect()
     assert [r["record_type"] for r in got] == ["response", "response"]
     assert warc.archived(pages(spark, [])).count() == 0
+
+
+def test_archives_are_read_by_many_tasks(spark, words):
+    rows = [(i, "u", words(i, 2000), None, None, None) for i in range(60)]
+    manifest = warc.write(pages(spark, rows).repartition(4), file_bytes=20_000)
+    files_written = manifest.count()
+    assert files_written >= 8
+    tasks = warc.read(manifest).groupBy(F.spark_partition_id()).count().collect()
+    assert len(tasks) >= files_written / 2  # with adaptive execution on
+    assert sum(r["count"] for r in tasks) == 60
