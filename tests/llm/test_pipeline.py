@@ -16,6 +16,9 @@ import corpus_pipeline as C
 from millrace.llm.tokens import public_file
 from millrace.session import fresh_path
 
+# Names that operators use inside.
+CLASHES = ["d", "h", "n", "s", "id", "at", "key", "band", "keys", "gone", "__gone", "n_lines", "data", "t", "group", "part", "unit", "lonely", "hub"]
+
 COLUMNS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
 
@@ -118,3 +121,30 @@ def test_language_stage_goes_by_labels(spark, corpus):
     assert 200 not in kept and kept == set(next(by_hand(rows, [])))
     unlabelled = docs.withColumn("lang", F.lit(None).cast("string"))
     assert C.identify_language(spark, unlabelled, folder).count() == len(rows) + 1
+
+
+def test_stages_with_null_and_repeated_ids_and_clashing_columns(spark, words):
+    """Each stage alone, on rows that no table should have, with columns called like names that operators use."""
+    a, b = words(1, 30), words(2, 40)
+    rows = [(1, a), (1, a), (None, a), (2, b), (None, None), (3, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], COLUMNS)
+    for name in CLASHES:
+        if name not in docs.columns:
+            docs = docs.withColumn(name, F.lit("x"))
+    folder = fresh_path(spark, "odd")
+    spark.createDataFrame([(1, b)], "item_id bigint, text string").write.parquet(f"{folder}/benchmark.parquet")
+    docs.write.parquet(f"{folder}/documents.parquet")
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    wanted = {
+        "language_id": [(1, a), (1, a), (2, b), (None, a)],
+        "line_dedup": rows,
+        "near_dedup": rows,  # copies under one id are one document, and a null id is none
+        "decontaminate": [r for r in rows if r[1] != b],
+    }
+    for name, stage in C.STAGES[:-1]:
+        out = stage(spark, docs, folder)
+        assert out.columns == docs.columns, name
+        assert sorted(((r["doc_id"], r["text"]) for r in out.collect()), key=str) == sorted(wanted[name], key=str), name
+        assert {r["s"] for r in out.collect()} == {"x"}
+    pieces = C.STAGES[-1][1](spark, docs, folder).collect()
+    assert sorted((r["doc_id"] for r in pieces), key=str) == sorted((i for i, _ in rows), key=str)
