@@ -61,7 +61,8 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as read back from the token files that were written of all texts."""
-    return rans.read(rans.write(table(spark, sf_dir, "documents")))
+    docs = table(spark, sf_dir, "documents")
+    return rans.read(rans.write(docs), docs.schema["doc_id"].dataType.simpleString())
 
 
 def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,18 +6,20 @@ states and a checksum, and checkpoints in it (states and place in the stream) fr
 start. So blocks, or parts of one, are decoded in parallel.
 
 File, little-endian: magic "RANS0001"; blocks; index (JSON, zlib): the table, every block's place, size,
-ids, lanes, checkpoints, checksum, and the documents' sizes; then the index's length as 8 bytes.
+ids, lanes, checkpoints, checksum, and the documents' doc_ids and sizes; the file's place among all files, its ids and
+blocks; then the index's length as 8 bytes.
 """
 
 from __future__ import annotations
 
 import json
+import struct
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from millrace.llm import files
 from millrace.llm.batches import slices
@@ -25,12 +27,14 @@ from millrace.llm.tokens import encoder, public_file
 from millrace.session import written
 
 MAGIC = b"RANS0001"
+_PLACE = struct.Struct("<iiqi")  # range of doc_ids, number within it, ids, blocks
 PRECISION = 20  # frequencies add up to 2^20
 LOWEST = np.uint64(1 << 31)  # states stay from 2^31 up to 2^63; 32 bits move at a time
 LANES = 1024
 BLOCK_IDS = 1 << 19
 CHECKPOINT_STEPS = 256
 END = 0
+MOST_READERS = 10_000  # tasks of one read
 
 
 def frequencies(counts: np.ndarray) -> np.ndarray:
@@ -122,8 +126,11 @@ def decode_block(payload: bytes, entry: dict, freq: np.ndarray, start: np.ndarra
     return out.reshape(-1)[: min(n, last * lanes) - step * lanes] if last > step else out.reshape(-1)
 
 
-def encode_file(documents: list[bytes]) -> bytes:
-    """A whole file from documents' ids (unsigned 32-bit, little-endian, end id included)."""
+def encode_file(documents: list[bytes], names: list | None = None, place: tuple[int, int] = (0, 0)) -> bytes:
+    """A whole file from documents' ids (unsigned 32-bit, little-endian, end id included).
+
+    The index holds the documents' names (doc_ids, None for null) and the place of the file among all files.
+    """
     sizes = [len(d) // 4 for d in documents]
     ids = np.frombuffer(b"".join(documents), "<u4").astype(np.int64)
     counts = np.bincount(ids) if len(ids) else np.zeros(0, np.int64)
@@ -137,8 +144,16 @@ def encode_file(documents: list[bytes]) -> bytes:
         at += len(payload)
     known = np.flatnonzero(freq)
     index = {"known": np.diff(known, prepend=0).tolist(), "freq": freq[known].tolist(), "blocks": blocks, "documents": sizes}
+    index["names"] = names if names is not None else [None] * len(documents)
+    place_of_file = _PLACE.pack(*place, len(ids), len(blocks))
     packed = zlib.compress(json.dumps(index, separators=(",", ":")).encode())
-    return b"".join([*parts, packed, len(packed).to_bytes(8, "little")])
+    return b"".join([*parts, packed, place_of_file, len(packed).to_bytes(8, "little")])
+
+
+def read_place(file) -> tuple[int, int, int, int]:
+    """The range and number of an open file among all files, its ids and blocks: from its last bytes alone."""
+    file.seek(file.size() - 8 - _PLACE.size)
+    return _PLACE.unpack(file.read(_PLACE.size))
 
 
 def read_index(file) -> dict:
@@ -149,7 +164,7 @@ def read_index(file) -> dict:
         raise ValueError("not a file of this format")
     file.seek(size - 8)
     length = int.from_bytes(file.read(8), "little")
-    file.seek(size - 8 - length)
+    file.seek(size - 8 - _PLACE.size - length)
     index = json.loads(zlib.decompress(file.read(length)))
     known = np.cumsum(np.array(index["known"], np.int64))
     freq = np.zeros(int(known[-1]) + 1 if len(known) else 0, np.int64)
@@ -168,11 +183,35 @@ def read_block(file, index: dict, number: int) -> np.ndarray:
     return decode_block(payload, entry, index["freq"], index["start"], index["slots"])
 
 
+def read_ids(file, index: dict, first: int, last: int) -> np.ndarray:
+    """The ids from place `first` up to `last` of a file: whole blocks where they lie between, else from checkpoints.
+
+    Every payload that is read must agree with its checksum.
+    """
+    out = []
+    for entry in index["blocks"]:
+        a, b = max(first, entry["first"]), min(last, entry["first"] + entry["ids"])
+        if a >= b:
+            continue
+        file.seek(entry["at"])
+        payload = file.read(entry["bytes"])
+        if zlib.crc32(payload) != entry["crc"]:
+            raise ValueError(f"the block at {entry['at']} is damaged")
+        lanes = entry["lanes"]
+        wanted, past = (a - entry["first"]) // lanes, -(-(b - entry["first"]) // lanes)
+        steps = [0, *[step for step, _ in entry["points"]]]
+        point = max(i for i, step in enumerate(steps) if step <= wanted)
+        ids = decode_block(payload, entry, index["freq"], index["start"], index["slots"], point - 1, past - steps[point])
+        skip = a - entry["first"] - steps[point] * lanes
+        out.append(ids[skip : skip + b - a])
+    return np.concatenate(out).astype("<u4") if out else np.zeros(0, "<u4")
+
+
 def write(docs: DataFrame, tokenizer: str | None = None, file_ids: int = 4 * BLOCK_IDS) -> DataFrame:
     """Writes the ids of `docs` (doc_id, text; other columns are ignored); the manifest as a written table.
 
-    Manifest: file_no (range of doc_ids), part (file within it), path, n_ids, doc_ids (in the order of the
-    file). Documents are ordered by doc_id (null first) by range partitions; rows that share a doc_id are
+    Manifest: path, and nothing else that a reader needs: the files hold their documents' ids and sizes, and their own
+    place, which is the range of doc_ids and the number of the file within it. Documents are ordered by doc_id (null first) by range partitions; rows that share a doc_id are
     ordered by a hash of their text. A null or empty text is its end id alone. A task holds one file's ids
     at a time, at most `file_ids` and one document more. An empty table writes no file.
     """
@@ -183,7 +222,6 @@ def write(docs: DataFrame, tokenizer: str | None = None, file_ids: int = 4 * BLO
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = rows.repartitionByRange(parts, F.col("doc_id").asc_nulls_first(), "tie").sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "tie")
     rows = rows.select("doc_id", "text", F.spark_partition_id().alias("file_no"))
-    kind = rows.schema["doc_id"].dataType
 
     def save(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path_of_tokenizer).encode
@@ -193,12 +231,8 @@ def write(docs: DataFrame, tokenizer: str | None = None, file_ids: int = 4 * BLO
         def flush():
             uri = files.new_name(target, ".rans")
             with files.open_new(uri) as out:
-                out.write(encode_file(held))
-            ids = pa.chunked_array(names).combine_chunks()
-            return pa.RecordBatch.from_arrays(
-                [pa.array([number], pa.int32()), pa.array([part], pa.int32()), pa.array([uri]), pa.array([size], pa.int64()), pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids)],
-                ["file_no", "part", "path", "n_ids", "doc_ids"],
-            )
+                out.write(encode_file(held, pa.chunked_array(names).to_pylist(), (number, part)))
+            return pa.RecordBatch.from_arrays([pa.array([uri])], ["path"])
 
         for batch, texts in slices(batches, "text"):
             number = batch.column(2)[0].as_py()
@@ -215,40 +249,63 @@ def write(docs: DataFrame, tokenizer: str | None = None, file_ids: int = 4 * BLO
         if held:
             yield flush()
 
-    schema = f"file_no int, part int, path string, n_ids bigint, doc_ids array<{kind.simpleString()}>"
-    return written(rows.mapInArrow(save, schema), "rans-manifest")
+    return written(rows.mapInArrow(save, "path string"), "rans-manifest")
 
 
-def read(manifest: DataFrame) -> DataFrame:
-    """doc_id, start, n_tokens, ids_crc32 of every document, decoded from the files of a manifest.
+def read(manifest: DataFrame, doc_id_type: str = "bigint", unit_blocks: int = 8) -> DataFrame:
+    """doc_id, start, n_tokens, ids_crc32 of every document, from the files that a manifest names.
 
-    start counts the ids of all documents before, over all files; it is summed over the files, one row each.
+    First the place and the number of ids and blocks are read from the end of every file. start counts the ids of all
+    documents before, over all files; it is summed over the files, one row each. Then units of `unit_blocks` blocks
+    are decoded by tasks of their own: a task takes the documents that begin in its blocks, and reads on, from the
+    checkpoints of later blocks, where the last of them does not end there. `manifest` needs no column but path.
     """
-    kind = manifest.schema["doc_ids"].dataType.elementType
-    sizes = manifest.select("file_no", "part", "n_ids")
-    # Few rows: one per file. Ranges are summed first, so one window orders ranges, not documents.
-    by_range = sizes.groupBy("file_no").agg(F.sum("n_ids").alias("n"))
-    from pyspark.sql import Window
+    paths = manifest.select("path")
+    count = paths.count()
 
+    def open_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for path in batch.column(0).to_pylist():
+                with files.open_at(path) as file:
+                    found.append((path, *read_place(file)))
+            if found:
+                columns = [pa.array(x, t) for x, t in zip(zip(*found), (pa.string(), pa.int32(), pa.int32(), pa.int64(), pa.int32()))]
+                yield pa.RecordBatch.from_arrays(columns, ["path", "file_no", "part", "n_ids", "blocks"])
+
+    # Given numbers of partitions: by size alone the few rows would be one task that reads all files. Looking at the
+    # end of a file takes a moment, so a task looks at 32.
+    opened = paths.repartition(max(1, min(-(-count // 32), MOST_READERS))).mapInArrow(open_files, "path string, file_no int, part int, n_ids bigint, blocks int")
+    opened = written(opened, "rans-places")
+    # Few rows: one per file. Ranges are summed first, so one window orders ranges, not files.
+    by_range = opened.groupBy("file_no").agg(F.sum("n_ids").alias("n"))
     before = by_range.select("file_no", (F.sum("n").over(Window.orderBy("file_no")) - F.col("n")).alias("range_start"))
     within = Window.partitionBy("file_no").orderBy("part")
-    named = manifest.join(before, "file_no").withColumn("start", F.col("range_start") + F.sum("n_ids").over(within) - F.col("n_ids"))
+    placed = opened.join(before, "file_no").withColumn("start", F.col("range_start") + F.sum("n_ids").over(within) - F.col("n_ids"))
+    firsts = F.sequence(F.lit(0), F.greatest(F.col("blocks") - 1, F.lit(0)), F.lit(unit_blocks))
+    units = placed.select("path", "start", F.explode(firsts).alias("block"))
+    tasks = opened.agg(F.coalesce(F.sum(F.ceil(F.col("blocks") / unit_blocks)), F.lit(0))).first()[0]
 
     def load(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(batch.num_rows):
-                with files.open_at(batch.column(0)[i].as_py()) as file:
+            for path, start, block in zip(*(c.to_pylist() for c in batch.columns)):
+                with files.open_at(path) as file:
                     index = read_index(file)
-                    ids = np.concatenate([read_block(file, index, k) for k in range(len(index["blocks"]))]).astype("<u4")
-                sizes = np.array(index["documents"], np.int64)
-                ends = np.cumsum(sizes)
-                if not len(sizes) == len(batch.column(2)[i]) or ends[-1] != len(ids):
-                    raise ValueError("the file and its manifest differ")
-                crc = [zlib.crc32(ids[a:b].tobytes()) for a, b in zip(ends - sizes, ends)]
+                    entries = index["blocks"][block : block + unit_blocks]
+                    sizes = np.array(index["documents"], np.int64)
+                    ends = np.cumsum(sizes)
+                    begin = ends - sizes
+                    mine = np.flatnonzero((begin >= entries[0]["first"]) & (begin < entries[-1]["first"] + entries[-1]["ids"]))
+                    if not len(mine):
+                        continue
+                    first = int(begin[mine[0]])
+                    ids = read_ids(file, index, first, int(ends[mine[-1]]))
+                crc = [zlib.crc32(ids[a:b].tobytes()) for a, b in zip(begin[mine] - first, ends[mine] - first)]
+                names = [index["names"][i] for i in mine.tolist()]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(2)[i].values, pa.array(ends - sizes + batch.column(1)[i].as_py()), pa.array(sizes), pa.array(crc, pa.int64())],
+                    [pa.array([None if x is None else str(x) for x in names], pa.string()), pa.array(begin[mine] + start), pa.array(sizes[mine]), pa.array(crc, pa.int64())],
                     ["doc_id", "start", "n_tokens", "ids_crc32"],
                 )
 
-    rows = named.select("path", "start", "doc_ids").repartition("path")
-    return rows.mapInArrow(load, f"doc_id {kind.simpleString()}, start bigint, n_tokens bigint, ids_crc32 bigint")
+    rows = units.repartition(max(1, min(tasks, MOST_READERS))).mapInArrow(load, "doc_id string, start bigint, n_tokens bigint, ids_crc32 bigint")
+    return rows.withColumn("doc_id", F.col("doc_id").cast(doc_id_type))

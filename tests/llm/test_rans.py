@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from millrace.llm import rans as R
@@ -85,3 +86,51 @@ def test_repeated_rows_and_empty_table(documents):
     got = sorted((r["start"], r["n_tokens"]) for r in R.read(R.write(documents([(1, "a"), (1, "a"), (1, "b c")]))).collect())
     assert [s for s, _ in got] == [0, got[0][1], got[0][1] + got[1][1]]
     assert R.read(R.write(documents([]))).count() == 0
+
+
+def test_ranges_from_checkpoints():
+    ids = ids_of(9, 1_300_000)
+    data = R.encode_file([ids.tobytes()], ["d"], (3, 4))
+    index = R.read_index(Opened(data))
+    assert index["names"] == ["d"] and R.read_place(Opened(data)) == (3, 4, len(ids), 3) and len(index["blocks"]) == 3
+    for first, last in [(0, 1), (5, 5), (0, len(ids)), (262_144, 262_145), (500_000, 1_100_000), (1_299_999, 1_300_000), (524_288, 524_290)]:
+        assert R.read_ids(Opened(data), index, first, last).tolist() == ids[first:last].tolist()
+
+
+def test_the_files_alone_give_the_documents(documents, words):
+    docs = [(i, words(i, 300)) for i in range(400)] + [(777, words(9, 400))] * 30 + [(-5, words(1, 30_000)), (9_000_000_000, None)]
+    manifest = R.write(documents(docs, partitions=8), file_ids=4_000)
+    assert manifest.columns == ["path"]
+    assert manifest.count() >= 8
+    read = R.read(manifest)
+    tasks = read.select("doc_id", F.spark_partition_id().alias("task")).groupBy("task").count().collect()
+    assert len(tasks) >= 8  # with adaptive execution on
+    library = Tokenizer.from_file(public_file())
+    sizes = {d: len(library.encode(t or "", add_special_tokens=False).ids) + 1 for d, t in docs}
+    got = sorted((r["start"], r["doc_id"], r["n_tokens"]) for r in read.collect())
+    assert [d for _, d, _ in got] == sorted(d for d, _ in docs)
+    at = 0
+    for start, doc, n in got:
+        assert (start, n) == (at, sizes[doc])
+        at += n
+
+
+def test_units_of_one_file_in_several_tasks(documents, words):
+    """One file of several blocks, with documents across them and one over more than a block."""
+    docs = [(i, words(i, 4_000)) for i in range(60)] + [(100, words(5, 260_000)), (101, words(6, 10))]
+    manifest = R.write(documents(docs).coalesce(1), file_ids=10**9)
+    whole, parts = R.read(manifest, unit_blocks=100), R.read(manifest, unit_blocks=1)
+    assert sorted(map(tuple, parts.collect())) == sorted(map(tuple, whole.collect()))
+    if manifest.count() < 5:
+        assert parts.groupBy(F.spark_partition_id()).count().count() > manifest.count()
+
+
+def test_a_document_over_several_blocks(documents, words, monkeypatch):
+    monkeypatch.setattr(R, "BLOCK_IDS", 1000)
+    data = [R.np.frombuffer(ids_of(i, n).tobytes(), "<u4") for i, n in enumerate([10, 3500, 1, 900, 2500])]
+    file = R.encode_file([d.tobytes() for d in data])
+    index = R.read_index(Opened(file))
+    whole = np.concatenate(data)
+    ends = np.cumsum([len(d) for d in data])
+    for a, b in zip(ends - [len(d) for d in data], ends):
+        assert R.read_ids(Opened(file), index, int(a), int(b)).tolist() == whole[a:b].tolist()
