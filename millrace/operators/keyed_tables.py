@@ -52,8 +52,12 @@ def without_keys(first: DataFrame, known: DataFrame, key: str) -> DataFrame:
 def broken_rules(added: DataFrame, rest: DataFrame, rules: list[Rule]) -> DataFrame:
     """(column_name, rule, rows): what `added` would break in a table that holds `rest` too.
 
-    For `unique`, rows counts the values of `added` that occur in it before or in `rest`.
+    For `unique`, rows counts the values of `added` that occur in it before or in `rest`. Every rule reads
+    `added`, so it is written once, unless it has been: left in the plan, the joins that make it are pushed below
+    the groups of the unique rule, where they sort rows that were not folded.
     """
+    if not hasattr(added, "_written_to"):
+        added = written(added.select(*dict.fromkeys(r.column for r in rules)), "added")
     row_rules = [r for r in rules if r.kind != "unique"]
     reports = [check_rules(added, row_rules)] if row_rules else []
     for rule in rules:

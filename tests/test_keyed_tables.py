@@ -129,3 +129,20 @@ def test_rules(spark, rows):
     keyed_tables.refuse_if_broken(df.limit(1), checks.PEOPLE_RULES)
     half = spark.range(1).select(F.lit(99.505).cast("decimal(5,2)"))
     assert half.first()[0] == Decimal("99.51")
+
+
+def test_the_rules_read_the_added_rows_from_one_table(spark):
+    from plans import plan_text
+
+    target = spark.createDataFrame([(1, "n", "a", 1.0)], "id int, full_name string, email string, gpa double")
+    rows = [(i, None if i == 3 else "n", [None, "a", "b", "c"][i % 4], 1000.0 if i == 6 else 1.0) for i in range(12)]
+    incoming = spark.createDataFrame(rows, "arrival_seq int, full_name string, email string, gpa double")
+    added = keyed_tables.new_rows(target, incoming, "email", "arrival_seq")
+    report = keyed_tables.broken_rules(added, target, checks.PEOPLE_RULES)
+    # The joins that make the rows are not part of the report's plan.
+    assert "LeftAnti" in plan_text(added) and "LeftAnti" not in plan_text(report)
+    found = {(r["column_name"], r["rule"]): r["rows"] for r in report.collect()}
+    assert found == {
+        ("full_name", "not_null"): 1, ("full_name", "max_length"): 0, ("email", "not_null"): 3,
+        ("email", "max_length"): 0, ("email", "unique"): 0, ("gpa", "precision"): 0,
+    }
