@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import hour_number_text
@@ -149,15 +149,18 @@ def _close(a: Column, b: Column, rtol: float, atol: float) -> Column:
 
 # The leaves and branches of the tree of checksums that `unlike` compares.
 LEAVES, BRANCHES = 1 << 20, 1 << 10
+# Rows of both sides in a leaf that one task may pair; a leaf above holds a key that fills many tasks.
+MOST_ROWS = 1 << 20
+
+_WIDTHS = [{"byte", "short", "integer", "long"}, {"float", "double"}]
 
 
 def _comparable(a: DataFrame, b: DataFrame, columns: list[str]) -> tuple[list[Column], list[Column]]:
     """The columns of both sides, in one type where whole numbers or floats of two widths stand for one value."""
-    kinds = [{"byte", "short", "integer", "long"}, {"float", "double"}]
     left, right = [], []
     for c in columns:
         types = {a.schema[c].dataType.typeName(), b.schema[c].dataType.typeName()}
-        wide = next((w for w, kind in zip(("long", "double"), kinds) if len(types) > 1 and types <= kind), None)
+        wide = next((w for w, kind in zip(("long", "double"), _WIDTHS) if len(types) > 1 and types <= kind), None)
         left.append(F.col(c).cast(wide) if wide else F.col(c))
         right.append(F.col(c).cast(wide) if wide else F.col(c))
     return left, right
@@ -168,9 +171,15 @@ def _row_hash(columns: list[Column]) -> Column:
     return F.xxhash64(*columns, *[c.isNull() for c in columns])
 
 
-def unlike(a: DataFrame, b: DataFrame, keys: list[str], leaf: str) -> tuple[DataFrame, DataFrame] | None:
+Pair = tuple[DataFrame, DataFrame]
+
+
+def unlike(a: DataFrame, b: DataFrame, keys: list[str], leaf: str) -> tuple[Pair, Pair] | None:
     """The rows of `a` and `b` in those ranges of key hashes where the tables differ; None where they are equal.
 
+    They come as two pairs: ranges of at most MOST_ROWS rows, which have equal keys of both sides in one range, and
+    all others.
+
     Each range has a checksum that does not depend on the order of its rows: their number, sums and exclusive-or of
     row hashes. Tables are first compared by BRANCHES ranges; only where those differ, by LEAVES ranges. Both
     comparisons move one row a range and task, and never a row of the tables. Different rows have equal checksums
@@ -191,17 +200,75 @@ def unlike(a: DataFrame, b: DataFrame, keys: list[str], leaf: str) -> tuple[Data
         low, high = F.col("h").bitwiseAND(0xFFFFFF), F.shiftrightunsigned("h", 24).bitwiseAND(0xFFFFFF)
         sums = reduce(DataFrame.union, parts).groupBy("place").agg(
             F.sum("sign").alias("n"), F.sum(F.col("sign") * low).alias("low"), F.sum(F.col("sign") * high).alias("high"),
-            F.bit_xor("h").alias("mixed"),
+            F.bit_xor("h").alias("mixed"), F.count("*").alias("rows"),
         )
-        return sums.filter("n <> 0 or low <> 0 or high <> 0 or mixed <> 0").select("place")
+        return sums.filter("n <> 0 or low <> 0 or high <> 0 or mixed <> 0").select("place", "rows")
 
     branches = [r["place"] for r in differing(F.col(leaf).bitwiseAND(BRANCHES - 1)).collect()]
     if not branches:
         return None
-    # At most LEAVES numbers, so they may be broadcast whatever the tables hold.
-    leaves = F.broadcast(written(differing(F.col(leaf), branches), "leaves"))
-    left, right = (df.join(leaves, F.col(leaf) == F.col("place"), "left_semi").drop(leaf) for df, _, _ in sides)
-    return left, right
+    leaves = written(differing(F.col(leaf), branches), "leaves")
+    kinds = [(a.schema[k].dataType, b.schema[k].dataType) for k in keys]
+    # Keys of other types may be equal and have other hashes.
+    hashed_alike = all(x == y or any({x.typeName(), y.typeName()} <= w for w in _WIDTHS) for x, y in kinds)
+    small = (F.col("rows") <= MOST_ROWS) & F.lit(hashed_alike)
+    large = leaves.filter(~small).count()
+
+    def inside(some: DataFrame) -> Pair:
+        # At most LEAVES numbers, so they may be broadcast whatever the tables hold.
+        some = F.broadcast(some.select("place"))
+        return tuple(df.join(some, F.col(leaf) == F.col("place"), "left_semi").drop(leaf) for df, _, _ in sides)
+
+    nothing = a.filter(F.lit(False)), b.filter(F.lit(False))
+    return inside(leaves.filter(small)) if hashed_alike else nothing, inside(leaves.filter(~small)) if large else nothing
+
+
+def _paired(a: DataFrame, b: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
+    """Rows of both sides paired by key, within a key in the order of their values, from one shuffle by key.
+
+    Columns: the keys by number (k0...), in_a, in_b, the values of `a` (a0...) and of `b` (b0...).
+    """
+    places = range(len(values))
+
+    def side(df: DataFrame, mine: str) -> DataFrame:
+        return df.select(
+            *[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)],
+            F.lit(mine == "a").alias("from_a"),
+            *[
+                (F.col(values[i]) if name == mine else F.lit(None).cast(other.schema[values[i]].dataType)).alias(f"{name}{i}")
+                for name, other in (("a", a), ("b", b))
+                for i in places
+            ],
+        )
+
+    key = [f"k{i}" for i in range(len(keys))]
+    columns = [f"{name}{i}" for name in "ab" for i in places]
+    rows = side(a, "a").union(side(b, "b")).repartition(*key)
+    order = columns or ["from_a"]
+    numbered = rows.withColumn("copy", F.row_number().over(Window.partitionBy(*key, "from_a").orderBy(*order)).cast("long"))
+    # A number holds one row of a side at most, so the largest value is the only one.
+    return numbered.groupBy(*key, "copy").agg(
+        F.max("from_a").alias("in_a"),
+        F.max(~F.col("from_a")).alias("in_b"),
+        *[F.max(c).alias(c) for c in columns],
+    )
+
+
+def _paired_in_ranges(a: DataFrame, b: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
+    """The same as _paired where a key may hold any share of the rows: they are numbered range by range."""
+    left, right = (
+        numbered_within(side, keys, values, "copy").withColumn("here", F.lit(True)).alias(name)
+        for name, side in (("a", a), ("b", b))
+    )
+    same = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in [*keys, "copy"]]
+    here = F.col("a.here").isNotNull()
+    return left.join(right, same, "full_outer").select(
+        *[F.when(here, F.col(f"a.{k}")).otherwise(F.col(f"b.{k}")).alias(f"k{i}") for i, k in enumerate(keys)],
+        F.coalesce(F.col("a.copy"), F.col("b.copy")).alias("copy"),
+        here.alias("in_a"),
+        F.col("b.here").isNotNull().alias("in_b"),
+        *[F.col(f"{name}.{c}").alias(f"{name}{i}") for name in "ab" for i, c in enumerate(values)],
+    )
 
 
 def differences(
@@ -213,7 +280,7 @@ def differences(
     Rows are paired by key; rows that share a key are paired in the order of their values.
     Returns keys, `side` (left_only, right_only, both) and the columns of both sides.
     Checksums of key ranges come first (see `unlike`): equal tables are not moved, and of others only the ranges
-    that differ are paired row by row.
+    that differ are paired row by row: by one shuffle of both sides, and in ranges where a key is too large for a task.
     """
     if set(a.columns) != set(b.columns):
         raise ValueError(f"columns differ: {sorted(set(a.columns) ^ set(b.columns))}")
@@ -223,35 +290,21 @@ def differences(
         for f in a.schema
         if f.dataType.typeName() in ("byte", "short", "integer", "long", "float", "double", "decimal")
     }
-    pairing = [*keys, "copy"]
     found = unlike(a, b.select(*a.columns), keys, "__leaf")
     if found is None:
-        a, b = (side.filter(F.lit(False)).withColumn("copy", F.lit(1).cast("long")) for side in (a, b))
+        found = ((a.filter(F.lit(False)), b.filter(F.lit(False))),) * 2
+        paired = _paired(*found[0], keys, values)
     else:
-        a, b = (numbered_within(side, keys, values, "copy") for side in found)
-
-    left, right = a.withColumn("here", F.lit(1)).alias("a"), b.withColumn("here", F.lit(1)).alias("b")
-    same = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in pairing]
-    joined = left.join(right, same, "full_outer")
+        paired = _paired(*found[0], keys, values).unionByName(_paired_in_ranges(*found[1], keys, values))
     agree = [
-        _close(F.col(f"a.{c}"), F.col(f"b.{c}"), rtol, atol)
-        if c in numeric
-        else F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}"))
-        for c in values
+        _close(F.col(f"a{i}"), F.col(f"b{i}"), rtol, atol) if c in numeric else F.col(f"a{i}").eqNullSafe(F.col(f"b{i}"))
+        for i, c in enumerate(values)
     ]
-    both = F.col("a.here").isNotNull() & F.col("b.here").isNotNull()
-    all_agree = reduce(Column.__and__, agree, both)
-    side = (
-        F.when(F.col("b.here").isNull(), "left_only")
-        .when(F.col("a.here").isNull(), "right_only")
-        .otherwise("both")
-    )
-    return joined.filter(~all_agree).select(
-        *[
-            F.when(F.col("a.here").isNotNull(), F.col(f"a.{k}")).otherwise(F.col(f"b.{k}")).alias(k)
-            for k in keys
-        ],
+    all_agree = reduce(Column.__and__, agree, F.col("in_a") & F.col("in_b"))
+    side = F.when(~F.col("in_b"), "left_only").when(~F.col("in_a"), "right_only").otherwise("both")
+    return paired.filter(~all_agree).select(
+        *[F.col(f"k{i}").alias(k) for i, k in enumerate(keys)],
         side.alias("side"),
-        *[F.col(f"a.{c}").alias(f"{c}_left") for c in values],
-        *[F.col(f"b.{c}").alias(f"{c}_right") for c in values],
+        *[F.col(f"a{i}").alias(f"{c}_left") for i, c in enumerate(values)],
+        *[F.col(f"b{i}").alias(f"{c}_right") for i, c in enumerate(values)],
     )

@@ -185,3 +185,27 @@ def test_clustered_files_skip_row_groups(spark, root):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert read["c"][0] < read["plain"][0] / 4
     assert read["c"][1] < read["plain"][1] / 2
+
+
+def test_only_large_ranges_are_put_in_order(spark, monkeypatch):
+    a = pairs(spark, 3000).union(spark.createDataFrame([(7, f"h{i % 50}") for i in range(900)] + [(None, "n")] * 3, "k long, v string"))
+    b = pairs(spark, 3000, lambda i: "other" if i in (5, 21, 2000) else None).union(
+        spark.createDataFrame([(7, f"h{i % 49}") for i in range(905)] + [(None, None)], "k long, v string")
+    )
+
+    def compared():
+        return sorted(map(str, checks.differences(a, b, ["k"]).collect()))
+
+    sizes, plain = [], checks.numbered_within
+    monkeypatch.setattr(checks, "numbered_within", lambda df, *rest: (sizes.append(df.count()), plain(df, *rest))[1])
+    by_key = compared()
+    assert max(sizes) == 0
+    sizes.clear()
+    monkeypatch.setattr(checks, "MOST_ROWS", 100)
+    assert compared() == by_key and sorted(sizes) == [903, 908]
+    sizes.clear()
+    monkeypatch.setattr(checks, "MOST_ROWS", 0)
+    assert compared() == by_key and len(by_key) > 500 and min(sizes) > 908 - 8
+    sizes.clear()
+    wide = b.select(F.col("k").cast("decimal(20,2)").alias("k"), "v")
+    assert checks.differences(a, wide, ["k"]).count() == len(by_key)
