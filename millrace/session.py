@@ -46,15 +46,20 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/millrace/{app}/{label}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
+def written(df: DataFrame, label: str, by: str | None = None, row_group_bytes: int | None = None) -> DataFrame:
     """`df` written once as Parquet and read back.
 
     Cuts the lineage (a lost executor costs a re-read, not a re-computation) and gives
     Catalyst the true size, so that it broadcasts the table only when it is small.
+    With `by` there is a folder for each value of that column. A row group is read by one task, so smaller ones let
+    more tasks read a file.
     """
     spark = df.sparkSession
     path = fresh_path(spark, label)
-    df.write.parquet(path)
+    writer = df.write.partitionBy(by) if by else df.write
+    if row_group_bytes:
+        writer = writer.option("parquet.block.size", row_group_bytes)
+    writer.parquet(path)
     table = spark.read.schema(df.schema).parquet(path)
     table._written_to = path
     return table

@@ -23,6 +23,10 @@ def feed_stream(spark: SparkSession, path: str, files_per_batch: int | None = No
     return reader.parquet(path)
 
 
+# A row group is read by one task; a micro-batch is few files.
+ROW_GROUP_BYTES = 4 << 20
+
+
 def run_ingest_stream(
     source: DataFrame, root: str, available_now: bool = True, interval: str = "30 seconds"
 ) -> StreamingQuery:
@@ -80,16 +84,17 @@ def _ingest_with_state(batch: DataFrame, batch_id: int, root: str) -> None:
     """One micro-batch of with_new_keys: the first delivery of each new key, and every record without a key.
 
     The batch is written once, so the state is asked once; a repeated batch starts from the state before it and
-    replaces what it had stored.
+    replaces what it had stored. Records and keys lie in folders of their own: among the many small files of keys,
+    Spark would put all files of records into one task.
     """
-    batch = written(batch, "microbatch")
-    first = written(first_deliveries(batch.filter(~F.col("is_key")).select("raw", "batch_id", "arrival_seq")), "first")
-    fresh = batch.filter("is_key").select("record_key")
-    received = first.agg(F.coalesce(F.sum("deliveries"), F.lit(0))).first()[0]
-    keyless = first.filter(F.col("record_key").isNull())
-    handled = keyless.unionByName(first.join(fresh, "record_key", "left_semi").select(*first.columns))
-    store_handled(handled, batch_id, root, received)
-    release(batch, first)
+    batch = written(batch, "microbatch", by="is_key", row_group_bytes=ROW_GROUP_BYTES)
+    rows = batch.filter(~F.col("is_key")).select("raw", "batch_id", "arrival_seq")
+    fresh = batch.filter("is_key").select("record_key", F.lit(-1).cast("long").alias("own_row"), F.lit(True).alias("is_new"))
+    # Joined as first_per_key has placed them: a record without a key has an own_row that no key has.
+    first = first_deliveries(rows).join(fresh, ["record_key", "own_row"], "left")
+    handled = written(first.filter(F.col("record_key").isNull() | F.col("is_new")).drop("is_new"), "handled")
+    store_handled(handled, batch_id, root, rows.count())
+    release(batch, handled)
 
 
 def run_state_stream(

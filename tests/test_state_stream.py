@@ -74,3 +74,24 @@ def test_one_id_may_fill_a_batch(spark, root):
     source = f"{root}/in"
     deliver(spark, source, [rec("hot")] * 200 + [rec(None)] * 200, 0)
     assert run(spark, source, f"{root}/out") == [(400, 1, 200, 199)]
+
+
+def tasks_with_rows(df):
+    from pyspark.sql import functions as F
+
+    return df.select(F.spark_partition_id()).distinct().count()
+
+
+def test_files_of_keys_do_not_draw_all_records_into_one_task(spark, root, monkeypatch):
+    from millrace.streaming import ingest_stream
+
+    tasks, plain = [], ingest_stream.first_deliveries
+    monkeypatch.setattr(ingest_stream, "first_deliveries", lambda df: (tasks.append(tasks_with_rows(df)), plain(df))[1])
+    deliver(spark, f"{root}/in", [rec(f"r{i}") for i in range(300)], 0)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        assert run(spark, f"{root}/in", f"{root}/out") == [(300, 300, 0, 0)]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert tasks == [3]  # one for each file of the source
