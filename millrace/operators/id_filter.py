@@ -7,6 +7,8 @@ chance of about 1 in 100,000, ids that were added always do.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,24 +28,29 @@ def _page(key: Column, pages: Column) -> Column:
     return F.shiftrightunsigned(F.xxhash64(key), 16).bitwiseAND(pages - 1)
 
 
-def _positions(key: Column) -> Column:
-    """The bits of an id in its page: double hashing with an odd step, so all differ."""
+def _positions(key: Column) -> list[Column]:
+    """The bits of an id in its page: double hashing with an odd step, so all differ.
+
+    One expression each, not a lambda over an array: Spark compiles the one and interprets the other.
+    """
     start = F.xxhash64(key).bitwiseAND(PAGE_BITS - 1)
     step = F.xxhash64(key, F.lit(1)).bitwiseAND(PAGE_BITS - 1).bitwiseOR(F.lit(1))
-    return F.transform(F.sequence(F.lit(0), F.lit(HASHES - 1)), lambda i: (start + i * step).bitwiseAND(PAGE_BITS - 1))
+    return [(start + step * i).bitwiseAND(PAGE_BITS - 1) for i in range(HASHES)]
 
 
 def filter_of(ids: DataFrame, key: str, count: int) -> DataFrame:
     """(pages, page, bits): the filter of `count` ids. The ids' pages and bits are shuffled once, by page."""
     pages = F.lit(pages_for(count)).cast("bigint")
-    placed = ids.filter(F.col(key).isNotNull()).select(_page(F.col(key), pages).alias("page"), _positions(F.col(key)).alias("positions"))
+    placed = ids.filter(F.col(key).isNotNull()).select(_page(F.col(key), pages).alias("page"), F.array(*_positions(F.col(key))).alias("positions"))
     bits = placed.repartition("page").select("page", F.explode("positions").alias("bit"))
     return bits.groupBy("page").agg(F.bitmap_construct_agg("bit").alias("bits")).select(pages.alias("pages"), "page", "bits")
 
 
 def _is_set(bits: Column, position: Column) -> Column:
-    byte = F.conv(F.hex(F.substring(bits, (F.floor(position / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
-    return F.getbit(byte, (position % 8).cast("int")) == 1
+    one = F.substring(bits, (F.shiftright(position, 3) + 1).cast("int"), F.lit(1))
+    # ISO-8859-1 has a character for each byte, with the byte as its number.
+    byte = F.ascii(F.decode(one, "ISO-8859-1"))
+    return F.getbit(byte, position.bitwiseAND(7).cast("int")) == 1
 
 
 def may_hold(filters: DataFrame, ids: DataFrame, key: str) -> DataFrame:
@@ -53,7 +60,7 @@ def may_hold(filters: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     """
     sizes = [r["pages"] for r in filters.select("pages").distinct().collect()]
     asked = ids.filter(F.col(key).isNotNull()).withColumn("__pages", F.explode(F.array(*[F.lit(n) for n in sizes]).cast("array<bigint>")))
-    asked = asked.withColumn("__page", _page(F.col(key), F.col("__pages"))).withColumn("__positions", _positions(F.col(key)))
+    asked = asked.withColumn("__page", _page(F.col(key), F.col("__pages")))
     found = asked.join(filters, (F.col("__pages") == F.col("pages")) & (F.col("__page") == F.col("page")))
-    found = found.filter(F.forall("__positions", lambda p: _is_set(F.col("bits"), p)))
-    return found.drop("__pages", "__page", "__positions", "pages", "page", "bits")
+    all_set = reduce(Column.__and__, [_is_set(F.col("bits"), p) for p in _positions(F.col(key))])
+    return found.filter(all_set).drop("__pages", "__page", "pages", "page", "bits")

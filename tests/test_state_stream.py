@@ -95,3 +95,14 @@ def test_files_of_keys_do_not_draw_all_records_into_one_task(spark, root, monkey
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert tasks == [3]  # one for each file of the source
+
+
+def test_a_batch_of_one_file_is_dealt_over_the_cores(spark, root, monkeypatch):
+    from millrace.streaming import ingest_stream
+
+    tasks = []
+    monkeypatch.setattr(ingest_stream, "ingest_batch", lambda batch, *rest: tasks.append(tasks_with_rows(batch)))
+    rows = [(rec("hot"), 0, 0)] * 400
+    spark.createDataFrame(rows, FEED_SCHEMA).coalesce(1).write.parquet(f"{root}/in")
+    ingest_stream.run_ingest_stream(feed_stream(spark, f"{root}/in"), f"{root}/out").awaitTermination()
+    assert len(tasks) == 1 and tasks[0] >= spark.sparkContext.defaultParallelism
