@@ -82,7 +82,8 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, most_piece
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer).encode
         end = np.array([END], "<u4").tobytes()
-        for batch, texts in slices(batches, "text"):
+        # Large slices, as each distinct piece is looked up once in a slice.
+        for batch, texts in slices(batches, "text", 4_000_000):
             row, start, length, crc, total = [], [], [], [], []
             for i, ids in enumerate(encode([t or "" for t in texts])):
                 ids += end

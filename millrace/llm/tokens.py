@@ -1,9 +1,11 @@
 """Token ids of texts by a public tokenizer file, with a bounded memory of pieces already seen.
 
 The byte-level pattern of the tokenizer never lets a token reach across a single space that stands
-between two characters that are not white space: the space opens a token. So a text is cut there, pieces
-that were seen before are looked up, and only new ones are given to the tokenizers library, joined to
-longer strings. The ids are those of encoding the whole text, special tokens included.
+between two characters that are not white space: the space opens a token. So does a single line feed
+there, and so do full stops, commas and the like that end a piece after a letter or digit. So a text is
+cut at these places, the distinct pieces of a slice are found by Arrow, those that were seen before are
+looked up, and only new ones are given to the tokenizers library, joined to longer strings. The ids are
+those of encoding the whole text, special tokens included.
 """
 
 from __future__ import annotations
@@ -12,9 +14,14 @@ import os
 import re
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 _CUT = re.compile(r"(?<=\S) (?=\S)")
-_ODD = re.compile(r"[^\S \n]")
+# White space but the space and the line feed.
+_ODD = [c for c in map(chr, range(0x110000)) if c.isspace() and c not in " \n"]
+# Digits and letters of long standing, of which every version of Unicode says so.
+_SURE = pa.array([chr(c) for a, b in ("09", "AZ", "az", "ÀÖ", "Øö", "øʯ", "Ѐҁ", "αω", "一龥") for c in range(ord(a), ord(b) + 1)], pa.large_string())
 
 
 class Encoder:
@@ -28,43 +35,108 @@ class Encoder:
         self.seen: dict[str, bytes] = {}
         self.most = most_pieces
         size = self.library.get_vocab_size()
-        self.opens = np.array([(self.library.id_to_token(i) or "").startswith("Ġ") for i in range(size)])
+        known = [self.library.id_to_token(i) or "" for i in range(size)]
+        self.opens = {mark: np.array([x.startswith(byte) for x in known]) for mark, byte in ((" ", "Ġ"), ("\n", "Ċ"))}
+        self.tails: dict[str, bytes] = {}
+        special = "".join(x.content for x in self.library.get_added_tokens_decoder().values())
+        self.marks = "".join(c for c in ".,;:!?" if c not in special)
 
     def _whole(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(x.ids, "<u4") for x in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _new(self, pieces: list[str]) -> dict[str, bytes]:
-        """Ids of pieces, each taken after a space."""
-        plain = [p for p in pieces if " " not in p]
-        found = {}
-        for i in range(0, len(plain), 1000):
-            part = plain[i : i + 1000]
-            ids = self._whole([" " + " ".join(part)])[0]
-            starts = np.flatnonzero(self.opens[ids])
-            raw = ids.tobytes()
-            ends = [*(starts[1:] * 4).tolist(), len(raw)]
-            found.update((p, raw[a:b]) for p, a, b in zip(part, (starts * 4).tolist(), ends))
-        rest = [p for p in pieces if " " in p]
-        found.update((p, x.tobytes()) for p, x in zip(rest, self._whole([" " + p for p in rest])))
+    def _new(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces; one that begins with a line feed is taken as it is, others after a space."""
+        found: list[bytes] = [b""] * len(pieces)
+        alone = []
+        by_mark: dict[str, list[int]] = {" ": [], "\n": []}
+        for i, p in enumerate(pieces):
+            line = p[:1] == "\n"
+            (alone if " " in p or p == "\n" else by_mark["\n" if line else " "]).append(i)
+        for mark, places in by_mark.items():
+            for first in range(0, len(places), 1000):
+                part = places[first : first + 1000]
+                # Pieces after a line feed begin with it themselves.
+                glue = " " if mark == " " else ""
+                ids = self._whole([glue + glue.join([pieces[i] for i in part])])[0]
+                starts = np.flatnonzero(self.opens[mark][ids]) * 4
+                raw = ids.tobytes()
+                for i, a, b in zip(part, starts.tolist(), [*starts[1:].tolist(), len(raw)]):
+                    found[i] = raw[a:b]
+        if alone:
+            for i, ids in zip(alone, self._whole([pieces[i] if pieces[i] == "\n" else " " + pieces[i] for i in alone])):
+                found[i] = ids.tobytes()
         return found
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        cut = []
-        for text in texts:
-            simple = not (_ODD.search(text) or "  " in text or " \n" in text or "\n " in text or text[:1] == " " or text[-1:] == " ")
-            cut.append(text.split(" ") if simple else _CUT.split(text))
-        # The first piece of a text has no space before it.
-        heads = self._whole([pieces.pop(0) for pieces in cut])
-        looked = [list(map(self.seen.get, pieces)) for pieces in cut]
-        missing = dict.fromkeys(p for pieces, got in zip(cut, looked) if None in got for p, x in zip(pieces, got) if x is None)
+    def _looked_up(self, pieces: pa.Array) -> pa.Array:
+        """Ids of distinct pieces; only those not seen before are given to the library."""
+        texts = pieces.to_numpy(zero_copy_only=False).tolist()
+        found = list(map(self.seen.get, texts))
+        missing = [i for i, ids in enumerate(found) if ids is None]
         if missing:
-            new = self._new(list(missing))
+            fresh = [texts[i] for i in missing]
+            new = self._new(fresh)
             if len(self.seen) < self.most:
-                self.seen.update(new)
-            for pieces, got in zip(cut, looked):
-                if None in got:
-                    got[:] = [x if x is not None else new[p] for p, x in zip(pieces, got)]
-        return [head.tobytes() + b"".join(got) for head, got in zip(heads, looked)]
+                self.seen.update(zip(fresh, new))
+            for i, ids in zip(missing, new):
+                found[i] = ids
+        return pa.array(found, pa.large_binary())
+
+    def _tail(self, tail: str) -> bytes:
+        """Ids of marks that end a piece."""
+        if tail not in self.tails:
+            ids = self._whole([tail])[0].tobytes()
+            if len(self.tails) >= self.most:
+                return ids
+            self.tails[tail] = ids
+        return self.tails[tail]
+
+    def _distinct(self, pieces: pa.Array) -> pa.Array:
+        """Ids of distinct pieces: of the piece without the marks at its end, then of the marks."""
+        cores = pc.utf8_rtrim(pieces, characters=self.marks)
+        cores = pc.if_else(pc.is_in(pc.utf8_slice_codeunits(cores, start=-1), _SURE), cores, pieces)
+        lengths = pc.subtract(pc.binary_length(pieces), pc.binary_length(cores)).to_numpy(zero_copy_only=False)
+        coded = cores.dictionary_encode()
+        ids = self._looked_up(coded.dictionary).take(coded.indices)
+        ended = np.flatnonzero(lengths)
+        if not len(ended):
+            return ids
+        tails = np.full(len(pieces), b"", object)
+        tails[ended] = [self._tail(p[-n:]) for p, n in zip(pieces.take(pa.array(ended)).to_numpy(zero_copy_only=False), lengths[ended].tolist())]
+        return pc.binary_join_element_wise(ids, pa.array(tails, pa.large_binary()), pa.scalar(b"", pa.large_binary()))
+
+    def _joined(self, cut: pa.ListArray) -> list[bytes]:
+        """Ids of texts that are cut into pieces."""
+        ends = cut.offsets.to_numpy()
+        flat = cut.values
+        # The first piece of a text has no space before it.
+        heads = [x.tobytes() for x in self._whole(flat.take(pa.array(ends[:-1])).to_pylist())]
+        inner = np.ones(len(flat), bool)
+        inner[ends[:-1]] = False
+        coded = flat.filter(pa.array(inner)).dictionary_encode()
+        ids = self._distinct(coded.dictionary).take(coded.indices)
+        # The ids of all texts lie one after the other, without their heads.
+        sums = np.concatenate(([0], np.cumsum(pc.binary_length(ids).to_numpy(zero_copy_only=False))))
+        bounds = sums[ends - np.arange(len(ends))].astype(np.int64).tolist()
+        raw = memoryview(ids.buffers()[2] or b"")
+        return [head + raw[a:b] for head, a, b in zip(heads, bounds, bounds[1:])]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        simple, other = [], []
+        for i, text in enumerate(texts):
+            odd = any(c in text for c in _ODD) or "  " in text or " \n" in text or "\n " in text or text[:1] == " " or text[-1:] == " "
+            (other if odd else simple).append(i)
+        found: list[bytes] = [b""] * len(texts)
+        if simple:
+            # A single line feed opens a piece too.
+            lines = [texts[i] if "\n\n" in texts[i] else texts[i].replace("\n", " \n") for i in simple]
+            cut = pc.split_pattern(pa.array(lines, pa.large_string()), " ")
+            for i, ids in zip(simple, self._joined(cut)):
+                found[i] = ids
+        if other:
+            cut = pa.array([_CUT.split(texts[i]) for i in other], pa.list_(pa.large_string()))
+            for i, ids in zip(other, self._joined(cut)):
+                found[i] = ids
+        return found
 
 
 _encoders: dict[str, Encoder] = {}

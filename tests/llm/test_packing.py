@@ -6,7 +6,7 @@ import numpy as np
 from tokenizers import Tokenizer
 
 from millrace.llm import packing as P
-from millrace.llm.tokens import Encoder, public_file
+from millrace.llm.tokens import _SURE, Encoder, public_file
 
 
 def test_ids_are_those_of_the_whole_text():
@@ -20,6 +20,34 @@ def test_ids_are_those_of_the_whole_text():
     assert coder.encode(texts) == want
 
 
+def test_ids_at_line_feeds_and_end_marks():
+    library = Tokenizer.from_file(public_file())
+    random.seed(5)
+    parts = ["a", "word", " ", " ", "\n", "\n\n", "'", "'s", ".", ",", "...", "?!", ")", "é", "漢", "ж", "α", "²", "Ⅷ", "\u0301", "ʰ", "<|endoftext|>", "9", "🙂"]
+    texts = ["".join(random.choice(parts) for _ in range(random.randint(0, 30))) for _ in range(2000)]
+    texts += [f"a {c}. {c}?! b\n{c},\n" for c in _SURE.to_pylist()]
+    coder = Encoder(public_file(), most_pieces=500)
+    want = [np.array(x.ids, "<u4").tobytes() for x in library.encode_batch(texts, add_special_tokens=False)]
+    assert coder.encode(texts) == want
+    for text, ids in zip(texts[:200], want):
+        assert coder.encode([text]) == [ids]
+    assert coder.encode([]) == []
+    assert coder.encode(["", ""]) == [b"", b""]
+
+
+def test_known_words_are_not_encoded_again_for_their_marks_or_lines():
+    library = Tokenizer.from_file(public_file())
+    coder, given = Encoder(public_file()), []
+    whole = coder._whole
+    coder._whole = lambda texts: given.extend(texts) or whole(texts)
+    words = [f"{a}{b}mo" for a in "abcdefgh" for b in "rstuvwxyz"]
+    coder.encode(["x " + " ".join(words) + "\n" + "\n".join(words)])
+    given.clear()
+    text = "x " + " ".join(w + m for w in words for m in (".", ",", "?!")) + " " + " ".join(f"{a}.\n{b}" for a, b in zip(words, words[::-1]))
+    assert coder.encode([text]) == [np.array(library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()]
+    assert sum(map(len, given)) <= 10
+
+
 def test_differencing_holds_every_piece_once():
     random.seed(2)
     for _ in range(200):
