@@ -85,11 +85,13 @@ class Pieces:
         return [(ids or [self.opening]) if m else ids[2:] for ids, m in zip(found, marked)]
 
     def text(self, ids: list[int]) -> str:
-        """What the library's decode gives: surfaces in a row without the space of the marker before the text."""
+        """What the library's decode gives: surfaces in a row without the space of the marker before the text.
+
+        A space that a byte piece stands for is no marker and stays."""
         surface = self.surface
         raw = b"".join([surface[i] for i in ids])
         first = next((i for i in ids if i not in (self.bos, self.eos)), None)
-        if first is not None and raw[:1] == b" " and not self.library.is_unknown(first):
+        if first is not None and raw[:1] == b" " and not (self.library.is_unknown(first) or self.library.is_byte(first)):
             raw = raw[1:]
         try:
             return raw.decode()

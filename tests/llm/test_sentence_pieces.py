@@ -38,6 +38,13 @@ def test_any_ids_decode_like_the_library(ids):
         assert text == wanted
 
 
+def test_a_space_from_a_byte_piece_stays():
+    model = S.pieces(S.public_model())
+    space = model.library.piece_to_id("<0x20>")
+    for ids in ([space], [model.bos, space, model.eos], [space, space], [space, 300], [300, space]):
+        assert model.text(ids) == model.library.decode(ids)
+
+
 def rows_of(words):
     random.seed(3)
     odd = list("ab  \n▁\t.é日😀")
