@@ -66,21 +66,25 @@ def encode_block(ids: np.ndarray, freq: np.ndarray, start: np.ndarray) -> tuple[
     grid[:n] = ids
     live = n - (steps - 1) * lanes  # lanes of the last step
     state = np.full(lanes, LOWEST, np.uint64)
-    shift, word = np.uint64(PRECISION), np.uint64(32)
-    f_all, s_all = freq[grid].astype(np.uint64).reshape(steps, lanes), start[grid].astype(np.uint64).reshape(steps, lanes)
+    word = np.uint64(32)
+    f_all, s_all = (x.astype(np.uint64).take(grid).reshape(steps, lanes) for x in (freq, start))
+    full_all, rest_all = f_all << np.uint64(63 - PRECISION), np.uint64(1 << PRECISION) - f_all
     chunks: list[np.ndarray] = []
     sent, marks = 0, []
     for step in range(steps - 1, -1, -1):
         width = live if step == steps - 1 else lanes
-        f, s, x = f_all[step, :width], s_all[step, :width], state[:width]
-        full = x >= (f << np.uint64(63 - PRECISION))
-        if full.any():
-            out = x[full].astype(np.uint32)
-            chunks.append(out)
+        x = state[:width]
+        full = np.flatnonzero(x >= full_all[step, :width])
+        if len(full):
+            out = x.take(full)
+            chunks.append(out.astype(np.uint32))
             sent += len(out)
-            x = np.where(full, x >> word, x)
-        q = x // f
-        state[:width] = (q << shift) + (x - q * f) + s
+            x[full] = out >> word
+        # The quotient by f moved up, the remainder, and the start.
+        q = x // f_all[step, :width]
+        q *= rest_all[step, :width]
+        x += q
+        x += s_all[step, :width]
         if step and step % CHECKPOINT_STEPS == 0:
             marks.append((step, sent, state.copy()))
     stream = np.concatenate(chunks[::-1]) if chunks else np.zeros(0, np.uint32)
@@ -103,25 +107,26 @@ def decode_block(payload: bytes, entry: dict, freq: np.ndarray, start: np.ndarra
     live = n - (all_steps - 1) * lanes
     sets = 1 + len(entry["points"])
     states = np.frombuffer(payload, "<u8", sets * lanes)
-    stream = np.frombuffer(payload, "<u4", offset=sets * lanes * 8).astype(np.uint64)
+    stream = np.frombuffer(payload, "<u4", offset=sets * lanes * 8)
     step, at = entry["points"][point] if point >= 0 else (0, 0)
-    state = states[(point + 1) * lanes : (point + 2) * lanes].copy()
+    # States are below 2^63. Signed ones are places in a table as they are.
+    state = states[(point + 1) * lanes : (point + 2) * lanes].astype(np.int64)
     last = all_steps if steps is None else min(all_steps, step + steps)
     out = np.empty((max(0, last - step), lanes), np.uint32)
-    mask, shift, word = np.uint64((1 << PRECISION) - 1), np.uint64(PRECISION), np.uint64(32)
-    f_of, s_of = freq.astype(np.uint64), start.astype(np.uint64)
+    mask, lowest = (1 << PRECISION) - 1, int(LOWEST)
     for row, now in enumerate(range(step, last)):
         width = live if now == all_steps - 1 else lanes
         x = state[:width]
         slot = x & mask
-        found = table[slot]
-        x = f_of[found] * (x >> shift) + slot - s_of[found]
-        low = x < LOWEST
-        k = int(np.count_nonzero(low))
-        if k:
-            x[low] = (x[low] << word) | stream[at : at + k]
+        found = table.take(slot)
+        x >>= PRECISION
+        x *= freq.take(found)
+        slot -= start.take(found)
+        x += slot
+        low = np.flatnonzero(x < lowest)
+        if k := len(low):
+            x[low] = (x.take(low) << 32) | stream[at : at + k]
             at += k
-        state[:width] = x
         out[row, :width] = found
     return out.reshape(-1)[: min(n, last * lanes) - step * lanes] if last > step else out.reshape(-1)
 
@@ -234,7 +239,8 @@ def write(docs: DataFrame, tokenizer: str | None = None, file_ids: int = 4 * BLO
                 out.write(encode_file(held, pa.chunked_array(names).to_pylist(), (number, part)))
             return pa.RecordBatch.from_arrays([pa.array([uri])], ["path"])
 
-        for batch, texts in slices(batches, "text"):
+        # Large slices, as each distinct piece is looked up once in a slice.
+        for batch, texts in slices(batches, "text", 4_000_000):
             number = batch.column(2)[0].as_py()
             first = 0
             for i, ids in enumerate(encode([t or "" for t in texts])):

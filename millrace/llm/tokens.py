@@ -4,8 +4,9 @@ The byte-level pattern of the tokenizer never lets a token reach across a single
 between two characters that are not white space: the space opens a token. So does a single line feed
 there, and so do full stops, commas and the like that end a piece after a letter or digit. So a text is
 cut at these places, the distinct pieces of a slice are found by Arrow, those that were seen before are
-looked up, and only new ones are given to the tokenizers library, joined to longer strings. The ids are
-those of encoding the whole text, special tokens included.
+looked up, and only new ones are given to the tokenizers library, joined to longer strings. New pieces of
+letters alone are one word each to the pattern, so they are joined and given to the library's byte-level
+model without the pattern. The ids are those of encoding the whole text, special tokens included.
 """
 
 from __future__ import annotations
@@ -21,7 +22,33 @@ _CUT = re.compile(r"(?<=\S) (?=\S)")
 # White space but the space and the line feed.
 _ODD = [c for c in map(chr, range(0x110000)) if c.isspace() and c not in " \n"]
 # Digits and letters of long standing, of which every version of Unicode says so.
-_SURE = pa.array([chr(c) for a, b in ("09", "AZ", "az", "ÀÖ", "Øö", "øʯ", "Ѐҁ", "αω", "一龥") for c in range(ord(a), ord(b) + 1)], pa.large_string())
+_LETTERS = ("AZ", "az", "ÀÖ", "Øö", "øʯ", "Ѐҁ", "αω", "一龥")
+_SURE = pa.array([chr(c) for a, b in ("09", *_LETTERS) for c in range(ord(a), ord(b) + 1)], pa.large_string())
+_WORD = re.compile("[" + "".join(f"{a}-{b}" for a, b in _LETTERS) + "]+")
+_WORDS = re.compile(f"(?: {_WORD.pattern})+")
+
+
+def _without_pattern(library):
+    """A tokenizer of the same model that gives the same ids for words of letters, each after a space; None if there is none.
+
+    Each such word is one piece of the pattern. Nothing changes without it if no token reaches from a word into the
+    next one. Tokens with the first byte of "Â" do not occur, as none of these letters has it.
+    """
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    split, model = library.pre_tokenizer, library.model
+    by_pattern = isinstance(split, pre_tokenizers.ByteLevel) and split.use_regex and not split.add_prefix_space
+    if library.normalizer is not None or not by_pattern or not isinstance(model, models.BPE):
+        return None
+    if any(x is not None for x in (model.dropout, model.unk_token, model.continuing_subword_prefix, model.end_of_word_suffix)) or model.ignore_merges:
+        return None
+    if any(_WORD.fullmatch(x.content.replace(" ", "")) for x in library.get_added_tokens_decoder().values()):
+        return None
+    if any("Â" not in x and re.search("[^Ġ]Ġ", x) for x in library.get_vocab()):
+        return None
+    found = Tokenizer(model)
+    found.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+    return found
 
 
 class Encoder:
@@ -37,24 +64,30 @@ class Encoder:
         size = self.library.get_vocab_size()
         known = [self.library.id_to_token(i) or "" for i in range(size)]
         self.opens = {mark: np.array([x.startswith(byte) for x in known]) for mark, byte in ((" ", "Ġ"), ("\n", "Ċ"))}
+        self.words = _without_pattern(self.library)
         self.tails: dict[str, bytes] = {}
         special = "".join(x.content for x in self.library.get_added_tokens_decoder().values())
         self.marks = "".join(c for c in ".,;:!?" if c not in special)
 
     def _whole(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(x.ids, "<u4") for x in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+        by = self.words if self.words is not None and all(map(_WORDS.fullmatch, texts)) else self.library
+        return [np.array(x.ids, "<u4") for x in by.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _new(self, pieces: list[str]) -> list[bytes]:
         """Ids of pieces; one that begins with a line feed is taken as it is, others after a space."""
         found: list[bytes] = [b""] * len(pieces)
-        alone = []
-        by_mark: dict[str, list[int]] = {" ": [], "\n": []}
+        alone, words, spaced, lines = [], [], [], []
         for i, p in enumerate(pieces):
-            line = p[:1] == "\n"
-            (alone if " " in p or p == "\n" else by_mark["\n" if line else " "]).append(i)
-        for mark, places in by_mark.items():
-            for first in range(0, len(places), 1000):
-                part = places[first : first + 1000]
+            if _WORD.fullmatch(p):
+                words.append(i)
+            elif " " in p or p == "\n":
+                alone.append(i)
+            else:
+                (lines if p[:1] == "\n" else spaced).append(i)
+        # The model takes longer for each word of a long string.
+        for mark, places, most in ((" ", words, 100), (" ", spaced, 1000), ("\n", lines, 1000)):
+            for first in range(0, len(places), most):
+                part = places[first : first + most]
                 # Pieces after a line feed begin with it themselves.
                 glue = " " if mark == " " else ""
                 ids = self._whole([glue + glue.join([pieces[i] for i in part])])[0]

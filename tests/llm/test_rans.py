@@ -1,4 +1,5 @@
 import io
+import json
 import random
 import zlib
 
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from millrace.llm import rans as R
-from millrace.llm.tokens import public_file
+from millrace.llm.tokens import Encoder, public_file
 
 
 class Opened(io.BytesIO):
@@ -134,3 +135,67 @@ def test_a_document_over_several_blocks(documents, words, monkeypatch):
     ends = np.cumsum([len(d) for d in data])
     for a, b in zip(ends - [len(d) for d in data], ends):
         assert R.read_ids(Opened(file), index, int(a), int(b)).tolist() == whole[a:b].tolist()
+
+
+def test_new_words_of_letters_are_encoded_without_the_pattern():
+    """Only what may be more than one word to the pattern is given to the library with it; ids are the library's."""
+    encoder, library = Encoder(public_file()), Tokenizer.from_file(public_file())
+    random.seed(8)
+    letters = ["abcdefghijklmnop", "ABCxyz", "àéîöüßøñ", "ÀÉÖØ", "жшыѐҁ", "αβγω", "一龥水", "ªºµ", "×÷", " ", "٣", "0123", "'", "-_", "’", "😀", "é", "­", "Ġł"]
+    words = ["".join(random.choice(random.choice(letters[: random.choice([1, 3, 7, 19])])) for _ in range(random.randrange(1, 12))) for _ in range(4000)]
+    words += ["don't", "it's", "a b", " ", "  ", "à ", "x" * 3000, "<|endoftext|>", "a<|endoftext|>b", "end.", "end..."]
+    texts = [" ".join(random.choices(words, k=random.randrange(1, 80))) for _ in range(400)]
+    texts += [text.replace(" ", "\n", 3) for text in texts[:100]] + ["", " ", "à   à"]
+    for _ in range(2):  # the second time from the memory
+        got = encoder.encode(texts)
+        assert [np.frombuffer(x, "<u4").tolist() for x in got] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+    class Counted:
+        chars = 0
+
+        def encode_batch_fast(self, texts, **options):
+            self.chars += sum(map(len, texts))
+            return library.encode_batch_fast(texts, **options)
+
+    encoder.library = Counted()
+    fresh = [f"Start {' '.join('q' + ''.join(random.choices('abcdefgh', k=9)) for _ in range(500))}" for _ in range(3)]
+    assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(fresh)] == [library.encode(t, add_special_tokens=False).ids for t in fresh]
+    assert encoder.library.chars < 100
+
+
+def test_a_tokenizer_whose_tokens_reach_over_words_keeps_the_pattern(tmp_path):
+    whole = json.loads(Tokenizer.from_file(public_file()).to_str())
+    for change in ("token", "split", "dropout", "added", "none"):
+        spec = json.loads(json.dumps(whole))
+        if change == "token":
+            spec["model"]["vocab"]["eĠt"] = 60_000
+        if change == "split":
+            spec["pre_tokenizer"] = {"type": "Sequence", "pretokenizers": [{"type": "Digits", "individual_digits": True}, spec["pre_tokenizer"]]}
+        if change == "dropout":
+            spec["model"]["dropout"] = 0.5
+        if change == "added":
+            spec["added_tokens"].append(spec["added_tokens"][0] | {"id": 50_257, "content": "xqx"})
+        (tmp_path / change).write_text(json.dumps(spec))
+        assert (Encoder(str(tmp_path / change)).words is None) == (change != "none")
+
+
+def test_states_at_their_limits():
+    """The bytes are those of the plain steps on whole numbers, also for frequencies of 1 and of all slots."""
+    for counts in ([5000], [1, 4999], [1] * 5000, [4000, 1, 0, 999]):
+        ids = np.random.default_rng(2).permutation(np.repeat(np.arange(len(counts)), counts))
+        freq = R.frequencies(np.array(counts))
+        start = np.cumsum(freq) - freq
+        payload, entry = R.encode_block(ids, freq, start)
+        lanes, words = entry["lanes"], []
+        state = [1 << 31] * lanes
+        for step in range(-(-len(ids) // lanes) - 1, -1, -1):
+            sent = []
+            for lane, i in enumerate(ids[step * lanes : (step + 1) * lanes].tolist()):
+                f = int(freq[i])
+                if state[lane] >= f << (63 - R.PRECISION):
+                    sent.append(state[lane] & 0xFFFFFFFF)
+                    state[lane] >>= 32
+                state[lane] = (state[lane] // f << R.PRECISION) + state[lane] % f + int(start[i])
+            words = sent + words
+        assert not entry["points"] and payload == np.array(state, "<u8").tobytes() + np.array(words, "<u4").tobytes()
+        assert R.decode_block(payload, entry, freq, start, R.slots(freq)).tolist() == ids.tolist()
